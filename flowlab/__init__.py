@@ -1,11 +1,10 @@
-"""Flow analytics on Spark: layers, profiles, features, models and their evaluation."""
+"""Flow analytics on Spark: layers, profiles, features, models and their evaluation.
 
-from flowlab.errors import MissingInput
-from flowlab.plans.layers import business_layer, raw_layer, run_etl, staging_layer
-from flowlab.plans.settings import EtlSettings
-from flowlab.plans.training import FlowPreparation, training_set
+Import from the modules below. This file stays empty of imports because Python workers load it
+before they run the numeric helpers, and need none of the rest.
 
-__all__ = [
-    "EtlSettings", "FlowPreparation", "MissingInput", "business_layer", "raw_layer", "run_etl",
-    "staging_layer", "training_set",
-]
+``plans.layers``     raw, staging and business layers and the run that writes them
+``plans.training``   training set, and predictions for unlabelled flows
+``operators``        table operators        ``functions``  column expressions
+``sources``          readers and writers    ``storage``    shared scratch space
+"""

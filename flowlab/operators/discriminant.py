@@ -8,10 +8,13 @@ from functools import reduce
 from operator import add
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from flowlab.functions.names import quoted
+from flowlab.operators.batches import matrix, packed, upper_triangle
 
 # Directions whose within-class deviation falls below this are dropped.
 TOLERANCE = 1e-4
@@ -19,16 +22,20 @@ TOLERANCE = 1e-4
 MAX_MODEL_CELLS = 20_000_000
 
 
+def _class_stats(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    # One vector aggregate instead of an average per feature: wide tables would leave codegen.
+    # A missing value turns its mean into NaN, so the means show whether the data has gaps.
+    vector = array_to_vector(packed([quoted(c) for c in features]))
+    return df.groupBy(quoted(target)).agg(
+        F.count(F.lit(1)).alias("n"), vector_to_array(Summarizer.mean(vector)).alias("means")
+    )
+
+
 def class_means(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """``(target, n, prior, means)``: size, share and mean vector of each class, in one pass."""
+    """``(target, n, prior, means)``: size, share and mean vector of each class."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    return (
-        df.groupBy(quoted(target))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.array(*[F.avg(quoted(c).cast("double")) for c in features]).alias("means"),
-        )
-        .select(quoted(target), "n", (F.col("n") / total).alias("prior"), "means")
+    return _class_stats(df, features, target).select(
+        quoted(target), "n", (F.col("n") / total).alias("prior"), "means"
     )
 
 
@@ -39,22 +46,20 @@ def _within_scatter(
     width = len(features)
     row_of = {label: i for i, label in enumerate(labels)}
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
         for batch in batches:
-            rows = batch.iloc[:, 0].map(row_of).to_numpy()
-            centred = batch.iloc[:, 1:].to_numpy(dtype=float) - means[rows]
+            rows = batch.column(0).to_pandas().map(row_of).to_numpy()
+            centred = matrix(batch.column(1), width) - means[rows]
             total += centred.T @ centred
-        i, j = np.triu_indices(width)
-        yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "v": total[i, j]})
+        yield upper_triangle(["v"], [total], width)
 
-    columns = [quoted(target), *[quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]]
-    sums = (
-        df.select(*columns).mapInPandas(partial, "i int, j int, v double")
-        .groupBy("i", "j").agg(F.sum("v").alias("v"))
-    )
+    rows = df.select(quoted(target), packed([quoted(c) for c in features]))
     # One row per feature pair.
-    cells = sums.toPandas()
+    cells = (
+        rows.mapInArrow(partial, "i int, j int, v double")
+        .groupBy("i", "j").agg(F.sum("v").alias("v")).toPandas()
+    )
     scatter = np.zeros((width, width))
     scatter[cells["i"], cells["j"]] = cells["v"]
     scatter[cells["j"], cells["i"]] = cells["v"]
@@ -80,20 +85,13 @@ class DiscriminantModel:
         """
         features = [c for c in df.columns if c != target] if features is None else list(features)
         width = len(features)
-        gaps = reduce(
-            lambda a, b: a | b,
-            [F.isnull(quoted(c)) | F.isnan(quoted(c).cast("double")) for c in features],
-            F.isnull(quoted(target)),
-        )
-        shape = df.agg(
-            F.approx_count_distinct(quoted(target)).alias("classes"), F.count_if(gaps).alias("gaps")
-        ).first()
-        if shape["gaps"]:
-            raise ValueError(f"{shape['gaps']} rows lack a label or a feature")
-        if (shape["classes"] + width) * width > MAX_MODEL_CELLS:
-            raise ValueError(f"model of {shape['classes']} classes and {width} features is too large")
-
-        stats = class_means(df, features, target).orderBy(quoted(target)).collect()
+        limit = MAX_MODEL_CELLS // width - width
+        stats = _class_stats(df, features, target).limit(limit + 1).collect() if limit > 0 else []
+        if not 0 < len(stats) <= limit:
+            raise ValueError(f"{len(stats)} classes and {width} features cannot be modelled")
+        if any(r[0] is None or not np.isfinite(r["means"]).all() for r in stats):
+            raise ValueError("labels and features must be known and finite")
+        stats.sort(key=lambda r: r[0])
         labels = [r[0] for r in stats]
         sizes = np.array([r["n"] for r in stats], dtype=float)
         means = np.array([r["means"] for r in stats])
@@ -114,11 +112,11 @@ class DiscriminantModel:
         centre = priors @ means
         weights = np.sqrt(rows * priors / (classes - 1))
         _, lengths, directions = np.linalg.svd((weights[:, None] * (means - centre)) @ whiten, full_matrices=False)
-        limit = min(classes - 1, width)
-        rank = min(limit, int(np.sum(lengths > TOLERANCE * lengths[0])))
+        most = min(classes - 1, width)
+        rank = min(most, int(np.sum(lengths > TOLERANCE * lengths[0])))
         return cls(
             features, target, centre, whiten @ directions.T[:, :rank],
-            (lengths**2 / np.sum(lengths**2))[:limit],
+            (lengths**2 / np.sum(lengths**2))[:most],
         )
 
     @property

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from flowlab.functions.names import quoted
 from flowlab.operators.ranking import SMALL_TABLE_ROWS, hinted, running_totals
+from flowlab.storage import small_copy
 
 
 @dataclass(frozen=True)
@@ -45,9 +46,8 @@ def index_mappings(df: DataFrame, columns: Sequence[str]) -> dict[str, IndexMapp
             ranked = counts.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
         else:
             ranked = running_totals(counts, [], order, {"rank": F.lit(1)})
-        mappings[c] = IndexMapping(
-            ranked.select("value", (F.col("rank") - 1).cast("int").alias("index")), small
-        )
+        table = ranked.select("value", (F.col("rank") - 1).cast("int").alias("index"))
+        mappings[c] = IndexMapping(small_copy(table) if small else table, small)
     return mappings
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from flowlab.functions.names import quoted
 from flowlab.functions.numbers import as_double, finite, is_numeric, known
 from flowlab.operators.balance import class_counts
+from flowlab.operators.batches import matrix, packed, upper_triangle
 
 # Up to this many column pairs the JVM's own aggregate is used.
 NARROW_PAIRS = 60
@@ -83,34 +84,30 @@ PAIR_SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy", "wild"]
 
 
 def _pair_sums(values: np.ndarray) -> np.ndarray:
-    """``PAIR_SUMS`` of every column pair, over the rows in which both values are known."""
+    """``PAIR_SUMS`` of all column pairs, over the rows in which both values are known."""
     infinite = np.isinf(values)
     seen = (~np.isnan(values)).astype(float)
     x = np.where((seen > 0) & ~infinite, values, 0.0)
     wild = infinite.astype(float)
-    products = [seen.T @ seen, x.T @ seen, seen.T @ x, (x * x).T @ seen, seen.T @ (x * x),
-                x.T @ x, wild.T @ seen + seen.T @ wild]
-    i, j = np.triu_indices(values.shape[1])
-    return np.stack([p[i, j] for p in products], axis=1)
+    return np.stack([
+        seen.T @ seen, x.T @ seen, seen.T @ x, (x * x).T @ seen, seen.T @ (x * x), x.T @ x,
+        wild.T @ seen + seen.T @ wild,
+    ])
 
 
-def _pair_moments(values: DataFrame, centres: Sequence[float]) -> DataFrame:
-    """Cross moments of all column pairs: one small table per task, then a plain sum."""
-    centre = np.array(centres)
+def _pair_moments(rows: DataFrame, centres: Sequence[float]) -> DataFrame:
+    """Cross moments of all pairs in a packed column: one small table per task, then a sum."""
+    centre, width = np.array(centres), len(centres)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        i, j = np.triu_indices(len(centre))
-        total = np.zeros((len(i), len(PAIR_SUMS)))
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(PAIR_SUMS), width, width))
         for batch in batches:
-            total += _pair_sums(batch.to_numpy(dtype=float) - centre)
-        table = pd.DataFrame(total, columns=PAIR_SUMS)
-        table.insert(0, "i", i.astype("int32"))
-        table.insert(1, "j", j.astype("int32"))
-        yield table
+            total += _pair_sums(matrix(batch.column(0), width) - centre)
+        yield upper_triangle(PAIR_SUMS, total, width)
 
     schema = "i int, j int, " + ", ".join(f"{c} double" for c in PAIR_SUMS)
     sums = [F.sum(c).alias(c) for c in PAIR_SUMS]
-    return values.mapInPandas(partial, schema).groupBy("i", "j").agg(*sums)
+    return rows.mapInArrow(partial, schema).groupBy("i", "j").agg(*sums)
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -133,8 +130,10 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
             F.when(F.abs("corr") <= 2.0, F.col("corr")).alias("corr"),
         )
     else:
+        # Centring first keeps large means from swallowing the spread.
         means = values.agg(*[F.avg(finite(F.col(c))).alias(c) for c in values.columns]).first()
-        moments = _pair_moments(values, [means[c] or 0.0 for c in values.columns])
+        rows = values.select(packed([F.col(c) for c in values.columns]))
+        moments = _pair_moments(rows, [means[c] or 0.0 for c in values.columns])
         cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
         vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
         vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")

@@ -20,7 +20,7 @@ from math import ceil, log
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlab.functions.names import quoted
-from flowlab.storage import checkpointed
+from flowlab.storage import checkpointed, small_copy
 
 # Tables of at most this many rows are broadcast or ranked by a single task.
 SMALL_TABLE_ROWS = 100_000
@@ -100,7 +100,7 @@ def rank_thresholds(
     ).filter(F.size("wanted") > 0)
 
     in_bucket = Window.partitionBy("class", "bucket").orderBy("position")
-    return (
+    found = (
         keyed.join(
             hinted(cuts, sizes.small),
             F.col("class").eqNullSafe(F.col("cut_class")) & (F.col("bucket") == F.col("cut_bucket")),
@@ -110,6 +110,7 @@ def rank_thresholds(
         .groupBy("class")
         .agg(F.sort_array(F.collect_list(F.struct(F.col("hit.cut").alias("cut"), "position"))).alias("cuts"))
     )
+    return small_copy(found) if sizes.small else found
 
 
 def running_totals(

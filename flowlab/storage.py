@@ -36,3 +36,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder: partition ids and row order stay fixed."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_copy(df: DataFrame) -> DataFrame:
+    """The rows of a table whose size was checked, held by the driver.
+
+    Plans that use the table several times then start from its rows instead of deriving them
+    from the source again.
+    """
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
