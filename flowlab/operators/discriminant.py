@@ -121,7 +121,13 @@ class DiscriminantModel:
 
     @property
     def max_components(self) -> int:
-        return self.axes.shape[1]
+        return len(self.ratios)
+
+    def component_names(self, components: int) -> list[str]:
+        """Columns that ``transform`` gives: fewer than asked if the classes span fewer axes."""
+        if not 1 <= components <= self.max_components:
+            raise ValueError(f"components must lie in 1..{self.max_components}")
+        return [f"c{k}" for k in range(min(components, self.axes.shape[1]))]
 
     def explained_variance(self) -> list[tuple[int, float]]:
         """Cumulative share of between-class variance for 1..max components."""
@@ -129,12 +135,10 @@ class DiscriminantModel:
 
     def transform(self, df: DataFrame, components: int) -> DataFrame:
         """``c0..`` and every column of ``df`` that is not a feature, as plain arithmetic."""
-        if not 1 <= components <= self.max_components:
-            raise ValueError(f"components must lie in 1..{self.max_components}")
         shifted = [quoted(c).cast("double") - F.lit(float(m)) for c, m in zip(self.features, self.centre)]
         projected = [
-            reduce(add, [x * F.lit(float(a)) for x, a in zip(shifted, self.axes[:, k])]).alias(f"c{k}")
-            for k in range(components)
+            reduce(add, [x * F.lit(float(a)) for x, a in zip(shifted, self.axes[:, k])]).alias(name)
+            for k, name in enumerate(self.component_names(components))
         ]
         rest = [quoted(c) for c in df.columns if c not in self.features]
         return df.select(*projected, *rest)

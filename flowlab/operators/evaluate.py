@@ -60,7 +60,8 @@ def confusion_matrix(
 
 
 def _ratio(part: Column, whole: Column) -> Column:
-    return F.when(whole == 0, 0.0).otherwise(part / whole)
+    """0 where the divisor is 0; ANSI mode would fail the job there."""
+    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
 
 
 def classification_report(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -90,9 +91,9 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     rolled = per_class.rollup("class").agg(
         F.grouping("class").alias("overall"),
         F.sum("support").cast("long").alias("support"),
-        (F.sum("hits") / F.sum("support")).alias("hit_rate"),
+        F.try_divide(F.sum("hits"), F.sum("support")).alias("hit_rate"),
         *[F.avg(s).alias(s) for s in scores],
-        *[(F.sum(F.col(s) * F.col("support")) / F.sum("support")).alias(f"w_{s}") for s in scores],
+        *[F.try_divide(F.sum(F.col(s) * F.col("support")), F.sum("support")).alias(f"w_{s}") for s in scores],
     )
 
     def line(name: Column, values: Sequence[str]) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlab.functions.names import quoted
 from flowlab.functions.numbers import as_double, finite, is_numeric, known
@@ -67,8 +67,11 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
     edges = df.sparkSession.createDataFrame(frame, "column_name string, bin int, lower double, upper double")
     if not ranges:
         return edges.withColumn("n", F.lit(0).cast("long"))
+    # ``least`` skips NULL, so the missing values are kept out of it.
     placed = values.select(*[
-        F.least(F.floor((quoted(c) - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int").alias(c)
+        F.when(
+            quoted(c).isNotNull(), F.least(F.floor((quoted(c) - lo) / (hi - lo) * bins), F.lit(bins - 1))
+        ).cast("int").alias(c)
         for c, (lo, hi) in ranges.items()
     ])
     counted = (
@@ -110,6 +113,18 @@ def _pair_moments(rows: DataFrame, centres: Sequence[float]) -> DataFrame:
     return rows.mapInArrow(partial, schema).groupBy("i", "j").agg(*sums)
 
 
+def _pair_corr(a: Column, b: Column) -> Column:
+    """Aggregate: correlation over the rows in which both values are known.
+
+    ``corr`` itself fails under ANSI mode if a side is constant; here that gives NULL, as do
+    infinite values, which turn the variances into NaN.
+    """
+    x, y = known(a), known(b)
+    spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y)))
+    value = F.try_divide(F.covar_pop(x, y), spread)
+    return F.when(~F.isnan(value), value)
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column_a, column_b, corr)``: Pearson correlation of every pair, both orders.
 
@@ -121,26 +136,24 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     values = df.select(*[as_double(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
     pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
     if len(pairs) <= NARROW_PAIRS:
-        row = values.agg(*[
-            F.corr(known(F.col(f"c{i}")), known(F.col(f"c{j}"))).alias(f"{i}:{j}") for i, j in pairs
-        ])
+        row = values.agg(*[_pair_corr(F.col(f"c{i}"), F.col(f"c{j}")).alias(f"{i}:{j}") for i, j in pairs])
         upper = row.unpivot([], [quoted(f"{i}:{j}") for i, j in pairs], "pair", "corr").select(
             F.split("pair", ":")[0].cast("int").alias("i"),
             F.split("pair", ":")[1].cast("int").alias("j"),
-            F.when(F.abs("corr") <= 2.0, F.col("corr")).alias("corr"),
+            "corr",
         )
     else:
         # Centring first keeps large means from swallowing the spread.
         means = values.agg(*[F.avg(finite(F.col(c))).alias(c) for c in values.columns]).first()
         rows = values.select(packed([F.col(c) for c in values.columns]))
         moments = _pair_moments(rows, [means[c] or 0.0 for c in values.columns])
-        cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
-        vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
-        vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+        cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), "n")
+        vx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), "n")
+        vy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), "n")
         # A variance this small against its own sum of squares is rounding: the column is constant.
         varies = (vx > F.col("sxx") * 1e-13) & (vy > F.col("syy") * 1e-13)
         usable = (F.col("n") > 1) & (F.col("wild") == 0) & varies
-        upper = moments.select("i", "j", F.when(usable, cov / F.sqrt(vx * vy)).alias("corr"))
+        upper = moments.select("i", "j", F.when(usable, F.try_divide(cov, F.sqrt(vx * vy))).alias("corr"))
     both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
         F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +100,16 @@ def cloud_business_layer(
     return business_layer(kept, ip_columns, [protocol], ports, port_columns)[0]
 
 
+def without_constants(settings: EtlSettings, constants: Collection[str]) -> EtlSettings:
+    """The settings without roles for columns that the staging layer dropped as constant."""
+    return replace(
+        settings,
+        ip_columns=[c for c in settings.ip_columns if c not in constants],
+        port_columns=[c for c in settings.port_columns if c not in constants],
+        index_columns=[p for p in settings.index_columns if p[0] not in constants],
+    )
+
+
 def run_etl(
     spark: SparkSession, captures: str, layers: str, settings: EtlSettings = EtlSettings()
 ) -> dict[str, str]:
@@ -122,6 +132,7 @@ def run_etl(
         read_layer(spark, paths["raw"]), s.filter_columns, s.staging_drop, s.fill_max, s.drop_constants
     )
     write_layer(staging, paths["staging"])
+    s = without_constants(s, set(raw.columns) - set(staging.columns))
     business, mappings = business_layer(
         read_layer(spark, paths["staging"]), s.ip_columns, s.index_columns, s.ports, s.port_columns
     )

@@ -761,8 +761,7 @@ def predict_flows(spark, sf_dir):
     """Unlabelled captures scored by a model that was trained on the labelled ones."""
     labelled = captures(spark, sf_dir)
     prepared, train = FlowPreparation.fit(layers.raw_layer(labelled, drop=SETTINGS.raw_drop), SETTINGS)
-    features = [f"c{i}" for i in range(SETTINGS.components)]
-    model = models.train_mlp(train, features, SETTINGS.label_index, [8], max_iter=10)
+    model = models.train_mlp(train, prepared.features, SETTINGS.label_index, [8], max_iter=10)
     return prepared.predict(model, labelled.drop(" Label"), keep=["Unnamed:_0"])
 
 

@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
 
+from flowlab.functions.names import quoted
 from flowlab.operators.clean import FillProfile, clean_headers
 from flowlab.operators.discriminant import DiscriminantModel
 from flowlab.operators.encode import IndexMapping, index_mappings
 from flowlab.operators.models import score
 from flowlab.operators.scale import MinMaxModel
-from flowlab.plans.layers import business_layer, staging_rows, unlabelled
+from flowlab.plans.layers import business_layer, staging_rows, unlabelled, without_constants
 from flowlab.plans.settings import EtlSettings
 
 
@@ -52,10 +53,15 @@ class FlowPreparation:
         rows = staging_rows(raw, s.filter_columns, s.staging_drop)
         profile = FillProfile.fit(rows, s.fill_max, s.drop_constants)
         staged = profile.transform(rows)
+        s = without_constants(s, profile.constants)
         business, mappings = business_layer(staged, s.ip_columns, s.index_columns, s.ports, s.port_columns)
         reduced, scaler, reducer = training_set(business, s.label_index, s.categorical, s.components)
         return cls(s, profile, mappings, scaler, reducer), reduced
 
+    @property
+    def features(self) -> list[str]:
+        return self.reducer.component_names(self.settings.components)
+
     def transform(self, captures: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Features ``c0..`` of unlabelled flows, with the ``keep`` columns (clean names) as ids.
 
@@ -70,7 +76,7 @@ class FlowPreparation:
             staged, s.ip_columns, s.index_columns, s.ports, s.port_columns, self.mappings, "keep"
         )
         reduced = self.reducer.transform(self.scaler.transform(encoded), self.settings.components)
-        return reduced.select(*[f"c{i}" for i in range(self.settings.components)], *[f"`{c}`" for c in keep])
+        return reduced.select(*self.features, *[quoted(c) for c in keep])
 
     def predict(self, model: Model, captures: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         return score(model, self.transform(captures, keep))

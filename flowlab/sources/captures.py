@@ -97,6 +97,23 @@ def merge_by_name(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, aligned)
 
 
+def inferred_schema(
+    spark: SparkSession, names: Sequence[str], groups: Sequence[Sequence[str]]
+) -> T.StructType:
+    """Types that fit every row of every group of equally headed files."""
+    found = [spark.read.csv(list(g), header=True, inferSchema=True).schema for g in groups]
+    kinds: dict[str, list[T.DataType]] = {c: [schema[c].dataType for schema in found] for c in names}
+    for i, group in enumerate(groups):
+        # A column without any value is inferred as text; it must not turn numbers into text.
+        doubtful = [c for c in names if kinds[c][i] == T.StringType() and len(set(kinds[c])) > 1]
+        if doubtful:
+            filled = spark.read.csv(list(group), header=True).agg(*[F.count(quoted(c)).alias(c) for c in doubtful]).first()
+            for c in doubtful:
+                if not filled[c]:
+                    kinds[c][i] = T.NullType()
+    return T.StructType([T.StructField(c, reduce(wider, kinds[c])) for c in names])
+
+
 def merge_csv_files(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None
 ) -> DataFrame:
@@ -116,11 +133,7 @@ def merge_csv_files(
         if set(header) != set(names):
             raise ValueError(f"files differ in columns {sorted(set(header) ^ set(names))}")
     if schema is None:
-        types: dict[str, T.DataType] = {}
-        for group in groups.values():
-            for field in spark.read.csv(group, header=True, inferSchema=True).schema.fields:
-                types[field.name] = wider(types.get(field.name, field.dataType), field.dataType)
-        schema = T.StructType([T.StructField(c, types[c]) for c in names])
+        schema = inferred_schema(spark, names, list(groups.values()))
     elif set(schema.fieldNames()) != set(names):
         raise ValueError(f"schema and files differ in columns {sorted(set(schema.fieldNames()) ^ set(names))}")
     reads = [
