@@ -51,8 +51,9 @@ def balance_bernoulli(
     """Each row of a kept class stays with probability smallest / size of its class.
 
     With ``key`` the draw is a digest of the row, the same on every run and partitioning.
-    Without it the draw is Spark's seeded ``rand``, taken right at the scan, before any shuffle,
-    so that a repeated task draws the same numbers.
+    Without it the draw is Spark's seeded ``rand``, taken before any shuffle, so that a repeated
+    task over the same file split draws the same numbers. A table that itself comes out of a
+    shuffle has no such fixed row order: give a key for it.
     """
     labelled = exclude_labels(df, target, ignore)
     sizes = class_sizes(labelled, target)

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from flowlab.functions.names import quoted
 from flowlab.operators.ranking import SMALL_TABLE_ROWS, hinted, running_totals
-from flowlab.storage import small_copy
 
 
 @dataclass(frozen=True)
@@ -24,31 +23,29 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(quoted(column)).distinct()
 
 
-def index_mappings(df: DataFrame, columns: Sequence[str]) -> dict[str, IndexMapping]:
-    """Per column, values numbered from 0 by falling frequency, equal ones by their text.
+def index_mapping(df: DataFrame, column: str) -> IndexMapping:
+    """Values of a column numbered from 0 by falling frequency, equal ones by their text.
 
-    One pass sizes all columns. Small value tables are ranked by one window; larger ones by a
-    range-partitioned running count.
+    Few values are numbered by the driver; more than ``SMALL_TABLE_ROWS`` by a range-partitioned
+    running count.
     """
-    if not columns:
-        return {}
-    estimate = df.agg(*[F.approx_count_distinct(quoted(c)).alias(c) for c in columns]).first()
-    mappings = {}
-    for c in columns:
-        counts = (
-            df.select(quoted(c).alias("value")).filter(F.col("value").isNotNull())
-            .groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-        )
-        order = [F.col("n").desc(), F.col("value").cast("string").asc()]
-        # The estimate is off by a few percent, hence the factor of two.
-        small = 2 * estimate[c] <= SMALL_TABLE_ROWS
-        if small:
-            ranked = counts.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-        else:
-            ranked = running_totals(counts, [], order, {"rank": F.lit(1)})
-        table = ranked.select("value", (F.col("rank") - 1).cast("int").alias("index"))
-        mappings[c] = IndexMapping(small_copy(table) if small else table, small)
-    return mappings
+    counts = (
+        df.select(quoted(column).alias("value")).filter(F.col("value").isNotNull())
+        .groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    )
+    order = [F.col("n").desc(), F.col("value").cast("string").asc()]
+    schema = T.StructType([T.StructField("value", counts.schema["value"].dataType), T.StructField("index", T.IntegerType())])
+    few = counts.withColumn("text", F.col("value").cast("string")).limit(SMALL_TABLE_ROWS + 1).collect()
+    if len(few) <= SMALL_TABLE_ROWS:
+        few.sort(key=lambda r: (-r["n"], r["text"]))
+        rows = [(r["value"], i) for i, r in enumerate(few)]
+        return IndexMapping(df.sparkSession.createDataFrame(rows, schema), True)
+    ranked = running_totals(counts, [], order, {"rank": F.lit(1)})
+    return IndexMapping(ranked.select("value", (F.col("rank") - 1).cast("int").alias("index")), False)
+
+
+def index_mappings(df: DataFrame, columns: Sequence[str]) -> dict[str, IndexMapping]:
+    return {c: index_mapping(df, c) for c in columns}
 
 
 def apply_index(

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from flowlab.functions.names import quoted
+from flowlab.storage import checkpointed
 
 BROADCAST_BYTES = 64 << 20
 # Distances held at a time, and rows per tile side.
@@ -86,7 +87,7 @@ def _candidates(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> Iterator[
 
 
 def _by_broadcast(train: DataFrame, queries: DataFrame, k: int, names: _Columns) -> DataFrame:
-    table = train.sparkSession.sparkContext.broadcast(train.toPandas())
+    table = train.sparkSession.sparkContext.broadcast(train.toArrow().to_pandas())
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -119,9 +120,11 @@ def _by_cells(
             cell = gaps.argmin(1)
             yield batch.assign(cell=cell.astype("int32"), gap=gaps[np.arange(len(cell)), cell])
 
-    placed = train.mapInPandas(
+    # Kept as written: a second assignment on other hardware could round a near tie to another
+    # cell, whose radius would then not cover the row.
+    placed = checkpointed(train.mapInPandas(
         assign, f"id {names.id_type}, label {names.label_type}, x array<double>, cell int, gap double"
-    )
+    ))
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.max("gap").alias("radius")).toPandas()
     home = cells["cell"].to_numpy()
     members, radius = cells["rows"].to_numpy(), cells["radius"].to_numpy()

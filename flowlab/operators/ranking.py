@@ -76,13 +76,40 @@ def rank_thresholds(
     class find nothing. Returns ``(class, cuts)`` where ``cuts`` lists ``(cut, position)`` with
     ``cut`` the index in the rank array. Class and key columns alone are read.
     """
-    digits = max(1, ceil(log(max(sizes.largest, BUCKET_ROWS) / BUCKET_ROWS, 16)))
     keyed = df.select(quoted(target).alias("class"), hash_position(key, seed).alias("position"))
-    keyed = keyed.withColumn("bucket", F.substring("position.h", 1, digits))
 
+    def wanted(size: Column) -> Column:
+        return F.transform(
+            ranks(size), lambda r, i: F.struct(i.alias("cut"), r.cast("long").alias("rank"))
+        )
+
+    if sizes.largest <= BUCKET_ROWS:
+        # Every class is known to fit one sort.
+        of_class = Window.partitionBy("class")
+        placed = keyed.select(
+            "class", "position",
+            F.row_number().over(of_class.orderBy("position")).alias("rank"),
+            wanted(F.count(F.lit(1)).over(of_class)).alias("wanted"),
+        )
+    else:
+        placed = _placed_in_buckets(keyed, wanted, sizes)
+    found = (
+        placed.withColumn("hit", F.explode(F.filter("wanted", lambda w: w["rank"] == F.col("rank"))))
+        .groupBy("class")
+        .agg(F.sort_array(F.collect_list(F.struct(F.col("hit.cut").alias("cut"), "position"))).alias("cuts"))
+    )
+    return small_copy(found) if sizes.small else found
+
+
+def _placed_in_buckets(
+    keyed: DataFrame, wanted: Callable[[Column], Column], sizes: ClassSizes
+) -> DataFrame:
+    """Rows of those hash buckets that hold a wanted rank, with their rank in the class."""
+    digits = ceil(log(sizes.largest / BUCKET_ROWS, 16))
+    keyed = keyed.withColumn("bucket", F.substring("position.h", 1, digits))
     of_class = Window.partitionBy("class")
     upto = of_class.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (
+    counted = (
         keyed.groupBy("class", "bucket").agg(F.count(F.lit(1)).alias("n"))
         .select(
             "class", "bucket",
@@ -91,26 +118,17 @@ def rank_thresholds(
             F.sum("n").over(of_class).alias("size"),
         )
     )
-    wanted = F.transform(
-        ranks(F.col("size")), lambda r, i: F.struct(i.alias("cut"), r.cast("long").alias("rank"))
+    inside = F.filter(
+        wanted(F.col("size")), lambda w: (w["rank"] > F.col("lower")) & (w["rank"] <= F.col("upper"))
     )
-    cuts = placed.select(
-        F.col("class").alias("cut_class"), F.col("bucket").alias("cut_bucket"), "lower",
-        F.filter(wanted, lambda w: (w["rank"] > F.col("lower")) & (w["rank"] <= F.col("upper"))).alias("wanted"),
+    cuts = counted.select(
+        F.col("class").alias("cut_class"), F.col("bucket").alias("cut_bucket"), "lower", inside.alias("wanted")
     ).filter(F.size("wanted") > 0)
-
     in_bucket = Window.partitionBy("class", "bucket").orderBy("position")
-    found = (
-        keyed.join(
-            hinted(cuts, sizes.small),
-            F.col("class").eqNullSafe(F.col("cut_class")) & (F.col("bucket") == F.col("cut_bucket")),
-        )
-        .withColumn("rank", F.row_number().over(in_bucket) + F.col("lower"))
-        .withColumn("hit", F.explode(F.filter("wanted", lambda w: w["rank"] == F.col("rank"))))
-        .groupBy("class")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("hit.cut").alias("cut"), "position"))).alias("cuts"))
-    )
-    return small_copy(found) if sizes.small else found
+    return keyed.join(
+        hinted(cuts, sizes.small),
+        F.col("class").eqNullSafe(F.col("cut_class")) & (F.col("bucket") == F.col("cut_bucket")),
+    ).withColumn("rank", F.row_number().over(in_bucket) + F.col("lower"))
 
 
 def running_totals(

@@ -15,8 +15,8 @@ from flowlab.plans import layers
 from flowlab.plans.settings import EtlSettings
 from flowlab.plans.training import FlowPreparation, training_set as make_training_set
 from flowlab.plans.views import (
-    CAPTURES, CAPTURE_HEADERS, FLOWS, SCORED, SCORES, captures, flows, scored, sql, table, vectors,
-    wide_vectors,
+    CAPTURES, CAPTURE_HEADERS, CAPTURE_NAMES, FLOWS, SCORED, SCORES, captures, flows, scored, sql, table,
+    vectors, wide_vectors,
 )
 from flowlab.sources.captures import check_headers, merge_by_name as merge_tables, read_flows
 from flowlab.sources.layers import load_mapping, read_layer, save_mapping, write_layer
@@ -36,9 +36,9 @@ CAPTURE_SQL = f"({sql(CAPTURES)})"
 SCORED_SQL = f"({sql(SCORED)})"
 
 
-def query(oracle: str | None = None) -> Callable:
+def query(oracle: str | None = None, name: str | None = None) -> Callable:
     def register(run: Callable[[SparkSession, str], DataFrame]) -> Callable:
-        REGISTRY[run.__name__] = Query(run, oracle)
+        REGISTRY[name or run.__name__] = Query(run, oracle)
         return run
 
     return register
@@ -52,12 +52,12 @@ def hash_order(key: str, seed: int = 2) -> str:
 
 
 def written_captures(spark: SparkSession, sf_dir: str) -> str:
-    """The captures as CSV files of two column orders in one scratch directory."""
+    """All captures as CSV files in one scratch directory, two periods of unlike column order."""
     directory = scratch_path(spark, "captures")
     df = captures(spark, sf_dir)
-    halves = F.col("`Unnamed: 0`") % 2
+    late = F.coalesce(F.col("` Timestamp`") >= F.lit("1996-01-01").cast("timestamp_ntz"), F.lit(False))
     back = [f"`{c}`" for c in reversed(df.columns)]
-    for part in (df.filter(halves == 0), df.filter(halves == 1).select(*back)):
+    for part in (df.filter(~late), df.filter(late).select(*back)):
         # The writer would strip the blanks that lead the header names.
         part.write.mode("append").csv(directory, header=True, ignoreLeadingWhiteSpace=False)
     return directory
@@ -67,18 +67,23 @@ def capture_schema(spark: SparkSession, sf_dir: str) -> T.StructType:
     return captures(spark, sf_dir).schema
 
 
-@query(f"""
-select flow_id, label, source_port, flow_bytes_s from {FLOW_SQL}
+@query("""
+select c_custkey as id, c_name as name, c_nationkey as nation, c_acctbal as balance from customer
+union all select s_suppkey, s_name, s_nationkey, s_acctbal from supplier
+union all select p_partkey, p_name, p_size, p_retailprice from part
 """)
 def merge_by_name(spark, sf_dir):
-    df = flows(spark, sf_dir).select("flow_id", "label", "source_port", "flow_bytes_s")
-    thirds = [df.filter(F.col("flow_id") % 3 == i) for i in range(3)]
-    shuffled = [
-        thirds[0],
-        thirds[1].select("label", "flow_bytes_s", "source_port", "flow_id"),
-        thirds[2].select("flow_bytes_s", "flow_id", "label", F.col("source_port").cast("long")),
-    ]
-    return merge_tables(shuffled).withColumn("source_port", F.col("source_port").cast("int"))
+    """Three tables that list the same columns in different orders, one with a wider type."""
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as id", "c_name as name", "c_nationkey as nation", "c_acctbal as balance"
+    )
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "s_acctbal as balance", "s_nationkey as nation", "s_name as name", "s_suppkey as id"
+    )
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "p_name as name", "p_retailprice as balance", "p_partkey as id", "cast(p_size as bigint) as nation"
+    )
+    return merge_tables([customers, suppliers, parts]).withColumn("nation", F.col("nation").cast("int"))
 
 
 @query(f"""
@@ -88,10 +93,7 @@ from {CAPTURE_SQL}
 """)
 def csv_merge(spark, sf_dir):
     df = read_flows(spark, written_captures(spark, sf_dir), capture_schema(spark, sf_dir))
-    named = df.select(*[f"`{c}`" for c in CAPTURE_HEADERS]).toDF(
-        "row_no", "flow_name", "source_ip", "source_port", "destination_ip", "destination_port", "protocol",
-        "flow_ts", "flow_bytes_s", "flow_packets_s", "const_col", "similar_http", "label",
-    )
+    named = df.select(*[f"`{c}`" for c in CAPTURE_HEADERS]).toDF(*CAPTURE_NAMES)
     return named.drop("flow_ts", "const_col", "similar_http")
 
 
@@ -211,13 +213,11 @@ def ip_class(spark, sf_dir):
     return flows(spark, sf_dir).select("flow_id", "source_ip", private_ip(F.col("source_ip")).alias("is_private"))
 
 
-@query(f"select flow_id, source_port, {port_sql('source_port')} as port_id from {FLOW_SQL}")
+@query(f"select flow_id, source_port, {port_sql('source_port')} as port_id from {FLOW_SQL}", name="port_id")
 def port_group(spark, sf_dir):
     return flows(spark, sf_dir).select("flow_id", "source_port", port_id(F.col("source_port")).alias("port_id"))
 
 
-REGISTRY["port_id"] = REGISTRY.pop("port_group")
-
 
 @query(f"""
 select flow_id, cast(year(flow_ts) as int) as year, cast(month(flow_ts) as int) as month, cast(day(flow_ts) as int) as day
@@ -233,25 +233,21 @@ EXP_SUM = " + ".join(f"exp({s} - top)" for s in SCORES)
 @query(f"""
 with t as (select *, greatest({', '.join(SCORES)}) as top from {SCORED_SQL})
 select row_id, {', '.join(f'round(exp({s} - top) / ({EXP_SUM}), 6) as p{i}' for i, s in enumerate(SCORES))} from t
-""")
+""", name="softmax")
 def scores_softmax(spark, sf_dir):
     df = scored(spark, sf_dir).select("row_id", softmax(F.array(*SCORES)).alias("p"))
     return df.select("row_id", *[F.round(F.get("p", F.lit(i)), 6).alias(f"p{i}") for i in range(len(SCORES))])
 
 
-REGISTRY["softmax"] = REGISTRY.pop("scores_softmax")
-
 
 @query(f"""
 with t as (select *, greatest({', '.join(SCORES)}) as top from {SCORED_SQL})
 select row_id, case {' '.join(f'when {s} = top then {i}' for i, s in enumerate(SCORES))} end as best from t
-""")
+""", name="argmax_class")
 def scores_argmax(spark, sf_dir):
     return scored(spark, sf_dir).select("row_id", argmax_class(F.array(*SCORES)).alias("best"))
 
 
-REGISTRY["argmax_class"] = REGISTRY.pop("scores_argmax")
-
 
 # ---------------------------------------------------------------- classes, balance, split
 
@@ -371,10 +367,7 @@ STAR = {
 
 
 def star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = captures(spark, sf_dir).toDF(
-        "flow_id", "flow_name", "source_ip", "source_port", "destination_ip", "destination_port", "protocol",
-        "flow_ts", "flow_bytes_s", "flow_packets_s", "const_col", "similar_http", "label",
-    )
+    df = captures(spark, sf_dir).toDF(*CAPTURE_NAMES).withColumnRenamed("row_no", "flow_id")
     kept = df.select(
         "flow_id", "flow_ts", "flow_bytes_s", "source_ip", "source_port", "destination_ip", "destination_port",
         "protocol", "label",
