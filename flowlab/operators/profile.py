@@ -13,8 +13,8 @@ from flowlab.functions.numbers import as_double, finite, is_numeric, known
 from flowlab.operators.balance import class_counts
 from flowlab.operators.batches import matrix, packed, upper_triangle
 
-# Up to this many column pairs the JVM's own aggregate is used.
-NARROW_PAIRS = 60
+# Up to this many column pairs the JVM's own aggregates are used.
+NARROW_PAIRS = 10
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

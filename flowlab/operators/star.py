@@ -24,11 +24,12 @@ def surrogate_key(columns: Sequence[str]) -> Column:
 def star_dimensions(df: DataFrame, spec: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
     """One table per dimension: ``<name>_id`` and its columns, each combination once.
 
-    Keys are computed from the values, so no numbering pass over the dimension is needed.
+    Keys are computed from the values, so no numbering pass over the dimension is needed; and
+    before the duplicates go, as grouping would turn -0.0 into 0.0 and with it the key.
     """
     return {
-        name: df.select(*[quoted(c) for c in columns]).distinct()
-        .select(surrogate_key(columns).alias(f"{name}_id"), *[quoted(c) for c in columns])
+        name: df.select(surrogate_key(columns).alias(f"{name}_id"), *[quoted(c) for c in columns])
+        .distinct()
         for name, columns in spec.items()
     }
 

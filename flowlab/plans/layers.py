@@ -110,36 +110,76 @@ def without_constants(settings: EtlSettings, constants: Collection[str]) -> EtlS
     )
 
 
-def run_etl(
+def layer_path(layers: str, name: str) -> str:
+    return f"{layers.rstrip('/')}/{name}"
+
+
+def run_raw(
     spark: SparkSession, captures: str, layers: str, settings: EtlSettings = EtlSettings()
-) -> dict[str, str]:
-    """Read a directory of CSV captures and write every layer; returns the paths by layer.
+) -> str:
+    """Read a directory of CSV captures and write the raw layer; returns its path.
 
     The text is parsed once, into ``landing``: balancing reads the label and key columns several
     times, which costs little on Parquet and a full parse each time on CSV.
     """
     s = settings
-    paths = {name: f"{layers.rstrip('/')}/{name}" for name in ("landing", "raw", "staging", "business", "mappings")}
-    write_layer(clean_headers(read_flows(spark, captures, s.schema, s.extension)), paths["landing"])
+    landed = clean_headers(read_flows(spark, captures, s.schema, s.extension))
+    if s.target is None:
+        return write_layer(drop_columns(landed, s.raw_drop), layer_path(layers, "raw"))
+    write_layer(landed, layer_path(layers, "landing"))
+    key = None if s.balance_key is None else [clean_name(c) for c in s.balance_key]
     raw = raw_layer(
-        read_layer(spark, paths["landing"]),
-        clean_name(s.target) if s.target is not None else None,
-        s.ignore_labels, s.raw_drop,
-        [clean_name(c) for c in s.balance_key] if s.balance_key is not None else None, s.seed,
+        read_layer(spark, layer_path(layers, "landing")), clean_name(s.target), s.ignore_labels,
+        s.raw_drop, key, s.seed,
     )
-    write_layer(raw, paths["raw"])
+    return write_layer(raw, layer_path(layers, "raw"))
+
+
+def run_staging(
+    spark: SparkSession, raw_path: str, layers: str, settings: EtlSettings = EtlSettings()
+) -> str:
+    """Write the staging layer of a raw layer; returns its path."""
+    s = settings
     staging = staging_layer(
-        read_layer(spark, paths["raw"]), s.filter_columns, s.staging_drop, s.fill_max, s.drop_constants
+        read_layer(spark, raw_path), s.filter_columns, s.staging_drop, s.fill_max, s.drop_constants
     )
-    write_layer(staging, paths["staging"])
-    s = without_constants(s, set(raw.columns) - set(staging.columns))
+    return write_layer(staging, layer_path(layers, "staging"))
+
+
+def run_business(
+    spark: SparkSession, staging_path: str, layers: str, settings: EtlSettings = EtlSettings()
+) -> str:
+    """Write the business layer and the value mappings of a staging layer; returns its path."""
+    s = settings
     business, mappings = business_layer(
-        read_layer(spark, paths["staging"]), s.ip_columns, s.index_columns, s.ports, s.port_columns
+        read_layer(spark, staging_path), s.ip_columns, s.index_columns, s.ports, s.port_columns
     )
-    write_layer(business, paths["business"])
     for column, mapping in mappings.items():
-        save_mapping(mapping.table, f"{paths['mappings']}/{column}")
-    return paths
+        save_mapping(mapping.table, layer_path(layers, f"mappings/{column}"))
+    return write_layer(business, layer_path(layers, "business"))
+
+
+def run_etl(
+    spark: SparkSession, captures: str, layers: str, settings: EtlSettings = EtlSettings()
+) -> dict[str, str]:
+    """All layers from a directory of CSV captures; returns the paths by layer."""
+    raw = run_raw(spark, captures, layers, settings)
+    staging = run_staging(spark, raw, layers, settings)
+    lost = set(read_layer(spark, raw).columns) - set(read_layer(spark, staging).columns)
+    business = run_business(spark, staging, layers, without_constants(settings, lost))
+    return {
+        "raw": raw, "staging": staging, "business": business, "mappings": layer_path(layers, "mappings")
+    }
+
+
+def run_cloud_etl(
+    spark: SparkSession, raw_path: str, layers: str, settings: EtlSettings = EtlSettings()
+) -> dict[str, str]:
+    """The two cloud jobs: constants stay, and the business layer filters once more."""
+    staging = run_staging(spark, raw_path, layers, replace(settings, drop_constants=False))
+    business = cloud_business_layer(read_layer(spark, staging), settings.filter_columns, settings.ip_columns,
+                                    port_columns=settings.port_columns, ports=settings.ports)
+    return {"staging": staging, "business": write_layer(business, layer_path(layers, "business"))}
 
 
 def unlabelled(settings: EtlSettings) -> EtlSettings:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from flowlab.functions.names import quoted
 from flowlab.operators.clean import FillProfile, clean_headers
@@ -14,8 +14,11 @@ from flowlab.operators.discriminant import DiscriminantModel
 from flowlab.operators.encode import IndexMapping, index_mappings
 from flowlab.operators.models import score
 from flowlab.operators.scale import MinMaxModel
-from flowlab.plans.layers import business_layer, staging_rows, unlabelled, without_constants
+from flowlab.plans.layers import (
+    business_layer, layer_path, staging_rows, unlabelled, without_constants,
+)
 from flowlab.plans.settings import EtlSettings
+from flowlab.sources.layers import read_layer, save_mapping, write_layer
 
 
 def training_set(
@@ -36,6 +39,21 @@ def training_set(
     return reducer.transform(scaler.transform(df), components), scaler, reducer
 
 
+def run_training_set(
+    spark: SparkSession, business_path: str, layers: str, settings: EtlSettings = EtlSettings()
+) -> dict[str, str]:
+    """Write the training set and the variance table of a business layer; returns their paths."""
+    s = settings
+    reduced, _, reducer = training_set(
+        read_layer(spark, business_path), s.label_index, s.categorical, s.components
+    )
+    ratios = spark.createDataFrame(reducer.explained_variance(), "k int, ratio double")
+    return {
+        "training_set": write_layer(reduced, layer_path(layers, "training_set")),
+        "variance_ratio": save_mapping(ratios.coalesce(1), layer_path(layers, "variance_ratio")),
+    }
+
+
 @dataclass(frozen=True)
 class FlowPreparation:
     """Everything learnt from labelled flows that unlabelled flows need to be scored alike."""

@@ -66,6 +66,12 @@ def test_star_round_trip(spark):
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
 
 
+def test_star_keeps_rows_with_negative_zero(spark):
+    df = spark.createDataFrame([(1, -0.0), (2, 0.0)], "id int, v double")
+    spec = {"value": ["v"]}
+    assert star.star_join(star.star_fact(df, spec), star.star_dimensions(df, spec)).count() == 2
+
+
 def test_date_parts(spark):
     df = spark.sql("select timestamp_ntz'2018-11-03 09:18:16' as t")
     assert star.date_parts(df, "t").drop("t").first() == (2018, 11, 3)

@@ -5,10 +5,11 @@ import pytest
 
 from flowlab.operators.models import train_mlp
 from flowlab.plans.layers import (
-    business_layer, cloud_business_layer, raw_layer, run_etl, staging_layer, unlabelled, without_constants,
+    business_layer, cloud_business_layer, raw_layer, run_cloud_etl, run_etl, run_raw, staging_layer, unlabelled,
+    without_constants,
 )
 from flowlab.plans.settings import EtlSettings
-from flowlab.plans.training import FlowPreparation, training_set
+from flowlab.plans.training import FlowPreparation, run_training_set, training_set
 from flowlab.sources.captures import read_flows
 from flowlab.sources.layers import load_mapping, read_layer
 from tests.plans import assert_absent, plan_text
@@ -68,6 +69,26 @@ def test_etl_writes_every_layer(spark, folder, tmp_path, key):
     assert Counter(r.Label_Index for r in business.collect()) == {saved[v]: n for v, n in counts.items()}
 
 
+def test_training_set_from_the_business_layer(spark, folder, tmp_path):
+    settings = EtlSettings(balance_key=("Unnamed: 0",), components=2)
+    paths = run_etl(spark, folder, str(tmp_path), settings)
+    made = run_training_set(spark, paths["business"], str(tmp_path), settings)
+    train = read_layer(spark, made["training_set"])
+    assert train.columns == ["c0", "c1", "Label_Index"] and train.count() == read_layer(spark, paths["business"]).count()
+    ratios = {r.k: r.ratio for r in load_mapping(spark, made["variance_ratio"], "k int, ratio double").collect()}
+    assert list(ratios) == [1, 2] and ratios[2] == pytest.approx(1.0)
+
+    cloud = run_cloud_etl(spark, paths["raw"], str(tmp_path / "cloud"), settings)
+    business = read_layer(spark, cloud["business"])
+    assert {"Destination_IP", "Flag", "Protocal_Index", "Label_Index"} <= set(business.columns)
+    assert business.count() == train.count()
+
+
+def test_unlabelled_run_balances_nothing(spark, folder, tmp_path):
+    path = run_raw(spark, folder, str(tmp_path), unlabelled(EtlSettings()))
+    assert read_layer(spark, path).count() == 600
+
+
 def test_unlabelled_captures(spark, folder):
     labelled = read_flows(spark, folder)
     raw = raw_layer(labelled, drop=["SimilarHTTP"])
