@@ -534,10 +534,15 @@ REDUCED = [f"c{i}" for i in range(6)]
 
 
 def reduced_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Six discriminant components of the vectors, fitted on the training side only."""
-    train, test = split.train_test(wide_vectors(spark, sf_dir), "label", ["vec_id"])
-    model = DiscriminantModel.fit(train, "label", [f"e{i}" for i in range(64)])
-    return model.transform(train, 6), model.transform(test, 6)
+    """Six discriminant components of the vectors, fitted on the training side only.
+
+    The reduced rows are written like any training set: trainers read them many times.
+    """
+    marked = split.stratified_split(wide_vectors(spark, sf_dir), "label", ["vec_id"])
+    model = DiscriminantModel.fit(marked.filter("not is_test"), "label", [f"e{i}" for i in range(64)])
+    path = write_layer(model.transform(marked, 6), scratch_path(spark, "training"))
+    reduced = read_layer(spark, path)
+    return reduced.filter("not is_test"), reduced.filter("is_test")
 
 
 @query()
@@ -561,7 +566,8 @@ def tune_boosted(spark, sf_dir):
     # Benign against malicious: one class against all others.
     binary = df.withColumn("malicious", (F.col("label") > 0).cast("int"))
     reduced = DiscriminantModel.fit(df, "label", [f"e{i}" for i in range(64)]).transform(binary, 6)
-    folds = split.stratified_kfold(reduced.drop("label"), "malicious", ["vec_id"], k=3)
+    path = write_layer(reduced.drop("label"), scratch_path(spark, "training"))
+    folds = split.stratified_kfold(read_layer(spark, path), "malicious", ["vec_id"], k=3)
     ranges = {**models.SEARCH_RANGES, "trees": (2, 4), "depth": (2, 3)}
     return models.tune_boosted(folds, REDUCED, "malicious", "fold", k=3, trials=2, ranges=ranges)
 
