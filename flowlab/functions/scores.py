@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
+def _with_one(scores: Column, value: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Combine every score with one value, which is thereby worked out once per row."""
+    return F.zip_with(scores, F.array_repeat(value, F.size(scores)), combine)
+
+
 def _shifted_exp(scores: Column) -> Column:
-    return F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
+    return _with_one(scores, F.array_max(scores), lambda s, top: F.exp(s - top))
 
 
 def _total(values: Column) -> Column:
@@ -15,7 +22,8 @@ def _total(values: Column) -> Column:
 
 def softmax(scores: Column) -> Column:
     """Class probabilities; shifting by the largest score keeps ``exp`` from overflowing."""
-    return F.transform(_shifted_exp(scores), lambda e: e / _total(_shifted_exp(scores)))
+    powers = _shifted_exp(scores)
+    return _with_one(powers, _total(powers), lambda e, total: e / total)
 
 
 def argmax_class(scores: Column) -> Column:

@@ -3,8 +3,10 @@
 A training set whose size was checked is broadcast and each task scores its own query rows.
 Beyond that size the training rows are cut into cells around pivot rows; each query is sent only
 to the cells that can still hold one of its neighbours (triangle inequality), as in the
-published MapReduce kNN joins. Large cells are tiled on both sides, so a cell with a third of
-all rows is many small tasks. A task emits k candidates per query and tile, never all pairs.
+published MapReduce kNN joins. Neighbouring small cells share a bin, so that a query travels once
+per bin and never more often than plain blocks of that size would need; large bins are tiled on
+both sides, so a cell with a third of all rows is many small tasks. A task emits k candidates
+per query and tile, never all pairs.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from flowlab.functions.names import quoted
 from flowlab.storage import checkpointed
@@ -101,8 +103,12 @@ def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip(squares, 0.0, None))
 
 
-def _tiles(rows: Column, tile_rows: int) -> Column:
-    return F.ceil(rows / F.lit(tile_rows)).cast("int")
+def _binned(cells: pd.DataFrame, pivots: np.ndarray, tile_rows: int) -> pd.DataFrame:
+    """The cells in the order of their pivots' main axis, cut into bins of about ``tile_rows``."""
+    here = pivots[cells["cell"]]
+    axis = np.linalg.svd(here - here.mean(0), full_matrices=False)[2][0]
+    cells = cells.iloc[np.argsort(here @ axis, kind="stable")].reset_index(drop=True)
+    return cells.assign(bin=(cells["rows"].cumsum() - cells["rows"]) // tile_rows)
 
 
 def _by_cells(
@@ -126,8 +132,9 @@ def _by_cells(
         assign, f"id {names.id_type}, label {names.label_type}, x array<double>, cell int, gap double"
     ))
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.max("gap").alias("radius")).toPandas()
-    home = cells["cell"].to_numpy()
-    members, radius = cells["rows"].to_numpy(), cells["radius"].to_numpy()
+    cells = _binned(cells, pivots, tile_rows)
+    home, members, radius = (cells[c].to_numpy() for c in ("cell", "rows", "radius"))
+    bins, first_cell = np.unique(cells["bin"], return_index=True)
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -141,35 +148,36 @@ def _by_cells(
             order = farthest.argsort(1)
             enough = (members[order].cumsum(1) >= min(k, rows)).argmax(1)
             bound = np.take_along_axis(farthest, np.take_along_axis(order, enough[:, None], 1), 1)
-            query, cell = np.nonzero(gaps - radius <= bound + slack)
+            open_cells = gaps - radius <= bound + slack
+            query, place = np.nonzero(np.logical_or.reduceat(open_cells, first_cell, axis=1))
             yield pd.DataFrame({
                 "q": batch["q"].to_numpy()[query], "x": batch["x"].to_numpy()[query],
-                "cell": home[cell].astype("int32"),
+                "bin": bins[place].astype("int32"),
             })
 
-    sent = queries.mapInPandas(visits, f"q {names.query_type}, x array<double>, cell int")
-    # Both sides of a cell are tiled by its own row counts; the table has a row per pivot at most.
-    tiling = sent.groupBy("cell").agg(F.count(F.lit(1)).alias("queries")).toPandas().merge(cells, on="cell")
-    if tiling.empty:
+    sent = queries.mapInPandas(visits, f"q {names.query_type}, x array<double>, bin int")
+    # Both sides of a bin are tiled by its own row counts; the tables have a row per pivot at most.
+    asked = sent.groupBy("bin").agg(F.count(F.lit(1)).alias("queries")).toPandas()
+    sizes = cells.groupby("bin", as_index=False)["rows"].sum().merge(asked, on="bin")
+    if sizes.empty:
         return train.sparkSession.createDataFrame([], names.candidates)
-    grid = F.broadcast(train.sparkSession.createDataFrame(tiling[["cell", "rows", "queries"]])).select(
-        F.col("cell").cast("int"), _tiles(F.col("rows"), tile_rows).alias("t"),
-        _tiles(F.col("queries"), tile_rows).alias("u"),
+    sizes["t"], sizes["u"] = -(-sizes["rows"] // tile_rows), -(-sizes["queries"] // tile_rows)
+    grid = train.sparkSession.createDataFrame(sizes[["bin", "t", "u"]])
+    homes = train.sparkSession.createDataFrame(cells[["cell", "bin"]].merge(sizes[["bin", "t", "u"]], on="bin"))
+    train_tiles = placed.join(F.broadcast(homes), "cell").select(
+        "id", "label", "x", F.col("bin").cast("int"), F.pmod(F.xxhash64("id"), "t").cast("int").alias("tile"),
+        F.explode(F.sequence(F.lit(0), F.col("u").cast("int") - 1)).alias("part"),
     )
-    train_tiles = placed.join(grid, "cell").select(
-        "id", "label", "x", "cell", F.pmod(F.xxhash64("id"), F.col("t")).cast("int").alias("tile"),
-        F.explode(F.sequence(F.lit(0), F.col("u") - 1)).alias("part"),
-    )
-    query_tiles = sent.join(grid, "cell").select(
-        "q", "x", "cell", F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias("tile"),
-        F.pmod(F.xxhash64("q"), F.col("u")).cast("int").alias("part"),
+    query_tiles = sent.join(F.broadcast(grid), "bin").select(
+        "q", "x", F.col("bin").cast("int"), F.explode(F.sequence(F.lit(0), F.col("t").cast("int") - 1)).alias("tile"),
+        F.pmod(F.xxhash64("q"), "u").cast("int").alias("part"),
     )
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = list(_candidates(left, right, k)) if len(left) and len(right) else []
         return pd.concat(found) if found else pd.DataFrame(columns=["q", "distance", "id", "label"])
 
-    keys = ["cell", "tile", "part"]
+    keys = ["bin", "tile", "part"]
     return query_tiles.groupBy(*keys).cogroup(train_tiles.groupBy(*keys)).applyInPandas(score, names.candidates)
 
 
