@@ -73,13 +73,19 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     cells = _pair_counts(df, label, prediction)
     hits = F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)
     zero = F.lit(0).cast("long")
+
+    def side(name: str, support: Column, predicted: Column, hits: Column) -> Column:
+        return F.struct(
+            F.col(name).alias("class"), support.alias("support"), predicted.alias("predicted"),
+            hits.cast("long").alias("hits"),
+        )
+
     sides = cells.select(F.inline(F.array(
-        F.struct(F.col("label").alias("class"), F.col("n").alias("support"), zero.alias("predicted"), hits.cast("long").alias("hits")),
-        F.struct(F.col("pred").alias("class"), zero.alias("support"), F.col("n").alias("predicted"), zero.alias("hits")),
+        side("label", F.col("n"), zero, hits), side("pred", zero, F.col("n"), zero)
     )))
     per_class = (
         sides.groupBy("class")
-        .agg(F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("hits").alias("hits"))
+        .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
         .withColumn("precision", _ratio(F.col("hits"), F.col("predicted")))
         .withColumn("recall", _ratio(F.col("hits"), F.col("support")))
         .withColumn(
@@ -124,7 +130,8 @@ def threshold_counts(df: DataFrame, label: str, scores: Sequence[str]) -> DataFr
     threshold. Equal scores are merged before the shuffle; the cumulation is spread over range
     partitions, so a class with a billion distinct scores is no single task.
     """
-    long = df.select(F.posexplode(F.array(*[quoted(c) for c in scores])).alias("class", "threshold"), quoted(label).alias("label"))
+    each = F.posexplode(F.array(*[quoted(c) for c in scores])).alias("class", "threshold")
+    long = df.select(each, quoted(label).alias("label"))
     hit = (F.col("label") == F.col("class")).cast("long")
     steps = long.groupBy("class", "threshold").agg(F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg"))
     summed = running_totals(

@@ -59,7 +59,8 @@ def digest(key: Sequence[str], seed: int) -> Column:
 
 def hash_position(key: Sequence[str], seed: int) -> Column:
     """Sort position of a row: digest first, key columns to settle equal digests."""
-    return F.struct(digest(key, seed).alias("h"), *[quoted(c).alias(f"k{i}") for i, c in enumerate(key)])
+    parts = [quoted(c).alias(f"k{i}") for i, c in enumerate(key)]
+    return F.struct(digest(key, seed).alias("h"), *parts)
 
 
 def rank_thresholds(
@@ -72,7 +73,8 @@ def rank_thresholds(
 ) -> DataFrame:
     """Per class (NULL is one), the hash positions found at the given ranks.
 
-    ``key`` must tell the rows apart. ``ranks`` maps the class size to an array of ranks (1 = first); ranks below 1 or beyond the
+    ``key`` must tell the rows apart; the job fails if two rows at a threshold are equal in it.
+    ``ranks`` maps the class size to an array of ranks (1 = first); ranks below 1 or beyond the
     class find nothing. Returns ``(class, cuts)`` where ``cuts`` lists ``(cut, position)`` with
     ``cut`` the index in the rank array. Class and key columns alone are read.
     """
@@ -86,15 +88,21 @@ def rank_thresholds(
     if sizes.largest <= BUCKET_ROWS:
         # Every class is known to fit one sort.
         of_class = Window.partitionBy("class")
+        in_order = of_class.orderBy("position")
         placed = keyed.select(
             "class", "position",
-            F.row_number().over(of_class.orderBy("position")).alias("rank"),
+            F.row_number().over(in_order).alias("rank"),
+            F.lead("position").over(in_order).alias("next"),
             wanted(F.count(F.lit(1)).over(of_class)).alias("wanted"),
         )
     else:
         placed = _placed_in_buckets(keyed, wanted, sizes)
+    # Rows equal to a threshold would all fall on the same side of it.
+    twin = F.coalesce(F.col("next") == F.col("position"), F.lit(False))
+    unlike = F.assert_true(~twin, f"columns {list(key)} do not tell the rows apart")
     found = (
         placed.withColumn("hit", F.explode(F.filter("wanted", lambda w: w["rank"] == F.col("rank"))))
+        .filter(unlike.isNull())
         .groupBy("class")
         .agg(F.sort_array(F.collect_list(F.struct(F.col("hit.cut").alias("cut"), "position"))).alias("cuts"))
     )
@@ -122,13 +130,15 @@ def _placed_in_buckets(
         wanted(F.col("size")), lambda w: (w["rank"] > F.col("lower")) & (w["rank"] <= F.col("upper"))
     )
     cuts = counted.select(
-        F.col("class").alias("cut_class"), F.col("bucket").alias("cut_bucket"), "lower", inside.alias("wanted")
+        F.col("class").alias("cut_class"), F.col("bucket").alias("cut_bucket"), "lower",
+        inside.alias("wanted"),
     ).filter(F.size("wanted") > 0)
     in_bucket = Window.partitionBy("class", "bucket").orderBy("position")
-    return keyed.join(
-        hinted(cuts, sizes.small),
-        F.col("class").eqNullSafe(F.col("cut_class")) & (F.col("bucket") == F.col("cut_bucket")),
-    ).withColumn("rank", F.row_number().over(in_bucket) + F.col("lower"))
+    same_bucket = F.col("class").eqNullSafe(F.col("cut_class")) & (F.col("bucket") == F.col("cut_bucket"))
+    return keyed.join(hinted(cuts, sizes.small), same_bucket).withColumns({
+        "rank": F.row_number().over(in_bucket) + F.col("lower"),
+        "next": F.lead("position").over(in_bucket),
+    })
 
 
 def running_totals(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from flowlab.functions.names import quoted
 from flowlab.operators.clean import FillProfile, clean_headers
 from flowlab.operators.discriminant import DiscriminantModel
-from flowlab.operators.encode import IndexMapping, index_mappings
+from flowlab.operators.encode import IndexMapping
 from flowlab.operators.models import score
 from flowlab.operators.scale import MinMaxModel
 from flowlab.plans.layers import (

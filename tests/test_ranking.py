@@ -9,7 +9,7 @@ from flowlab.operators import ranking
 from flowlab.operators.balance import balance_bernoulli, balance_exact
 from flowlab.operators.ranking import hash_position, running_totals
 from flowlab.operators.split import stratified_kfold, stratified_split, train_test
-from tests.plans import assert_absent, plan_text
+from tests.plans import assert_absent
 
 
 @pytest.fixture(params=["one bucket", "many buckets", "large tables"])
@@ -33,7 +33,8 @@ def rows(spark):
 
 def ranked(rows):
     w = Window.partitionBy(" Label").orderBy(hash_position(["id"], 2))
-    return rows.withColumn("rn", F.row_number().over(w)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(" Label")))
+    size = F.count(F.lit(1)).over(Window.partitionBy(" Label"))
+    return rows.withColumn("rn", F.row_number().over(w)).withColumn("n", size)
 
 
 def test_balance_is_exact(rows, path):
@@ -89,10 +90,21 @@ def test_folds_match_ntile(rows, path):
 
 
 def test_full_rows_are_not_shuffled(rows):
-    for df in (balance_exact(rows, " Label", ["id"]), stratified_split(rows, " Label", ["id"]), stratified_kfold(rows, " Label", ["id"])):
+    for make in (balance_exact, stratified_split, stratified_kfold):
+        df = make(rows, " Label", ["id"])
         assert_absent(df, "hashpartitioning", "SinglePartition", "Sort ", "Window")
 
 
+def test_keys_that_repeat_are_refused(spark, path):
+    copies = spark.range(200).select((F.col("id") % 2).alias("y"), F.lit(1).alias("k"))
+    for make in (stratified_split, stratified_kfold):
+        with pytest.raises(Exception, match="do not tell the rows apart"):
+            make(copies, "y", ["k"]).collect()
+    uneven = copies.unionAll(copies.filter("y = 1"))
+    with pytest.raises(Exception, match="do not tell the rows apart"):
+        balance_exact(uneven, "y", ["k"]).collect()
+
+
 @pytest.mark.parametrize("parts", ["1", "3", "8"])
 def test_running_totals(spark, parts):
     old = spark.conf.get("spark.sql.shuffle.partitions")
