@@ -33,17 +33,19 @@ class ClassSizes:
     classes: int
     smallest: int
     largest: int
+    cuts: int
 
     @property
     def small(self) -> bool:
-        return self.classes <= SMALL_TABLE_ROWS
+        """Whether a table with ``cuts`` entries per class may be held by the driver."""
+        return self.classes * self.cuts <= SMALL_TABLE_ROWS
 
 
-def class_sizes(df: DataFrame, target: str) -> ClassSizes:
+def class_sizes(df: DataFrame, target: str, cuts: int = 1) -> ClassSizes:
     """How many classes there are and how large the extremes are, read from the label alone."""
     sizes = df.groupBy(quoted(target)).agg(F.count(F.lit(1)).alias("n"))
     row = sizes.agg(F.count("n"), F.min("n"), F.max("n")).first()
-    return ClassSizes(row[0], row[1] or 0, row[2] or 0)
+    return ClassSizes(row[0], row[1] or 0, row[2] or 0, cuts)
 
 
 def hinted(df: DataFrame, small: bool) -> DataFrame:

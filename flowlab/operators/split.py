@@ -11,9 +11,10 @@ from flowlab.operators.ranking import class_sizes, hash_position, hinted, rank_t
 
 
 def _with_cuts(
-    df: DataFrame, target: str, key: Sequence[str], seed: int, ranks: Callable[[Column], Column]
+    df: DataFrame, target: str, key: Sequence[str], seed: int, ranks: Callable[[Column], Column],
+    cuts_per_class: int,
 ) -> DataFrame:
-    sizes = class_sizes(df, target)
+    sizes = class_sizes(df, target, cuts_per_class)
     cuts = rank_thresholds(df, target, key, seed, ranks, sizes).select(
         F.col("class").alias("_class"), F.col("cuts").alias("_cuts")
     )
@@ -29,7 +30,7 @@ def stratified_split(
 
     The rows of a class are ordered by a digest of ``key``, which must tell the rows apart.
     """
-    marked = _with_cuts(df, target, key, seed, lambda n: F.array(F.round(n * F.lit(fraction))))
+    marked = _with_cuts(df, target, key, seed, lambda n: F.array(F.round(n * F.lit(fraction))), 1)
     last = F.get("_cuts", F.lit(0))["position"]
     inside = F.coalesce(hash_position(key, seed) <= last, F.lit(False))
     return marked.withColumn("is_test", inside).drop("_cuts")
@@ -58,7 +59,7 @@ def stratified_kfold(
         base, extra = F.floor(n / k), n % k
         return F.array(*[base * j + F.least(F.lit(j), extra) for j in range(1, k)])
 
-    marked = _with_cuts(df, target, key, seed, fold_ends)
+    marked = _with_cuts(df, target, key, seed, fold_ends, k - 1)
     here = hash_position(key, seed)
     # Ends at rank 0 (classes smaller than k never have one) are absent from the cut list.
     passed = F.size(F.filter(F.coalesce("_cuts", F.array()), lambda c: c["position"] < here))
