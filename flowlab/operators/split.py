@@ -55,6 +55,9 @@ def stratified_kfold(
     Folds are consecutive stretches of the digest order, so a row's fold is the number of the
     k-1 fold ends that lie before it.
     """
+    if k < 2:
+        raise ValueError("at least two folds are needed")
+
     def fold_ends(n: Column) -> Column:
         base, extra = F.floor(n / k), n % k
         return F.array(*[base * j + F.least(F.lit(j), extra) for j in range(1, k)])

@@ -89,6 +89,11 @@ def test_folds_match_ntile(rows, path):
         assert max(sizes.values()) - min(sizes.get(f, 0) for f in range(4)) <= 1
 
 
+def test_one_fold_is_refused(rows):
+    with pytest.raises(ValueError):
+        stratified_kfold(rows, " Label", ["id"], k=1)
+
+
 def test_full_rows_are_not_shuffled(rows):
     for make in (balance_exact, stratified_split, stratified_kfold):
         df = make(rows, " Label", ["id"])
