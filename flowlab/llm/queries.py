@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import decontaminate
+from flowlab.llm import decontaminate, pfor
 from flowlab.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,15 @@ def op2_decontaminate(spark, sf_dir):
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
     )
+
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 2
+
+
+@query()
+def op10_pfor_tokens(spark, sf_dir):
+    found = pfor.token_round_trip(read_table(spark, sf_dir, "documents"), BYTE_BPE, END_ID)
+    return found.select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
