@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import decontaminate, pfor
+from flowlab.llm import decontaminate, pfor, warc
 from flowlab.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,19 @@ def op10_pfor_tokens(spark, sf_dir):
     return found.select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query("""
+with p as (
+ select page_id, encode(coalesce(html, '')) as body, sha256(coalesce(html, '')) as digest from pages
+), g as (select digest, min(page_id) as original from p group by digest)
+select p.page_id, octet_length(body) as payload_bytes, p.digest as payload_digest,
+ case when octet_length(body) < 100 or p.page_id = original then 'response' else 'revisit' end as record_type,
+ case when octet_length(body) < 100 or p.page_id = original then null else original end as refers_to
+from p join g on p.digest = g.digest
+""")
+def op9_warc(spark, sf_dir):
+    found = warc.warc_round_trip(read_table(spark, sf_dir, "pages"))
+    return found.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("original").alias("refers_to")
+    )
