@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import decontaminate, pfor, warc
+from flowlab.llm import bpe, decontaminate, pfor, warc
 from flowlab.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op9_warc(spark, sf_dir):
     return found.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", F.col("original").alias("refers_to")
     )
+
+
+@query()
+def op8_bpe_round_trip(spark, sf_dir):
+    return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), BYTE_BPE)

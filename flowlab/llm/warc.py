@@ -140,8 +140,6 @@ def records(source: BinaryIO) -> Iterator[dict]:
     """Every record of an archive in order; raises ``WarcError`` at the first that is not whole."""
     for offset, chunks in Members(source):
         headers, block = framed(chunks)
-        for _ in chunks:  # the trailer of the member, where its checksum is verified
-            raise WarcError("more than one record in a member")
         head, _, payload = block.partition(b"\r\n\r\n")
         kind, digest = headers.get("warc-type"), headers.get("warc-payload-digest", "").removeprefix("sha256:")
         if kind == "revisit":
