@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import bpe, decontaminate, pfor, warc
+from flowlab.llm import bpe, decontaminate, pfor, regions, warc
 from flowlab.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,9 @@ def op9_warc(spark, sf_dir):
 @query()
 def op8_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query()
+def op6_main_text(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return regions.extracted(pages, regions.learned_weights(pages))
