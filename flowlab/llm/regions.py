@@ -60,7 +60,7 @@ PRIOR = {"word": (8.0, 2.0), "link": (2.0, 4.0), "tag": (2.0, 4.0), "edge": (0.5
 #: Tags never speak for content, however common they are inside of it.
 TAG_CEILING = -0.1
 #: What stands inside of a content element can be parted by adverts and the like, which labelled pages may not show.
-EDGE_FLOOR = -2.0
+EDGE_FLOOR = -1.0
 
 
 @dataclass
