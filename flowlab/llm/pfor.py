@@ -20,6 +20,7 @@ id are ordered by their text; an empty table gives no files. Only the named colu
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -176,67 +177,82 @@ class PforReader:
 class ChunkEncoder:
     """Encodes whole texts with a tokenizer, asking it once for what a text repeats.
 
-    With a byte-level pre-tokenizer and no normaliser, a text may be cut before every blank that a visible character
-    follows: no token reaches across. Those chunks are looked up, and unknown ones are encoded together. Other
-    tokenizers get the whole text.
+    With a byte-level pre-tokenizer and no normaliser no token reaches from visible characters into the white space
+    after them, so a text may be cut before any run of white space. The chunks are looked up, and unknown ones are
+    encoded together, many to a call. Other tokenizers get the whole text.
     """
 
-    def __init__(self, tokenizer_json: str, size: int = 300_000):
+    def __init__(self, tokenizer_json: str, size: int = 400_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
         tokenizer = Tokenizer.from_str(tokenizer_json)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.size = tokenizer, size
         self.chunked = splits_at_blanks(tokenizer_json)
-        self.cache = RecentCache(self.encode_chunk, size)
+        # Chunks that open with one blank are kept without it; those that open a text or with other white space are
+        # in ``others`` as they are.
+        self.after_blank: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.others = RecentCache(lambda chunk: self.whole(chunk).tobytes(), size // 8)
         vocabulary = tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         for token, number in vocabulary.items():
-            self.opens[number] = token.startswith("Ġ")  # how the byte-level alphabet writes a blank
+            # How the byte-level alphabet writes a blank and a line feed.
+            self.opens[number] = token.startswith(("Ġ", "Ċ"))
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def encode_chunk(self, chunk: str) -> bytes:
-        return self.whole(chunk).tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def learn(self, chunks: set[str]) -> None:
-        """Puts chunks into the cache that are a blank and visible characters: only their first token opens with a blank."""
-        new = [c for c in chunks if c not in self.cache and c not in self.cache.old and PLAIN_CHUNK.fullmatch(c)]
+        """Makes ``after_blank`` hold the ids of all ``chunks``."""
+        known = self.after_blank
+        new = chunks.difference(known)
+        if len(known) + len(new) > self.size:
+            self.older, self.after_blank = known, {c: known[c] for c in chunks.difference(new)}
+            known = self.after_blank
+        for chunk in self.older.keys() & new:
+            known[chunk] = self.older[chunk]
+            new.discard(chunk)
         if not new:
             return
-        ids = self.whole("".join(new))
+        texts = [c if c[:1] == "\n" else " " + c for c in new]
+        ids = self.whole("".join(texts))
         starts = np.flatnonzero(self.opens[ids])
-        if len(starts) != len(new):
-            return  # each is then encoded by itself
-        ends = np.append(starts[1:], len(ids))
+        if len(starts) != len(texts):
+            known.update((c, self.whole(t).tobytes()) for c, t in zip(new, texts))
+            return
+        starts *= 4
         data = ids.tobytes()
-        for chunk, s, e in zip(new, (starts * 4).tolist(), (ends * 4).tolist()):
-            self.cache.old[chunk] = data[s:e]
+        for chunk, s, e in zip(new, starts.tolist(), [*starts[1:].tolist(), len(data)]):
+            known[chunk] = data[s:e]
 
     def encode_batch(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         if not self.chunked:
-            yield from (self.encode_chunk(t) for t in texts)
+            yield from (self.whole(t).tobytes() for t in texts)
             return
-        for start in range(0, len(texts), 256):
-            split = [chunks_of(t) for t in texts[start:start + 256]]
-            self.learn(set().union(*split))
-            for chunks in split:
-                yield b"".join(map(self.cache.__getitem__, chunks))
-
-
-CUT = re.compile(r"(?= \S)")
-CROWDED = re.compile(r" (?=\s|$)")
-PLAIN_CHUNK = re.compile(r" \S+")
-
-
-def chunks_of(text: str) -> list[str]:
-    """The text cut before every blank that a visible character follows."""
-    if CROWDED.search(text):
-        return [c for c in CUT.split(text) if c]
-    first, *rest = text.split(" ")
-    chunks = [" " + c for c in rest]
-    return [first, *chunks] if first else chunks
+        for start in range(0, len(texts), 512):
+            split = [(t, plain_chunks(t)) for t in texts[start:start + 512]]
+            self.learn(set().union(*(c[1:] for _, c in split if c)))
+            look = self.after_blank.__getitem__
+            for text, chunks in split:
+                if chunks is None:
+                    yield b"".join(map(self.others.__getitem__, RUNS.findall(text)))
+                else:
+                    yield self.others[chunks[0]] + b"".join(map(look, chunks[1:]))
+
+
+# Fixed value: the characters with the property White_Space.
+BLANKS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+RUNS = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
+
+
+def plain_chunks(text: str) -> list[str] | None:
+    """A text whose only white space is single blanks and line feeds between visible characters, cut before each: blanks
+    are left out, line feeds open their chunk. ``None`` for other texts."""
+    if len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        return None
+    return text.replace("\n", " \n").split(" ")
 
 
 def splits_at_blanks(tokenizer_json: str) -> bool:

@@ -71,8 +71,9 @@ def test_chunks_encode_as_whole_texts():
     tokenizer = Tokenizer.from_file(PATH)
     with open(PATH, encoding="utf-8") as f:
         encoder = ChunkEncoder(f.read(), size=5)
+    texts = [*TEXTS, "one two\nthree two\n\nfour", "two\nthree"]
     for _ in range(2):
-        for text, ids in zip(TEXTS, encoder.encode_batch(TEXTS)):
+        for text, ids in zip(texts, encoder.encode_batch(texts)):
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
