@@ -10,6 +10,9 @@ import uuid
 from typing import BinaryIO
 
 from pyarrow import fs
+from pyspark.sql import DataFrame
+
+MAX_TASKS = 20_000
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
@@ -28,3 +31,8 @@ def reader(path: str):
     """A seekable stream of the bytes as they are stored."""
     store, place = opened(path)
     return store.open_input_file(place)
+
+
+def spread(manifest: DataFrame) -> DataFrame:
+    """The lines of a manifest over as many tasks as there are files: few small rows that each stand for much work."""
+    return manifest.repartition(max(1, min(manifest.count(), MAX_TASKS)))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from flowlab.llm.files import create, reader
+from flowlab.llm.files import create, reader, spread
 from flowlab.llm.tables import batch_of, written
 from flowlab.llm.words import RecentCache
 from flowlab.storage import scratch_path
@@ -319,7 +319,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     # One row a file; the ids before each file. The manifest is metadata, a line for millions of ids.
     order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("base", F.coalesce(F.sum("ids").over(order), F.lit(0).cast("long")))
-    files = placed.select("path", "base").repartition(F.col("path"))
+    files = spread(placed.select("path", "base"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import bpe, decontaminate, pfor, regions, warc
+from flowlab.llm import bpe, decontaminate, pfor, regions, toxicity, warc
 from flowlab.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,14 @@ def op8_bpe_round_trip(spark, sf_dir):
 def op6_main_text(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
     return regions.extracted(pages, regions.learned_weights(pages))
+
+
+@query()
+def op5_fair_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fitted(docs, read_table(spark, sf_dir, "labels"))
+    found = toxicity.scored(docs, model)
+    return found.select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from flowlab.llm.files import create, reader
+from flowlab.llm.files import create, reader, spread
 from flowlab.llm.tables import batch_of, written
 from flowlab.storage import scratch_path
 
@@ -219,7 +219,7 @@ RECORD = (
 def read_warc(spark_paths: DataFrame, path: str = "path", payloads: bool = True) -> DataFrame:
     """Every record of the archives named by a column, one task for a file at a time. ``payloads=False`` reads and
     verifies the payloads but does not return them."""
-    files = spark_paths.select(F.col(f"`{path}`").alias("path")).repartition(F.col("path"))
+    files = spread(spark_paths.select(F.col(f"`{path}`").alias("path")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
