@@ -19,6 +19,7 @@ import json
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
@@ -180,9 +181,11 @@ def decoded(tokens: DataFrame, tokenizer_path: str, *, ids: str = "ids", text: s
     return rows.mapInArrow(decode, rows.schema)
 
 
-def round_trip_digests(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip_digests(
+    docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False
+) -> DataFrame:
     """Per row ``doc_id, n_tokens``, and the SHA-256 of the decimal ids joined by commas and of the text decoded from the
-    ids. Encoding and decoding run in one pass, so that ids do not travel."""
+    ids; on request the ``ids`` too. Encoding and decoding run in one pass."""
     make = _encoder(docs, tokenizer_path)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("body"))
 
@@ -194,11 +197,13 @@ def round_trip_digests(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "d
                 ids = encoder.encode(body or "")
                 out.append((
                     len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
-                    hashlib.sha256(encoder.decode(ids).encode()).hexdigest(),
+                    hashlib.sha256(encoder.decode(ids).encode()).hexdigest(), *([np.array(ids, np.int32)] if with_ids else []),
                 ))
-            n, a, b = zip(*out) if out else ((), (), ())
-            schema = pa.schema([batch.schema.field(0), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-            yield batch_of(schema, batch.column(0), n, a, b)
+            if out:
+                yield batch_of(pa.schema([batch.schema.field(0), *fields]), batch.column(0), *zip(*out))
 
+    fields = [pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded_sha256", pa.string())]
+    fields += [pa.field("ids", pa.list_(pa.int32()))] * with_ids
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    more = ", ids array<int>" * with_ids
+    return rows.mapInArrow(digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")

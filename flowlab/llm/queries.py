@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import bpe, decontaminate, pfor, regions, toxicity, warc
+from flowlab.llm import bpe, decontaminate, pfor, regions, tensor_minhash, toxicity, warc
 from flowlab.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op5_fair_toxicity(spark, sf_dir):
         "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op4_tensor_minhash(spark, sf_dir):
+    return tensor_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))

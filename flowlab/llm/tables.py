@@ -20,7 +20,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    """A batch of columns in the order of ``schema``."""
+    """A batch of columns in the order of ``schema``; without columns it is empty."""
+    if not columns:
+        columns = [[] for _ in schema]
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
     )
