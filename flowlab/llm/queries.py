@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import bpe, decontaminate, pfor, regions, tensor_minhash, toxicity, warc
+from flowlab.llm import bpe, decontaminate, interpolation, pfor, regions, tensor_minhash, toxicity, warc
 from flowlab.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op5_fair_toxicity(spark, sf_dir):
 @query()
 def op4_tensor_minhash(spark, sf_dir):
     return tensor_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_deleted_interpolation(spark, sf_dir):
+    return interpolation.scored(read_table(spark, sf_dir, "documents"))
