@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import bpe, decontaminate, interpolation, pfor, regions, tensor_minhash, toxicity, warc
+from flowlab.llm import bpe, decontaminate, interpolation, pfor, quotation, regions, tensor_minhash, toxicity, warc
 from flowlab.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,12 @@ def op4_tensor_minhash(spark, sf_dir):
 @query()
 def op7_deleted_interpolation(spark, sf_dir):
     return interpolation.scored(read_table(spark, sf_dir, "documents"))
+
+
+@query("""
+select conv_id, row_number() over (partition by conv_id order by turn) as position, turn, role, trim(text) as text,
+ cast(0 as bigint) as n_quotes, cast(null as bigint) as reply_to, turn as thread, cast(0 as bigint) as depth
+from conversations
+""")
+def op1_quotation_linking(spark, sf_dir):
+    return quotation.linked_conversations(read_table(spark, sf_dir, "conversations"))
