@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import bpe, decontaminate, interpolation, pfor, quotation, regions, tensor_minhash, toxicity, warc
+from flowlab.llm import bpe, decontaminate, interpolation, nn_descent, pfor, quotation, regions, tensor_minhash, toxicity, warc
 from flowlab.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,9 @@ from conversations
 """)
 def op1_quotation_linking(spark, sf_dir):
     return quotation.linked_conversations(read_table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op3_nn_descent(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return nn_descent.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
