@@ -33,13 +33,14 @@ from tokenizers import Tokenizer
 
 from flowlab.llm.files import create, reader, spread
 from flowlab.llm.tables import batch_of, written
-from flowlab.llm.words import RecentCache
+from flowlab.llm.words import RUNS, RecentCache, plain_chunks
 from flowlab.storage import scratch_path
 
 MAGIC = b"PFOR1\n"
 BLOCK_IDS = 4096
 PERCENTILE = 0.9
 FILE_IDS = 32_000_000
+TASK_BYTES = 64 << 20
 
 MANIFEST = "part int, seq int, path string, docs long, ids long, bytes long"
 
@@ -242,19 +243,6 @@ class ChunkEncoder:
                     yield self.others[chunks[0]] + b"".join(map(look, chunks[1:]))
 
 
-# Fixed value: the characters with the property White_Space.
-BLANKS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-RUNS = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
-
-
-def plain_chunks(text: str) -> list[str] | None:
-    """A text whose only white space is single blanks and line feeds between visible characters, cut before each: blanks
-    are left out, line feeds open their chunk. ``None`` for other texts."""
-    if len(text.split()) != text.count(" ") + text.count("\n") + 1:
-        return None
-    return text.replace("\n", " \n").split(" ")
-
-
 def splits_at_blanks(tokenizer_json: str) -> bool:
     spec = json.loads(tokenizer_json)
     before = spec.get("pre_tokenizer") or {}
@@ -271,7 +259,7 @@ def splits_at_blanks(tokenizer_json: str) -> bool:
 
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int | None, *, doc_id: str = "doc_id",
-    text: str = "text", file_ids: int = FILE_IDS, block: int = BLOCK_IDS,
+    text: str = "text", file_ids: int = FILE_IDS, block: int = BLOCK_IDS, task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """Writes the ids of all documents in ascending order of ``doc_id`` (a whole number); returns the manifest."""
     spark = docs.sparkSession
@@ -280,8 +268,9 @@ def write_token_files(
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("body")
     ).withColumn("tie", F.xxhash64("body"))
-    # The tie keeps rows that repeat an id from having to share a partition.
-    rows = rows.repartitionByRange(F.col("doc").asc_nulls_first(), "tie")
+    # A task of some size meets most of its words before. The tie parts rows that repeat an id.
+    size = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    rows = rows.repartitionByRange(size // task_bytes + 1, F.col("doc").asc_nulls_first(), "tie")
     rows = rows.sortWithinPartitions(F.col("doc").asc_nulls_first(), "tie", "body").drop("tie")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
