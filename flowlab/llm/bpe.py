@@ -25,14 +25,11 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from flowlab.llm.tables import batch_of
-from flowlab.llm.words import RecentCache
+from flowlab.llm.words import RUNS, RecentCache, plain_chunks
 
 # Fixed value: the pattern by which this kind of byte-level pre-tokenizer cuts a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-CUT = regex.compile(r"(?= \S)")
-CROWDED = regex.compile(r" (?=\s|$)")
-
 
 def byte_alphabet() -> list[str]:
     """The character that stands for each byte in the vocabulary: itself if it is visible, else one from U+0100 on."""
@@ -59,10 +56,15 @@ class BpeModel:
         vocabulary = model["vocab"]
         self.first = [vocabulary.get(c) for c in alphabet]
         self.strings: dict[int, bytes] = {i: bytes(back[c] for c in t) for t, i in vocabulary.items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # A pair of ids as one number gives the rank of its merge; a rank gives what merges into what.
+        self.width = max(vocabulary.values()).bit_length()
+        self.ranks: dict[int, int] = {}
+        self.rules: list[tuple[int, int, int]] = []
         for rank, merge in enumerate(model["merges"]):
-            a, b = merge.split(" ") if isinstance(merge, str) else merge
-            self.merges[vocabulary[a], vocabulary[b]] = (rank, vocabulary[a + b])
+            left, right = merge.split(" ") if isinstance(merge, str) else merge
+            a, b = vocabulary[left], vocabulary[right]
+            self.ranks[a << self.width | b] = rank
+            self.rules.append((a, b, vocabulary[left + right]))
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", []) if t["content"]}
         self.strings.update({i: c.encode() for c, i in self.special.items()})
 
@@ -71,30 +73,35 @@ class BpeModel:
         symbols = [self.first[b] for b in piece]
         if None in symbols:
             raise ValueError("the vocabulary lacks a byte")
-        n = len(symbols)
-        if n == 1:
-            return symbols
-        merges = self.merges
-        after = [*range(1, n), -1]
-        before = [*range(-1, n - 1)]
+        n, width, rank_of, rules = len(symbols), self.width, self.ranks.get, self.rules
+        # An entry of the queue is the rank and, below it, the place of the left symbol.
+        low = n.bit_length()
+        mask = (1 << low) - 1
         queue = [
-            (found[0], i, found[1], symbols[i], symbols[i + 1])
-            for i in range(n - 1) if (found := merges.get((symbols[i], symbols[i + 1])))
+            rank << low | i for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if (rank := rank_of(a << width | b)) is not None
         ]
+        if not queue:
+            return symbols
         heapq.heapify(queue)
+        after = [*range(1, n), -1]
+        before = [*range(-1, n - 1)]
         while queue:
-            _, i, new, left, right = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            i = entry & mask
+            left, right, new = rules[entry >> low]
+            if symbols[i] != left:
+                continue  # stale: the symbol has merged meanwhile
             j = after[i]
-            if symbols[i] != left or j < 0 or symbols[j] != right:
-                continue  # stale: one of the two has merged meanwhile
+            if j < 0 or symbols[j] != right:
+                continue  # stale: its neighbour has
             symbols[i], symbols[j] = new, -1
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if found := merges.get((new, symbols[k])):
-                    heapq.heappush(queue, (found[0], i, found[1], new, symbols[k]))
-            if (h := before[i]) >= 0 and (found := merges.get((symbols[h], new))):
-                heapq.heappush(queue, (found[0], h, found[1], symbols[h], new))
+                if (rank := rank_of(new << width | symbols[k])) is not None:
+                    heapq.heappush(queue, rank << low | i)
+            if (h := before[i]) >= 0 and (rank := rank_of(symbols[h] << width | new)) is not None:
+                heapq.heappush(queue, rank << low | h)
         return [s for s in symbols if s >= 0]
 
 
@@ -105,7 +112,9 @@ class BpeEncoder:
         self.model = model
         self.pattern = regex.compile(PATTERN)
         self.pieces = RecentCache(lambda piece: model.merged(piece.encode("utf-8", "replace")), size)
-        self.chunks = RecentCache(self._chunk, size)
+        self.chunks = RecentCache(self._chunk, size // 8)
+        # Chunks after a single blank are kept without it.
+        self.after_blank = RecentCache(lambda chunk: self._chunk(chunk if chunk[:1] == "\n" else " " + chunk), size)
         names = sorted(model.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
@@ -113,13 +122,11 @@ class BpeEncoder:
         return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(chunk))))
 
     def _plain(self, text: str) -> list[int]:
-        # No piece reaches across a blank that a visible character follows, so texts are cut there first.
-        if CROWDED.search(text):
-            chunks = [c for c in CUT.split(text) if c]
-        else:
-            first, *rest = text.split(" ")
-            chunks = [first, *[" " + c for c in rest]] if first else [" " + c for c in rest]
-        return list(chain.from_iterable(map(self.chunks.__getitem__, chunks)))
+        # No piece reaches from visible characters into the white space after them, so texts are cut there first.
+        chunks = plain_chunks(text)
+        if chunks is None:
+            return list(chain.from_iterable(map(self.chunks.__getitem__, RUNS.findall(text))))
+        return [*self.chunks[chunks[0]], *chain.from_iterable(map(self.after_blank.__getitem__, chunks[1:]))]
 
     def encode(self, text: str) -> list[int]:
         if self.special is None or not self.special.search(text):
@@ -191,12 +198,13 @@ def round_trip_digests(
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = make()
+        decimal = [str(i) for i in range(max(encoder.model.strings) + 1)]
         for batch in batches:
             out = []
             for body in batch.column(1).to_pylist():
                 ids = encoder.encode(body or "")
                 out.append((
-                    len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                    len(ids), hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest(),
                     hashlib.sha256(encoder.decode(ids).encode()).hexdigest(), *([np.array(ids, np.int32)] if with_ids else []),
                 ))
             if out:
