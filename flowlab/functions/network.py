@@ -43,6 +43,7 @@ def port_id(port: Column, groups: Mapping[str, Sequence[int]] = PORT_GROUPS) ->
             ids.setdefault(value, number)
     if not ids:
         return F.when(port.isNotNull(), 0)
-    table = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
-    found = F.try_element_at(table, port.try_cast("int"))
+    # As doubles, so that a port with a fraction is no other port.
+    table = F.create_map(*[F.lit(x) for value, number in ids.items() for x in (float(value), number)])
+    found = F.try_element_at(table, port.try_cast("double"))
     return F.when(port.isNotNull(), F.coalesce(found, F.lit(0)))

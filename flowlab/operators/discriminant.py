@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlab.functions.names import quoted
 from flowlab.operators.batches import matrix, packed, upper_triangle
@@ -66,6 +64,13 @@ def _within_scatter(
     return scatter
 
 
+def _constants(values: np.ndarray) -> Column:
+    """An array of doubles written as one text literal, which the optimiser folds; thousands of literal
+    nodes would be slow to plan."""
+    text = ",".join(repr(float(v)) for v in values)
+    return F.split(F.lit(text), ",").cast("array<double>")
+
+
 @dataclass(frozen=True)
 class DiscriminantModel:
     """Projection onto the directions that separate the classes best."""
@@ -134,14 +139,25 @@ class DiscriminantModel:
         return [(k, float(v)) for k, v in enumerate(np.cumsum(self.ratios), start=1)]
 
     def transform(self, df: DataFrame, components: int) -> DataFrame:
-        """``c0..`` and every column of ``df`` that is not a feature, as plain arithmetic."""
-        shifted = [quoted(c).cast("double") - F.lit(float(m)) for c, m in zip(self.features, self.centre)]
-        projected = [
-            reduce(add, [x * F.lit(float(a)) for x, a in zip(shifted, self.axes[:, k])]).alias(name)
-            for k, name in enumerate(self.component_names(components))
-        ]
-        rest = [quoted(c) for c in df.columns if c not in self.features]
-        return df.select(*projected, *rest)
+        """``c0..`` and every column of ``df`` that is not a feature.
+
+        The features are packed into an array once and each component is one dot product, whose
+        expression does not grow with the width. A NULL feature makes the components NULL.
+        """
+        names = self.component_names(components)
+        rest = [c for c in df.columns if c not in self.features]
+        row = F.struct(*[quoted(c) for c in rest]) if rest else F.lit(None)
+        x = F.zip_with(
+            F.array(*[quoted(c).cast("double") for c in self.features]), _constants(self.centre), lambda v, m: v - m
+        )
+        packed_rows = df.select(x.alias("x"), row.alias("row"))
+
+        def dot(axis: np.ndarray) -> Column:
+            parts = F.zip_with("x", _constants(axis), lambda v, a: v * a)
+            return F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v)
+
+        projected = [dot(self.axes[:, k]).alias(name) for k, name in enumerate(names)]
+        return packed_rows.select(*projected, *[F.col("row")[c].alias(c) for c in rest])
 
 
 def lda_variance_ratio(df: DataFrame, target: str, features: Sequence[str] | None = None) -> DataFrame:

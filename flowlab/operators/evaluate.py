@@ -10,6 +10,9 @@ from flowlab.functions.names import quoted
 from flowlab.functions.scores import log_softmax_loss
 from flowlab.operators.ranking import running_totals
 
+# A matrix has a column per class; more classes are listed by ``confusion_counts``.
+MATRIX_CLASSES = 10_000
+
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """One row: percentage of rows whose prediction is their label."""
@@ -28,7 +31,8 @@ def mean_cv_score(df: DataFrame, label: str, prediction: str, fold: str) -> Data
     return fold_scores(df, label, prediction, fold).agg(F.avg("accuracy").alias("mean_accuracy"))
 
 
-def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """``(label, pred, n)``: the matrix in long form, NULL being a value like any other."""
     return df.groupBy(quoted(label).alias("label"), quoted(prediction).alias("pred")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -37,25 +41,30 @@ def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def confusion_matrix(
     df: DataFrame, label: str, prediction: str, classes: Sequence | None = None
 ) -> DataFrame:
-    """``(label, pred_<class>...)``: one row and one column per class, empty cells 0.
+    """``(label, pred_<class>..., pred_other)``: a row and a column per class, empty cells 0.
 
-    Without ``classes`` they are looked up first; give them to save that pass.
+    Without ``classes`` they are looked up first; give them to save that pass. No row is left out:
+    predictions that are NULL or not listed count as ``pred_other``, labels that are NULL or not
+    listed have rows of their own. ``confusion_counts`` holds the same for any number of classes.
     """
-    counts = _pair_counts(df, label, prediction)
+    counts = confusion_counts(df, label, prediction)
     if classes is None:
-        seen = counts.select(F.explode(F.array("label", "pred")).alias("c")).distinct()
-        # Pivoting has this limit on columns of its own.
-        rows = seen.orderBy("c").limit(10_001).collect()
-        if len(rows) > 10_000:
-            raise ValueError("more than 10,000 classes do not fit a matrix")
+        seen = counts.select(F.explode(F.array("label", "pred")).alias("c")).filter("c is not null").distinct()
+        rows = seen.orderBy("c").limit(MATRIX_CLASSES + 1).collect()
+        if len(rows) > MATRIX_CLASSES:
+            raise ValueError(f"more than {MATRIX_CLASSES} classes do not fit a matrix; use confusion_counts")
         classes = [r["c"] for r in rows]
+    classes = list(classes)
     # A row of zeros per class, so that classes without rows are listed too.
-    blank = df.sparkSession.createDataFrame(
-        [(c, classes[0], 0) for c in classes], counts.schema
-    )
-    cells = counts.unionAll(blank).groupBy("label").pivot("pred", list(classes)).agg(F.sum("n"))
-    return cells.select(
-        "label", *[F.coalesce(quoted(str(c)), F.lit(0)).cast("long").alias(f"pred_{c}") for c in classes]
+    blank = df.sparkSession.createDataFrame([(c, None, 0) for c in classes], counts.schema)
+    n = F.col("n")
+
+    def total(hit: Column) -> Column:
+        return F.sum(F.when(hit, n).otherwise(0)).cast("long")
+
+    listed = F.coalesce(F.col("pred").isin(classes), F.lit(False))
+    return counts.unionAll(blank).groupBy("label").agg(
+        *[total(F.col("pred") == c).alias(f"pred_{c}") for c in classes], total(~listed).alias("pred_other")
     )
 
 
@@ -70,7 +79,7 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
     The data is counted once to (label, prediction) pairs; everything after that works on that
     small table. An undefined ratio is 0. The accuracy row holds the accuracy in all columns.
     """
-    cells = _pair_counts(df, label, prediction)
+    cells = confusion_counts(df, label, prediction)
     hits = F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)
     zero = F.lit(0).cast("long")
 
@@ -118,9 +127,14 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
 
 
 def log_loss(df: DataFrame, label: str, scores: Sequence[str] | str) -> DataFrame:
-    """One row: mean cross entropy of raw class scores, ``label`` being the score's position."""
+    """One row: mean cross entropy of raw class scores, ``label`` being the score's position.
+
+    A label without a score, or NULL among label or scores, fails the job: a mean over the other
+    rows would look better than the model is.
+    """
     values = quoted(scores) if isinstance(scores, str) else F.array(*[quoted(c) for c in scores])
-    return df.agg(F.avg(log_softmax_loss(quoted(label), values)).alias("log_loss"))
+    loss = F.coalesce(log_softmax_loss(quoted(label), values), F.raise_error(F.lit("log loss: a label or score is unknown")))
+    return df.agg(F.avg(loss).alias("log_loss"))
 
 
 def threshold_counts(df: DataFrame, label: str, scores: Sequence[str]) -> DataFrame:
@@ -128,10 +142,16 @@ def threshold_counts(df: DataFrame, label: str, scores: Sequence[str]) -> DataFr
 
     One-vs-rest: class i is judged by ``scores[i]``; tp and fp count the rows at or above the
     threshold. Equal scores are merged before the shuffle; the cumulation is spread over range
-    partitions, so a class with a billion distinct scores is no single task.
+    partitions, so a class with a billion distinct scores is no single task. A NULL label or a NULL
+    or NaN score fails the job.
     """
-    each = F.posexplode(F.array(*[quoted(c) for c in scores])).alias("class", "threshold")
-    long = df.select(each, quoted(label).alias("label"))
+    values = [quoted(c) for c in scores]
+    known = quoted(label).isNotNull()
+    for v in values:
+        known = known & v.isNotNull() & ~F.isnan(v)
+    checked = F.when(known, quoted(label)).otherwise(F.raise_error(F.lit("curve: a label or score is unknown")))
+    each = F.posexplode(F.array(*values)).alias("class", "threshold")
+    long = df.select(each, checked.alias("label"))
     hit = (F.col("label") == F.col("class")).cast("long")
     steps = long.groupBy("class", "threshold").agg(F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg"))
     summed = running_totals(

@@ -16,9 +16,13 @@ def date_parts(df: DataFrame, column: str) -> DataFrame:
 
 
 def surrogate_key(columns: Sequence[str]) -> Column:
-    """Digest of the natural key; NULL and empty text get different keys."""
-    parts = [F.coalesce(quoted(c).cast("string"), F.lit("<null>")) for c in columns]
-    return F.md5(F.concat_ws("|", *parts))
+    """Digest of the natural key. Every part carries its length, and NULL has none, so that no two
+    different keys are written alike."""
+    texts = [quoted(c).cast("string") for c in columns]
+    parts = [
+        F.when(t.isNull(), "-").otherwise(F.concat(F.char_length(t).cast("string"), F.lit(":"), t)) for t in texts
+    ]
+    return F.md5(F.concat(*parts))
 
 
 def star_dimensions(df: DataFrame, spec: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:

@@ -376,7 +376,9 @@ def star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-select distinct md5(concat_ws('|', coalesce(source_ip, '<null>'), coalesce(cast(source_port as varchar), '<null>'))) as source_id,
+select distinct md5(concat(
+  case when source_ip is null then '-' else concat(length(source_ip), ':', source_ip) end,
+  case when source_port is null then '-' else concat(length(cast(source_port as varchar)), ':', source_port) end)) as source_id,
  source_ip, source_port
 from {CAPTURE_SQL}
 """)
@@ -483,7 +485,7 @@ from v group by label, dim
 """)
 def lda_class_means(spark, sf_dir):
     df = wide_vectors(spark, sf_dir)
-    means = class_means(df, [f"e{i}" for i in range(64)], "label")
+    means = class_means(df, [c for c in df.columns if c.startswith("e")], "label")
     return means.select(
         "label", "n", F.round("prior", 6).alias("prior"), F.posexplode("means").alias("dim", "mean")
     ).withColumn("mean", F.round("mean", 6))
@@ -497,7 +499,7 @@ def lda_variance_ratio(spark, sf_dir):
 @query()
 def lda_transform(spark, sf_dir):
     df = wide_vectors(spark, sf_dir)
-    features = [f"e{i}" for i in range(64)]
+    features = [c for c in df.columns if c.startswith("e")]
     return DiscriminantModel.fit(df, "label", features).transform(df, 6)
 
 
@@ -600,10 +602,23 @@ def classification_report(spark, sf_dir):
 
 
 @query(f"""
-select label, {', '.join(f'count(*) filter (where pred = {i}) as pred_{i}' for i in range(5))} from {SCORED_SQL} group by label
+with s as (select case when row_id % 41 = 0 then null else label end as label,
+  case when row_id % 43 = 0 then null when row_id % 47 = 0 then 7 else pred end as pred from {SCORED_SQL})
+select label, {', '.join(f'count(*) filter (where pred = {i}) as pred_{i}' for i in range(5))},
+ count(*) filter (where pred is null or pred not between 0 and 4) as pred_other from s group by label
 """)
 def confusion_matrix(spark, sf_dir):
-    return evaluate.confusion_matrix(scored(spark, sf_dir), "label", "pred", range(5))
+    """Some labels and predictions are unknown and some predictions are no class."""
+    df = scored(spark, sf_dir).selectExpr(
+        "case when row_id % 41 = 0 then null else label end as label",
+        "case when row_id % 43 = 0 then null when row_id % 47 = 0 then 7 else pred end as pred",
+    )
+    return evaluate.confusion_matrix(df, "label", "pred", range(5))
+
+
+@query(f"select label, pred, count(*) as n from {SCORED_SQL} group by label, pred")
+def confusion_counts(spark, sf_dir):
+    return evaluate.confusion_counts(scored(spark, sf_dir), "label", "pred")
 
 
 @query(f"""

@@ -87,9 +87,13 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings")
 
 
-def wide_vectors(spark: SparkSession, sf_dir: str, width: int = 64) -> DataFrame:
-    """``vec_id, label, e0..``: the embedding as one double column per dimension."""
+def wide_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vec_id, label, e0..``: the embedding as one double column per dimension of the data."""
     df = vectors(spark, sf_dir)
+    ends = df.agg(F.min(F.size("embedding")).alias("least"), F.max(F.size("embedding")).alias("most")).first()
+    if ends.least != ends.most:
+        raise ValueError(f"vectors of {ends.least} to {ends.most} dimensions")
+    width = ends.most or 0
     return df.select(
         "vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(width)]
     )
