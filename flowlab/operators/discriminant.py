@@ -37,9 +37,15 @@ def class_means(df: DataFrame, features: Sequence[str], target: str) -> DataFram
     )
 
 
-def _within_scatter(
+def within_scatter(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    """``(i, j, v)`` for i <= j: the sums of (x - class mean)(x - class mean)'."""
+    stats = _class_stats(df, features, target).collect()
+    return _scatter_cells(df, features, target, [r[0] for r in stats], np.array([r["means"] for r in stats]))
+
+
+def _scatter_cells(
     df: DataFrame, features: Sequence[str], target: str, labels: list, means: np.ndarray
-) -> np.ndarray:
+) -> DataFrame:
     """Sum over all rows of (x - class mean)(x - class mean)', added up per task, then by Spark."""
     width = len(features)
     row_of = {label: i for i, label in enumerate(labels)}
@@ -53,11 +59,15 @@ def _within_scatter(
         yield upper_triangle(["v"], [total], width)
 
     rows = df.select(quoted(target), packed([quoted(c) for c in features]))
+    return rows.mapInArrow(partial, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+
+
+def _within_scatter(
+    df: DataFrame, features: Sequence[str], target: str, labels: list, means: np.ndarray
+) -> np.ndarray:
+    width = len(features)
     # One row per feature pair.
-    cells = (
-        rows.mapInArrow(partial, "i int, j int, v double")
-        .groupBy("i", "j").agg(F.sum("v").alias("v")).toPandas()
-    )
+    cells = _scatter_cells(df, features, target, labels, means).toPandas()
     scatter = np.zeros((width, width))
     scatter[cells["i"], cells["j"]] = cells["v"]
     scatter[cells["j"], cells["i"]] = cells["v"]

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlab.functions.names import quoted
 from flowlab.storage import checkpointed
@@ -88,6 +88,11 @@ def _candidates(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> Iterator[
         })
 
 
+def _usable(vector: Column) -> Column:
+    """True where a vector and all its elements are known and finite."""
+    return F.coalesce(F.forall(vector, lambda v: F.coalesce(F.abs(v) < float("inf"), F.lit(False)) & ~F.isnan(v)), F.lit(False))
+
+
 def _by_broadcast(train: DataFrame, queries: DataFrame, k: int, names: _Columns) -> DataFrame:
     table = train.sparkSession.sparkContext.broadcast(train.toArrow().to_pandas())
 
@@ -195,7 +200,9 @@ def knn_classify(
     """``(query id, prediction)`` by majority of the k nearest training rows (Euclidean).
 
     ``features`` names one array column or several numeric ones. Equal distances go to the lower
-    training id, equal votes to the lower label.
+    training id, equal votes to the lower label. Training rows must be known and finite and of one
+    width; a query with a NULL, NaN or infinite feature, or of another width, has no neighbours and
+    gets the prediction NULL. Query ids must be unique; ids that repeat are refused.
     """
     query_id = query_id or train_id
     vector = (
@@ -206,9 +213,19 @@ def knn_classify(
     known = train.select(quoted(train_id).alias("id"), quoted(label).alias("label"), vector.alias("x"))
     asked = queries.select(quoted(query_id).alias("q"), vector.alias("x"))
 
-    size = known.agg(F.count(F.lit(1)), F.sum(F.size("x") * 8 + 64)).first()
+    size = known.agg(
+        F.count(F.lit(1)), F.sum(F.size("x") * 8 + F.octet_length(F.to_json(F.struct("id", "label"))) + 64),
+        F.count_if(~_usable(F.col("x"))), F.min(F.size("x")).alias("least"), F.max(F.size("x")).alias("most"),
+    ).first()
     if not size[0]:
         raise ValueError("the training table is empty")
+    if size[2] or size.least != size.most:
+        raise ValueError(f"{size[2]} training rows are not finite; widths {size.least} to {size.most}")
+    if not asked.groupBy("q").count().filter("count > 1").isEmpty():
+        raise ValueError("query ids repeat")
+    fit = _usable(F.col("x")) & (F.size("x") == size.most)
+    unanswered = asked.filter(~fit).select("q", F.lit(None).cast(names.label_type).alias("prediction"))
+    asked = asked.filter(fit)
     if size[1] <= broadcast_bytes:
         # Every candidate list is complete: each query was scored against the whole table.
         best = _by_broadcast(known, asked, k, names)
@@ -220,6 +237,5 @@ def knn_classify(
             .filter(F.col("place") <= k)
         )
     votes = best.groupBy("q", "label").agg(F.count(F.lit(1)).alias("n"))
-    return votes.groupBy(F.col("q").alias(query_id)).agg(
-        F.min_by("label", F.struct((-F.col("n")).alias("n"), "label")).alias("prediction")
-    )
+    voted = votes.groupBy("q").agg(F.min_by("label", F.struct((-F.col("n")).alias("n"), "label")).alias("prediction"))
+    return voted.union(unanswered).select(F.col("q").alias(query_id), "prediction")

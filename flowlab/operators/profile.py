@@ -9,13 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlab.functions.names import quoted
-from flowlab.functions.numbers import as_double, finite, is_numeric, known
+from flowlab.functions.numbers import as_double, finite, is_numeric
 from flowlab.operators.balance import class_counts
 from flowlab.operators.batches import matrix, packed, upper_triangle
 
-# Up to this many column pairs the JVM's own aggregates are used.
-NARROW_PAIRS = 10
-
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if is_numeric(f)]
@@ -83,77 +80,106 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
     return edges.join(F.broadcast(counted), ["column_name", "bin"], "left").fillna(0, ["n"])
 
 
-PAIR_SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy", "wild"]
+MOMENTS = ["n", "mx", "my", "sxx", "syy", "sxy", "wild"]
+
 
+def _pair_moments(values: np.ndarray) -> np.ndarray:
+    """``MOMENTS`` of all column pairs over the rows in which both values are known: their number, the
+    means, the centred sums of squares and products, and how many rows hold an infinity.
 
-def _pair_sums(values: np.ndarray) -> np.ndarray:
-    """``PAIR_SUMS`` of all column pairs, over the rows in which both values are known."""
+    Each pair is centred by its own means, taken from its first row, so neither large values in rows
+    that the pair leaves out nor large means swallow a spread, and a constant has the spread 0.
+    """
+    width = values.shape[1]
     infinite = np.isinf(values)
-    seen = (~np.isnan(values)).astype(float)
-    x = np.where((seen > 0) & ~infinite, values, 0.0)
-    wild = infinite.astype(float)
+    seen = ~np.isnan(values)
+    values = np.where(infinite, 0.0, values)
+    n, mean, square, product = (np.zeros((width, width)) for _ in range(4))
+    whole = bool(seen.all())
+    for j in range(width):
+        rows = slice(None) if whole else seen[:, j]
+        part, here = values[rows], seen[rows]
+        if not len(part):
+            continue
+        first = part[here.argmax(axis=0), np.arange(width)]
+        shifted = np.where(here, part - first, 0.0)
+        count = here.sum(axis=0)
+        middle = shifted.sum(axis=0) / np.maximum(count, 1)
+        centred = np.where(here, shifted - middle, 0.0)
+        n[:, j], mean[:, j], square[:, j] = count, np.where(count, first + middle, 0.0), (centred * centred).sum(axis=0)
+        product[:, j] = centred.T @ shifted[:, j]
+        if whole:
+            # All pairs share their rows: one matrix product holds every column's products.
+            n[:] = count[0]
+            mean[:], square[:] = mean[:, j:j + 1], square[:, j:j + 1]
+            product = centred.T @ centred
+            break
+    wild = (infinite.T.astype(float) @ seen) + (seen.T.astype(float) @ infinite)
+    return np.stack([n, mean, mean.T, square, square.T, product, wild])
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of two sets of rows together (pairwise update of Chan, Golub and LeVeque)."""
+    n = a[0] + b[0]
+    share = b[0] / np.maximum(n, 1)
+    dx, dy = b[1] - a[1], b[2] - a[2]
+    # A side without rows has no means to differ from.
+    both = a[0] * share
     return np.stack([
-        seen.T @ seen, x.T @ seen, seen.T @ x, (x * x).T @ seen, seen.T @ (x * x), x.T @ x,
-        wild.T @ seen + seen.T @ wild,
+        n, np.where(a[0] > 0, a[1] + dx * share, b[1]), np.where(a[0] > 0, a[2] + dy * share, b[2]),
+        a[3] + b[3] + dx * dx * both, a[4] + b[4] + dy * dy * both, a[5] + b[5] + dx * dy * both, a[6] + b[6],
     ])
 
 
-def _pair_moments(rows: DataFrame, centres: Sequence[float]) -> DataFrame:
-    """Cross moments of all pairs in a packed column: one small table per task, then a sum."""
-    centre, width = np.array(centres), len(centres)
+def pair_moments(rows: DataFrame, width: int) -> DataFrame:
+    """``i, j`` and ``MOMENTS`` of all pairs in a packed column.
 
+    A task joins its batches and gives one row per pair; what tasks give is joined pair by pair, a few
+    numbers for each task.
+    """
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(PAIR_SUMS), width, width))
+        total = np.zeros((len(MOMENTS), width, width))
         for batch in batches:
-            total += _pair_sums(matrix(batch.column(0), width) - centre)
-        yield upper_triangle(PAIR_SUMS, total, width)
-
-    schema = "i int, j int, " + ", ".join(f"{c} double" for c in PAIR_SUMS)
-    sums = [F.sum(c).alias(c) for c in PAIR_SUMS]
-    return rows.mapInArrow(partial, schema).groupBy("i", "j").agg(*sums)
-
-
-def _pair_corr(a: Column, b: Column) -> Column:
-    """Aggregate: correlation over the rows in which both values are known.
+            if batch.num_rows:
+                total = _joined(total, _pair_moments(matrix(batch.column(0), width)))
+        if total[0].any():
+            yield upper_triangle(MOMENTS, total, width)
+
+    parts = rows.mapInArrow(partial, "i int, j int, " + ", ".join(f"{c} double" for c in MOMENTS))
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in MOMENTS])
+
+    def join(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        share = F.when(n > 0, b["n"] / n).otherwise(0.0)
+        both, dx, dy = a["n"] * share, b["mx"] - a["mx"], b["my"] - a["my"]
+        return F.struct(
+            n.alias("n"), F.when(a["n"] > 0, a["mx"] + dx * share).otherwise(b["mx"]).alias("mx"),
+            F.when(a["n"] > 0, a["my"] + dy * share).otherwise(b["my"]).alias("my"),
+            (a["sxx"] + b["sxx"] + dx * dx * both).alias("sxx"), (a["syy"] + b["syy"] + dy * dy * both).alias("syy"),
+            (a["sxy"] + b["sxy"] + dx * dy * both).alias("sxy"), (a["wild"] + b["wild"]).alias("wild"),
+        )
 
-    ``corr`` itself fails under ANSI mode if a side is constant; here that gives NULL, as do
-    infinite values, which turn the variances into NaN.
-    """
-    x, y = known(a), known(b)
-    spread = F.sqrt(F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y)))
-    value = F.try_divide(F.covar_pop(x, y), spread)
-    return F.when(~F.isnan(value), value)
+    # Sorted, so that the order in which tasks end does not show in the last digits.
+    listed = F.sort_array(F.collect_list(F.struct(*MOMENTS)))
+    return parts.groupBy("i", "j").agg(F.aggregate(listed, zero, join).alias("m")).select("i", "j", "m.*")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column_a, column_b, corr)``: Pearson correlation of every pair, both orders.
 
     A pair uses the rows in which both values are known. It is NULL if either side is constant
-    or infinite there. Few pairs run as built-in aggregates; many as per-task matrix products,
-    since thousands of aggregate buffers per row would not compile.
+    or infinite there. Its value does not depend on which other columns are asked for.
     """
     columns = numeric_columns(df) if columns is None else list(columns)
-    values = df.select(*[as_double(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    if len(pairs) <= NARROW_PAIRS:
-        row = values.agg(*[_pair_corr(F.col(f"c{i}"), F.col(f"c{j}")).alias(f"{i}:{j}") for i, j in pairs])
-        upper = row.unpivot([], [quoted(f"{i}:{j}") for i, j in pairs], "pair", "corr").select(
-            F.split("pair", ":")[0].cast("int").alias("i"),
-            F.split("pair", ":")[1].cast("int").alias("j"),
-            "corr",
-        )
-    else:
-        # Centring first keeps large means from swallowing the spread.
-        means = values.agg(*[F.avg(finite(F.col(c))).alias(c) for c in values.columns]).first()
-        rows = values.select(packed([F.col(c) for c in values.columns]))
-        moments = _pair_moments(rows, [means[c] or 0.0 for c in values.columns])
-        cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), "n")
-        vx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), "n")
-        vy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), "n")
-        # A variance this small against its own sum of squares is rounding: the column is constant.
-        varies = (vx > F.col("sxx") * 1e-13) & (vy > F.col("syy") * 1e-13)
-        usable = (F.col("n") > 1) & (F.col("wild") == 0) & varies
-        upper = moments.select("i", "j", F.when(usable, F.try_divide(cov, F.sqrt(vx * vy))).alias("corr"))
+    values = df.select(packed([as_double(df, c) for c in columns]))
+    spread = F.sqrt("sxx") * F.sqrt("syy")
+    corr = F.when((F.col("n") > 1) & (F.col("wild") == 0), F.try_divide("sxy", spread))
+    found = pair_moments(values, len(columns)).select("i", "j", corr.alias("corr"))
+    pairs = df.sparkSession.createDataFrame(
+        [(i, j) for i in range(len(columns)) for j in range(i, len(columns))], "i int, j int"
+    )
+    # Pairs without a row are listed too.
+    upper = pairs.join(found, ["i", "j"], "left")
     both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
         F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
     )

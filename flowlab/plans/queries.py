@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowlab.functions import argmax_class, port_id, private_ip, softmax
 from flowlab.operators import balance, clean, encode, evaluate, models, profile, scale, split, star
-from flowlab.operators.discriminant import DiscriminantModel, class_means, lda_variance_ratio as variance_ratio
+from flowlab.operators.discriminant import (
+    DiscriminantModel, class_means, lda_variance_ratio as variance_ratio, within_scatter,
+)
 from flowlab.operators.neighbours import knn_classify as classify_neighbours
 from flowlab.plans import layers
 from flowlab.plans.settings import EtlSettings
@@ -491,6 +494,18 @@ def lda_class_means(spark, sf_dir):
     ).withColumn("mean", F.round("mean", 6))
 
 
+@query("""
+with v as (select vec_id, label, unnest(range(len(embedding))) as d, unnest(embedding)::double as x from embeddings),
+c as (select vec_id, d, x - avg(x) over (partition by label, d) as x from v)
+select cast(a.d as int) as i, cast(b.d as int) as j, round(sum(a.x * b.x), 6) as v
+from c a join c b on a.vec_id = b.vec_id and a.d <= b.d group by a.d, b.d
+""")
+def lda_scatter(spark, sf_dir):
+    """Within-class scatter, cell by cell."""
+    df = wide_vectors(spark, sf_dir).drop("vec_id")
+    return within_scatter(df, [c for c in df.columns if c != "label"], "label").withColumn("v", F.round("v", 6))
+
+
 @query()
 def lda_variance_ratio(spark, sf_dir):
     return variance_ratio(wide_vectors(spark, sf_dir).drop("vec_id"), "label")
@@ -547,19 +562,33 @@ def reduced_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return reduced.filter("not is_test"), reduced.filter("is_test")
 
 
-@query()
+HELD_OUT_SQL = f"""
+select vec_id, label, true as valid from (
+ select vec_id, label, row_number() over (partition by label order by {hash_order('vec_id')}) as rn,
+  count(*) over (partition by label) as n from embeddings)
+where rn <= round(n * cast(0.15 as double))
+"""
+
+
+def held_out_scores(model, test: DataFrame) -> DataFrame:
+    """Every held-out row; ``valid``: its prediction is one of the classes."""
+    classes = models.class_total(test, "label")
+    found = models.score(model, test)
+    return found.select("vec_id", "label", F.col("prediction").between(0, classes - 1).alias("valid"))
+
+
+@query(HELD_OUT_SQL)
 def train_boosted(spark, sf_dir):
     train, test = reduced_split(spark, sf_dir)
     small = models.BoostedParams(trees=3, depth=3)
     model = models.train_boosted(train, REDUCED, "label", small, parallelism=8)
-    return models.score(model, test).select("vec_id", "label", "prediction")
+    return held_out_scores(model, test)
 
 
-@query()
+@query(HELD_OUT_SQL)
 def train_mlp(spark, sf_dir):
     train, test = reduced_split(spark, sf_dir)
-    model = models.train_mlp(train, REDUCED, "label", "NN_02", max_iter=30)
-    return models.score(model, test).select("vec_id", "label", "prediction")
+    return held_out_scores(models.train_mlp(train, REDUCED, "label"), test)
 
 
 @query()
@@ -770,13 +799,20 @@ def training_set(spark, sf_dir):
     return make_training_set(business, s.label_index, s.categorical, s.components)[0]
 
 
-@query()
+@query(f"select row_no as \"Unnamed:_0\", true as valid from {CAPTURE_SQL}")
 def predict_flows(spark, sf_dir):
-    """Unlabelled captures scored by a model that was trained on the labelled ones."""
+    """Unlabelled captures scored by a model trained on the labelled ones; what both learnt is written
+    and read again in between. ``valid``: the prediction is one of the classes."""
     labelled = captures(spark, sf_dir)
     prepared, train = FlowPreparation.fit(layers.raw_layer(labelled, drop=SETTINGS.raw_drop), SETTINGS)
     model = models.train_mlp(train, prepared.features, SETTINGS.label_index, [8], max_iter=10)
-    return prepared.predict(model, labelled.drop(" Label"), keep=["Unnamed:_0"])
+    path = scratch_path(spark, "prepared")
+    prepared.save(spark, f"{path}/preparation")
+    model.write().save(f"{path}/model")
+    reloaded = FlowPreparation.load(spark, f"{path}/preparation")
+    scores = reloaded.predict(PipelineModel.load(f"{path}/model"), labelled.drop(" Label"), keep=["Unnamed:_0"])
+    classes = models.class_total(train, SETTINGS.label_index)
+    return scores.select("`Unnamed:_0`", F.col("prediction").between(0, classes - 1).alias("valid"))
 
 
 # ---------------------------------------------------------------- flagship

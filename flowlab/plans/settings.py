@@ -14,6 +14,7 @@ from flowlab.functions.network import PORT_GROUPS
 class EtlSettings:
     """Column roles by layer. Raw names are those of the files, later ones are cleaned."""
 
+    # The names and roles of the columns of the capture files.
     # Raw layer. Without a target nothing is balanced: that is the prediction path.
     target: str | None = " Label"
     ignore_labels: Sequence[str] = ("UDPLag",)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
+import numpy as np
 from pyspark.ml import Model
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from flowlab.functions.names import quoted
 from flowlab.operators.clean import FillProfile, clean_headers
@@ -96,5 +98,38 @@ class FlowPreparation:
         reduced = self.reducer.transform(self.scaler.transform(encoded), self.settings.components)
         return reduced.select(*self.features, *[quoted(c) for c in keep])
 
+    def save(self, spark: SparkSession, path: str) -> str:
+        """Write everything learnt below ``path``: value indexes as Parquet, the rest as one line of JSON."""
+        s = {f.name: getattr(self.settings, f.name) for f in fields(EtlSettings) if f.name != "schema"}
+        s["schema"] = self.settings.schema and self.settings.schema.json()
+        state = {
+            "settings": s, "tops": self.profile.tops, "constants": self.profile.constants,
+            "ranges": self.scaler.ranges, "mappings": {c: m.small for c, m in self.mappings.items()},
+            "reducer": {
+                "features": self.reducer.features, "target": self.reducer.target, "centre": self.reducer.centre.tolist(),
+                "axes": self.reducer.axes.tolist(), "ratios": self.reducer.ratios.tolist(),
+            },
+        }
+        for number, mapping in enumerate(self.mappings.values()):
+            write_layer(mapping.table, layer_path(path, f"mapping_{number}"))
+        spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(layer_path(path, "state"))
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FlowPreparation:
+        state = json.loads(spark.read.text(layer_path(path, "state")).first()[0])
+        s, r = dict(state["settings"]), state["reducer"]
+        s["schema"] = s["schema"] and T.StructType.fromJson(json.loads(s["schema"]))
+        s["index_columns"] = tuple(map(tuple, s["index_columns"]))
+        mappings = {
+            c: IndexMapping(read_layer(spark, layer_path(path, f"mapping_{number}")), small)
+            for number, (c, small) in enumerate(state["mappings"].items())
+        }
+        reducer = DiscriminantModel(
+            r["features"], r["target"], np.array(r["centre"]), np.array(r["axes"]), np.array(r["ratios"])
+        )
+        scaler = MinMaxModel({c: tuple(ends) for c, ends in state["ranges"].items()})
+        return cls(EtlSettings(**s), FillProfile(state["tops"], state["constants"]), mappings, scaler, reducer)
+
     def predict(self, model: Model, captures: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         return score(model, self.transform(captures, keep))

@@ -75,3 +75,11 @@ def test_star_keeps_rows_with_negative_zero(spark):
 def test_date_parts(spark):
     df = spark.sql("select timestamp_ntz'2018-11-03 09:18:16' as t")
     assert star.date_parts(df, "t").drop("t").first() == (2018, 11, 3)
+
+
+def test_star_keys_are_unambiguous(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "z"), ("<null>", "z"), ("-", "z"), ("", "1:x"), ("1:", "x")]
+    df = spark.createDataFrame(rows, "s string, t string").selectExpr("*", "monotonically_increasing_id() as id")
+    spec = {"pair": ["s", "t"]}
+    joined = star.star_join(star.star_fact(df, spec), star.star_dimensions(df, spec))
+    assert sorted(((r.s, r.t) for r in joined.collect()), key=str) == sorted(rows, key=str)

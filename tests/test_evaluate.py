@@ -3,7 +3,7 @@ import math
 import pytest
 
 from flowlab.operators.evaluate import (
-    accuracy, classification_report, confusion_matrix, fold_scores, log_loss, mean_cv_score, pr_curve, roc_curve,
+    accuracy, classification_report, confusion_counts, confusion_matrix, fold_scores, log_loss, mean_cv_score, pr_curve, roc_curve,
 )
 
 
@@ -21,16 +21,35 @@ def test_accuracy_and_folds(judged):
 
 def test_confusion_lists_every_class(judged):
     df = confusion_matrix(judged, "y", "p")
-    assert df.columns == ["label", "pred_0", "pred_1", "pred_2", "pred_3"]
-    assert sorted(map(tuple, df.collect())) == [(0, 2, 1, 0, 1), (1, 0, 2, 0, 0), (2, 2, 0, 0, 0), (3, 0, 0, 0, 0)]
+    assert df.columns == ["label", "pred_0", "pred_1", "pred_2", "pred_3", "pred_other"]
+    assert sorted(map(tuple, df.collect())) == [(0, 2, 1, 0, 1, 0), (1, 0, 2, 0, 0, 0), (2, 2, 0, 0, 0, 0), (3, 0, 0, 0, 0, 0)]
     assert sorted(map(tuple, confusion_matrix(judged, "y", "p", [0, 1, 2, 3]).collect())) == sorted(map(tuple, df.collect()))
 
 
 def test_confusion_of_text_labels(spark):
     df = spark.createDataFrame([("SYN flood", "a.b"), ("a.b", "a.b")], "y string, p string")
     got = confusion_matrix(df, "y", "p")
-    assert got.columns == ["label", "pred_SYN flood", "pred_a.b"]
-    assert sorted(map(tuple, got.collect())) == [("SYN flood", 0, 1), ("a.b", 0, 1)]
+    assert got.columns == ["label", "pred_SYN flood", "pred_a.b", "pred_other"]
+    assert sorted(map(tuple, got.collect())) == [("SYN flood", 0, 1, 0), ("a.b", 0, 1, 0)]
+
+
+def test_confusion_keeps_rows_that_are_not_listed(spark):
+    df = spark.createDataFrame([(0, 0), (1, 2), (2, 7), (None, 1), (9, None)], "y int, p int")
+    got = {r.label: tuple(r)[1:] for r in confusion_matrix(df, "y", "p", [0, 1, 2]).collect()}
+    assert got == {0: (1, 0, 0, 0), 1: (0, 0, 1, 0), 2: (0, 0, 0, 1), None: (0, 1, 0, 0), 9: (0, 0, 0, 1)}
+    assert sum(map(sum, (tuple(r)[1:] for r in confusion_matrix(df, "y", "p").collect()))) == 5
+    assert confusion_counts(df, "y", "p").count() == 5
+
+
+@pytest.mark.parametrize("row", [(None, 0.1, 0.2), (5, 0.1, 0.2), (0, None, 0.2), (0, float("nan"), 0.2)])
+def test_unknown_labels_and_scores_fail(spark, row):
+    df = spark.createDataFrame([(0, 0.3, 0.1), row], "y int, a double, b double")
+    if row[1] == row[1]:
+        with pytest.raises(Exception, match="log loss"):
+            log_loss(df, "y", ["a", "b"]).collect()
+    if row[0] != 5:
+        with pytest.raises(Exception, match="curve"):
+            pr_curve(df, "y", ["a", "b"]).collect()
 
 
 def test_report(judged):

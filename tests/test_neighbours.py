@@ -73,3 +73,20 @@ def test_screening_keeps_near_ties():
     for row, col, distance in nearest(queries, train, 5):
         for i in range(40):
             assert np.allclose(np.sort(exact[i])[:5], distance[row == i], rtol=1e-6)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 26, 0])
+def test_rows_that_cannot_be_compared(spark, broadcast_bytes):
+    train = spark.createDataFrame([(i, i % 2, [float(i), 1.0]) for i in range(20)], "id long, y int, x array<double>")
+    bad = [None, [float("nan"), 1.0], [None, 1.0], [float("inf"), 1.0], [1.0]]
+    queries = spark.createDataFrame(
+        [(i, [float(i), 1.0]) for i in range(5)] + list(enumerate(bad, 10)), "id long, x array<double>"
+    )
+    got = {r.id: r.prediction for r in knn_classify(train, queries, "x", "y", "id", k=1, broadcast_bytes=broadcast_bytes).collect()}
+    assert got == {i: i % 2 for i in range(5)} | {i: None for i in range(10, 15)}
+    for x in bad:
+        worse = train.union(spark.createDataFrame([(99, 1, x)], train.schema))
+        with pytest.raises(ValueError):
+            knn_classify(worse, queries, "x", "y", "id", k=1, broadcast_bytes=broadcast_bytes)
+    with pytest.raises(ValueError):
+        knn_classify(train, queries.union(queries), "x", "y", "id", broadcast_bytes=broadcast_bytes)

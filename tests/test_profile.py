@@ -40,12 +40,26 @@ def pandas_corr(frame):
         return frame.corr()
 
 
-@pytest.fixture(params=["built-in", "matrix"])
-def path(request, monkeypatch):
-    monkeypatch.setattr(profile, "NARROW_PAIRS", 10_000 if request.param == "built-in" else 0)
+def test_corr_of_a_pair_does_not_depend_on_other_columns(spark):
+    rows = [
+        (1e8 + i % 2, i % 2 + 0.1 * (i % 7), float(i), i % 3, 2 * i) if i < 50 else (-1e8, None, float(i), 1, 5)
+        for i in range(100)
+    ]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d int, e int").repartition(5)
+    want = np.corrcoef(np.array([r[:2] for r in rows[:50]], float).T)[0, 1]
+    for columns in (["a", "b"], list("abcde")):
+        got = {(r.column_a, r.column_b): r["corr"] for r in corr_matrix(df, columns).collect()}
+        assert got["a", "b"] == pytest.approx(want, abs=1e-8)
+
+
+def test_corr_without_common_rows(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (None, 3.0)], "a double, b double")
+    got = {(r.column_a, r.column_b): r["corr"] for r in corr_matrix(df).collect()}
+    assert got["a", "b"] is None and got["a", "a"] == pytest.approx(1)
+    assert {r["corr"] for r in corr_matrix(df.limit(0)).collect()} == {None}
 
 
-def test_corr_is_pairwise_complete(spark, path):
+def test_corr_is_pairwise_complete(spark):
     rng = np.random.default_rng(1)
     frame = pd.DataFrame(rng.normal(size=(300, 4)) + [1e6, 0, 5, -3], columns=list("abcd"))
     frame["b"] += frame["d"] * 0.5
@@ -63,7 +77,7 @@ def test_corr_is_pairwise_complete(spark, path):
             assert np.isclose(v, want.loc[a, b], atol=1e-9)
 
 
-def test_corr_with_infinity_is_unknown_only_where_it_counts(spark, path):
+def test_corr_with_infinity_is_unknown_only_where_it_counts(spark):
     frame = pd.DataFrame({"a": [1.0, 2.0, INF, 4.0], "b": [2.0, 1.0, NAN, 5.0], "c": [1.0, 5.0, 2.0, 3.0]})
     got = {(r.column_a, r.column_b): r["corr"] for r in corr_matrix(spark.createDataFrame(frame)).collect()}
     assert got["a", "c"] is None and got["a", "a"] is None
