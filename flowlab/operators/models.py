@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import random
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 from multiprocessing.pool import ThreadPool
 
@@ -138,14 +138,22 @@ def score(model: Model, df: DataFrame) -> DataFrame:
 
 
 def cross_val_accuracy(
-    pipeline: Pipeline, df: DataFrame, label: str, fold: str, k: int, parallelism: int = 3
+    pipeline: Pipeline, df: DataFrame, label: str, fold: str, k: int, parallelism: int = 3,
+    prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]] | None = None,
 ) -> list[float]:
-    """Accuracy on each fold of a model fitted afresh on the other folds."""
+    """Accuracy on each fold of a model fitted afresh on the other folds.
+
+    ``prepare`` learns from the training rows of a fold how to turn rows into features, so that
+    scalers and reducers do not see the rows they are judged on.
+    """
     judge = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
 
     def one(i: int) -> float:
-        model = pipeline.fit(df.filter(quoted(fold) != i))
-        return judge.evaluate(model.transform(df.filter(quoted(fold) == i)))
+        train, test = df.filter(quoted(fold) != i), df.filter(quoted(fold) == i)
+        if prepare is not None:
+            change = prepare(train)
+            train, test = change(train), change(test)
+        return judge.evaluate(pipeline.fit(train).transform(test))
 
     with ThreadPool(min(k, parallelism)) as pool:
         return pool.map(one, range(k))
@@ -173,15 +181,20 @@ def tune_boosted(
     budget_seconds: float = 3600.0,
     ranges: Mapping[str, tuple[float, float]] = SEARCH_RANGES,
     seed: int = 2,
+    prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]] | None = None,
+    inputs: Sequence[str] | None = None,
 ) -> DataFrame:
     """``(trial, fold, accuracy, <params>)``: random search scored by k-fold accuracy.
 
+    With ``prepare`` (see ``cross_val_accuracy``) the rows hold ``inputs``, from which each fold
+    makes its own ``features``.
+
     Trials start until the time budget is used or ``trials`` are done; at least one is run.
     ``fold`` holds 0..k-1, see ``stratified_kfold``.
     """
     source = random.Random(seed)
     classes = class_total(df, label)
-    data = df.select(*[quoted(c) for c in [*features, label, fold]]).persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.select(*[quoted(c) for c in [*(features if inputs is None else inputs), label, fold]]).persist(StorageLevel.MEMORY_AND_DISK)
     started, rows, trial = time.monotonic(), [], 0
     try:
         while trial == 0 or (
@@ -189,7 +202,7 @@ def tune_boosted(
         ):
             params = draw_params(source, ranges)
             pipeline = boosted_pipeline(features, label, classes, params, seed)
-            for i, value in enumerate(cross_val_accuracy(pipeline, data, label, fold, k)):
+            for i, value in enumerate(cross_val_accuracy(pipeline, data, label, fold, k, prepare=prepare)):
                 rows.append((trial, i, 100.0 * value, *asdict(params).values()))
             trial += 1
     finally:
