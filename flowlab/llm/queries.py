@@ -24,7 +24,24 @@ def query(oracle: str | None = None) -> Callable:
     return register
 
 
-@query()
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(rf"""
+with dw as (select doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+iw as (select cast(item_id as varchar) as item, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (select distinct item, w[p:p + least(10, len(w)) - 1] as g
+ from (select item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) as p from iw where len(w) > 0)),
+sizes as (select distinct len(g) as n from windows),
+places as (select doc_id, n, p, w[p:p + n - 1] as g
+ from (select doc_id, n, w, unnest(range(1, len(w) - n + 2)) as p from dw, sizes where len(w) >= n)),
+hits as (select doc_id, n, p, item from places join windows using (g)),
+found as (select doc_id, count(distinct q) as n_hit from (select doc_id, unnest(range(p, p + n)) as q from hits) group by doc_id),
+named as (select doc_id, list_sort(list(distinct item)) as items from hits group by doc_id)
+select dw.doc_id, cast(coalesce(len(w), 0) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, cast(coalesce(len(items), 0) as bigint) as n_items,
+ sha256(coalesce(array_to_string(items, ','), '')) as items_sha256, n_hit is not null as contaminated
+from dw left join found using (doc_id) left join named using (doc_id)
+""")
 def op2_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
@@ -85,7 +102,18 @@ def op5_fair_toxicity(spark, sf_dir):
     )
 
 
-@query()
+@query(rf"""
+with recursive dw as (select doc_id, coalesce(regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+'), []) as w from documents),
+sh as (select distinct doc_id, md5(array_to_string(w[p:p + 3], ' ')) as s
+ from (select doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) as p from dw where len(w) > 0)),
+size as (select doc_id, count(*) as n from sh group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as i from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+near as (select a, b from common join size x on x.doc_id = a join size y on y.doc_id = b where 100 * i >= 80 * (x.n + y.n - i)),
+links as (select a, b from near union all select b, a from near),
+reach as (select doc_id, doc_id as other from documents union select r.doc_id, l.b from reach r join links l on r.other = l.a),
+named as (select doc_id, min(other) as component_id from reach group by doc_id)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept from named left join size using (doc_id)
+""")
 def op4_tensor_minhash(spark, sf_dir):
     return tensor_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
