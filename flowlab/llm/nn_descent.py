@@ -3,12 +3,13 @@
 Nearness is the inner product. Vectors that are equal form a class, of which one goes into the graph; the others come
 back with the result. The first graph joins rows whose signs agree on random planes, several times over. Each round
 of NN-descent then looks at neighbours of neighbours: the neighbours of a node, forward and reverse, of which at least
-one is new, are compared with each other, and those nearer than what a node has enter its list. Reverse neighbours of a
+one is new, are compared with each other, and those nearer than what a node has enter its list, until few lists change. Reverse neighbours of a
 hub are drawn, about as many as a list has, so that no node gathers an unbounded group.
 
-A query starts at entry nodes, and at its own list if it is in the graph. In each step its best nodes that have not been
-opened are opened: their neighbours, forward and reverse, are scored, and the best ``pool`` stay. The scores of the result
-are inner products in double precision of the original vectors, added up in the order of the components.
+Equal queries are searched once. A query starts at entry nodes and, if an equal vector is in the graph, at its node and the
+list of it. In each step its best nodes that have not been opened are opened: their neighbours, forward and reverse, are
+scored, and the best ``pool`` stay, until all of the pool have been opened. The scores of the result are inner products in
+double precision of the original vectors, added up in the order of the components.
 
 Recall is a property of the data; the README gives what was measured.
 
@@ -20,6 +21,7 @@ the named columns are read.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -32,12 +34,10 @@ from flowlab.llm.tables import batch_of, written
 K = 48
 TREES = 4
 LEAF = 200
-ROUNDS = 8
-SETTLED = 0.15
+SETTLED = 0.02
 FIRST_LINKS = 5
 POOL = 120
 OPENED = 40
-STEPS = 6
 ENTRIES = 64
 QUERY_BLOCK = 50_000
 GROUP_NODES = 256
@@ -71,9 +71,14 @@ def valid_vectors(table: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows
 
 
+def with_class(rows: DataFrame) -> DataFrame:
+    """With ``h1, h2``, which equal vectors share."""
+    return rows.withColumns({"h1": F.xxhash64("vec"), "h2": F.hash("vec")})
+
+
 def classes_of(rows: DataFrame, k: int) -> DataFrame:
     """``node`` (the smallest id), ``vec`` and the ``k + 1`` smallest ids of each distinct vector."""
-    named = rows.withColumns({"h1": F.xxhash64("vec"), "h2": F.hash("vec")})
+    named = with_class(rows)
     groups = named.groupBy("h1", "h2").agg(F.min("id").alias("node"), F.count("*").alias("size"))
     # Ids of copies: a running number over a class would gather it, so they come in two steps of a salt.
     salted = named.join(groups.filter("size > 1").select("h1", "h2"), ["h1", "h2"]).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
@@ -223,11 +228,11 @@ def neighbours_of_neighbours(graph: DataFrame, vectors: DataFrame, groups: int,
     return members.groupBy("bucket").applyInArrow(local_join, EDGE)
 
 
-def neighbour_graph(vectors: DataFrame, n: int, k: int = K, rounds: int = ROUNDS) -> DataFrame:
+def neighbour_graph(vectors: DataFrame, n: int, k: int = K) -> DataFrame:
     """``u, v, s, fresh``: about ``k`` neighbours of each node."""
     groups = max(1, math.ceil(n / GROUP_NODES))
     graph = written(merged(first_graph(vectors, n, k), groups, k), "graph")
-    for number in range(rounds):
+    for number in itertools.count():
         old = graph.withColumn("fresh", F.lit(False))
         graph = written(merged(old.union(neighbours_of_neighbours(graph, vectors, groups, k, number)), groups, k), "graph")
         released(vectors.sparkSession)
@@ -244,9 +249,10 @@ POOLED = "q long, v long, s float, opened boolean"
 
 
 def searched(
-    queries: DataFrame, graph: DataFrame, vectors: DataFrame, n: int, *, k: int, pool: int, opened: int, steps: int,
+    queries: DataFrame, homes: DataFrame, graph: DataFrame, vectors: DataFrame, *, k: int, pool: int, opened: int,
 ) -> DataFrame:
-    """``q, v, s``: the best nodes found for each query of one block (``node, vec`` as bytes)."""
+    """``q, v, s``: the best nodes found for each query of one block (``node, vec`` as bytes). ``homes``: ``q, home``, the
+    node that equals a query, if there is one."""
     spark = queries.sparkSession
     rows = queries.collect()  # a block of bounded size
     ids = np.array([r.node for r in rows], np.int64)
@@ -280,10 +286,13 @@ def searched(
         grouped = found.select("q", "v", "s", "opened", bucket("q", groups)).groupBy("bucket")
         return written(grouped.applyInArrow(keep, POOLED), "pool")
 
-    # Every query meets the few entry nodes; those in the graph also their own lists.
-    start = asked.withColumn("v", F.explode(F.array(*map(F.lit, entries)).cast("array<long>"))).union(both.join(F.broadcast(asked), F.col("u") == F.col("q")).select("q", "v"))
+    # Every query meets the few entry nodes; those with a node of their own also that and its list.
+    own = homes.join(F.broadcast(asked), "q")
+    start = asked.withColumn("v", F.explode(F.array(*map(F.lit, entries)).cast("array<long>")))
+    start = start.union(own.select("q", F.col("home").alias("v"))).union(both.join(F.broadcast(own), F.col("u") == F.col("home")).select("q", "v"))
     now = best_of(rescored(start.distinct()))
-    for _ in range(steps):
+    # A pool only improves, so what it drops never comes back: a node is opened once a query at most, and this ends.
+    while True:
         order_ = Window.partitionBy("q").orderBy(F.desc("s"), "v")
         front = now.filter("not opened").withColumn("r", F.row_number().over(order_)).filter(F.col("r") <= opened).select("q", F.col("v").alias("u"))
         front = written(front, "front")
@@ -300,7 +309,7 @@ def searched(
 
 def nearest(
     table: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", neighbours: int = 20,
-    k: int = K, rounds: int = ROUNDS, pool: int = POOL, opened: int = OPENED, steps: int = STEPS,
+    k: int = K, pool: int = POOL, opened: int = OPENED,
 ) -> DataFrame:
     """Per query and rank: ``query_id, rank, vec_id, score``. ``queries`` has the columns of ``table``; a query whose id
     is in the table is not compared with its own row."""
@@ -315,17 +324,21 @@ def nearest(
     if not n or asked.isEmpty():
         return table.sparkSession.createDataFrame([], schema)
     vectors = packed_vectors(classes)
-    graph = neighbour_graph(vectors, n, k, rounds)
-    asked = written(asked, "queries")
-    # Copies among the queries search on their own; each starts at the node of its class.
-    packed = written(packed_vectors(asked.select(F.col("id").alias("node"), "vec")), "query-vectors")
+    graph = neighbour_graph(vectors, n, k)
+    asked = written(with_class(asked), "queries")
+    heads = asked.groupBy("h1", "h2").agg(F.min("id").alias("q"))
+    # Copies among the queries are searched once, and the result is handed to all of them.
+    members = written(asked.join(heads, ["h1", "h2"]).select("id", "q", "vec"), "query-classes")
+    homes = written(heads.join(with_class(classes), ["h1", "h2"]).select("q", F.col("node").alias("home")), "homes")
+    searching = members.filter("id = q").select("q", "vec")
+    packed = packed_vectors(searching.withColumnRenamed("q", "node"))
     blocks = max(1, math.ceil(packed.count() / QUERY_BLOCK))
     found = None
     for number in range(blocks):
         block = packed.filter(F.pmod(F.xxhash64("node"), F.lit(blocks)) == number)
-        part = searched(block, graph, vectors, n, k=k, pool=max(pool, 2 * neighbours), opened=opened, steps=steps)
+        part = searched(block, homes, graph, vectors, k=k, pool=max(pool, 2 * neighbours), opened=opened)
         found = part if found is None else found.union(part)
-    return ranked(found, asked, classes, neighbours)
+    return ranked(found, searching, members, classes, neighbours)
 
 
 def exact_score(a, b):
@@ -333,12 +346,17 @@ def exact_score(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def ranked(found: DataFrame, asked: DataFrame, classes: DataFrame, neighbours: int) -> DataFrame:
-    pairs = found.join(asked.withColumnRenamed("id", "q"), "q").join(
+def ranked(found: DataFrame, searching: DataFrame, members: DataFrame, classes: DataFrame, neighbours: int) -> DataFrame:
+    pairs = found.join(searching, "q").join(
         classes.select(F.col("node").alias("v"), F.col("vec").alias("other"), "ids"), "v"
     )
-    pairs = pairs.select("q", exact_score(F.col("vec"), F.col("other")).alias("score"), F.explode("ids").alias("id")).filter("id <> q")
+    pairs = pairs.select("q", exact_score(F.col("vec"), F.col("other")).alias("score"), F.explode("ids").alias("id"))
     order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
-    return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= neighbours).select(
-        F.col("q").alias("query_id"), F.col("rank").cast("int"), F.col("id").alias("vec_id"), "score"
+    # One more than asked for, as one of them may be the row of the query itself.
+    top = pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= neighbours + 1)
+    lists = written(top.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("rank", "id", "score"))).alias("near")), "lists")
+    near = F.slice(F.filter("near", lambda x: x.id != F.col("own")), 1, neighbours)
+    listed = members.select(F.col("id").alias("own"), "q").join(lists, "q").select("own", F.posexplode(near).alias("at", "x"))
+    return listed.select(
+        F.col("own").alias("query_id"), (F.col("at") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), F.col("x.score").alias("score")
     )

@@ -71,6 +71,26 @@ def test_one_id_with_two_vectors_is_refused(spark):
         nearest(table, table).count()
 
 
+def test_copies_start_at_their_class_and_the_search_goes_on_until_nothing_is_open(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(3000, 16)).tolist())]
+    rows += [(10_000 + i, rows[i][1]) for i in range(0, 3000, 50)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = [r for r in rows if r[0] >= 10_000]
+    got = grouped(nearest(table, table.filter("vec_id >= 10000"), neighbours=10, k=16, pool=40, opened=1))
+    want = brute(rows, asked, 10)
+    assert got.keys() == want.keys()
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.95
+    assert all((q - 10_000) in {i for i, _ in got[q]} for q in want if (q - 10_000) in {i for i, _ in want[q]})
+
+
+def test_equal_queries_get_equal_lists(spark):
+    rows = [(i, v) for i, v in enumerate(np.random.default_rng(4).normal(size=(200, 8)).tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(q, rows[5][1]) for q in (5, 900, 901)], "vec_id long, embedding array<double>")
+    assert grouped(nearest(table, asked, neighbours=6)) == brute(rows, [(q, rows[5][1]) for q in (5, 900, 901)], 6)
+
+
 def test_best():
     u, v, s = np.array([1, 1, 1, 2]), np.array([5, 4, 5, 9]), np.array([0.5, 0.5, 0.9, 0.1])
     assert [a.tolist() for a in best(u, v, s, 2)] == [[1, 1, 2], [4, 5, 9], [0.5, 0.5, 0.1]]
