@@ -2,7 +2,9 @@
 
 A page is a sequence of tokens, words and tags. A word scores by where it stands (its block element, whether it is
 part of a link) and a tag by its name; tags never score above zero. Menus, adverts and other frame parts are holes that
-cost one pair of tags. The weights are log odds of content against the rest, counted over all labelled pages: those that
+cost one pair of tags. What only may be a frame part, such as a form, a header or an alert, is a hole if links make up half
+of its words; else its words have a weight of their own and stay where content surrounds them. An element that holds most
+of the page's words outside of links, such as a form around the page, is no frame part. The weights are log odds of content against the rest, counted over all labelled pages: those that
 mark their content with exactly one ``article`` or ``main`` element. A linear scan finds the run of tokens with the greatest sum, on every page alike; frame parts
 inside that run are left out. Words of one text run score alike, so runs are scanned whole.
 
@@ -36,17 +38,26 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section "
     "select summary table tbody td tfoot th thead tr ul".split()
 )
-FRAME = frozenset("nav header footer aside form menu button select dialog fieldset head".split())
+#: Never content, however much they hold.
+FRAME = frozenset("nav footer aside menu select head".split())
+#: Frame parts unless they hold most of the page.
+LIKELY = frozenset("button dialog".split())
+#: These may be either.
+DOUBTFUL = frozenset("form fieldset header".split())
 CONTENT = frozenset(("article", "main"))
 #: A new one ends an open one of the same group.
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: Words in class, id or role that mark frame parts.
 FRAME_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner promo promotion sponsor sponsored comment comments respond "
-    "disqus sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent notice "
-    "popup modal newsletter subscribe subscription share sharing social related widget login signup toolbar pagination "
-    "complementary contentinfo search alert".split()
+    "disqus sidebar nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie cookies consent "
+    "popup modal newsletter subscribe login signup toolbar pagination complementary contentinfo".split()
 )
+#: Words that mark blocks of articles, too.
+DOUBTFUL_WORDS = frozenset("notice alert related share sharing social widget search subscription".split())
+#: Readers may write more than the author: such parts must hold nearly the whole page to be no frame part.
+COMMENT_WORDS = frozenset("comment comments respond disqus".split())
+MOST, NEARLY_ALL = 0.5, 0.9
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|$)", re.S
@@ -56,7 +67,7 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|di
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: Prior counts in and out of the content: a plain word speaks for it; links, tags and the edges of frame parts do not.
-PRIOR = {"word": (8.0, 2.0), "link": (2.0, 4.0), "tag": (2.0, 4.0), "edge": (0.5, 8.0)}
+PRIOR = {"word": (8.0, 2.0), "link": (2.0, 4.0), "doubt": (2.0, 4.0), "tag": (2.0, 4.0), "edge": (0.5, 8.0)}
 #: Tags never speak for content, however common they are inside of it.
 TAG_CEILING = -0.1
 #: What stands inside of a content element can be parted by adverts and the like, which labelled pages may not show.
@@ -73,66 +84,115 @@ class Token:
     breaks: bool  # ends a block
 
 
-def is_frame(name: str, attributes: str) -> bool:
+class Part:
+    """An element that may be a frame part, inside of another or of none. What it is shows at the end of the page."""
+
+    __slots__ = ("outer", "share", "frame", "doubt", "content", "words", "links")
+
+    def __init__(self, outer: Part | None, frame: bool, share: float | None, content: bool) -> None:
+        self.outer, self.frame, self.doubt, self.share, self.content = outer, frame, not frame, share, content
+        self.words = self.links = 0
+
+
+def frame_part(name: str, attributes: str, content: bool) -> tuple[bool, float | None] | None:
+    """None for what is none, as the header of an article; else whether it is sure, and the share of the page's words from which on it is not."""
     if name in FRAME:
-        return True
-    if not attributes or name in ("html", "body"):
-        return False
-    if HIDDEN.search(attributes):
-        return True
-    return any(
-        part.lower() in FRAME_WORDS for m in MARK.finditer(attributes)
-        for part in NAME_PARTS.findall(m[1] or m[2] or m[3] or "")
-    )
-
-
-def tokens(page: str) -> Iterator[Token]:
+        return True, None
+    if name in ("html", "body"):
+        return None
+    if attributes and HIDDEN.search(attributes):
+        return True, None
+    words = {
+        part.lower() for m in MARK.finditer(attributes) for part in NAME_PARTS.findall(m[1] or m[2] or m[3] or "")
+    } if attributes else set()
+    if words & COMMENT_WORDS:
+        return True, NEARLY_ALL
+    if name in LIKELY or words & FRAME_WORDS:
+        return True, MOST
+    if name in DOUBTFUL and not (name == "header" and content) or words & DOUBTFUL_WORDS:
+        return False, MOST
+    return None
+
+
+def judged(parts: list[Part], words: int) -> None:
+    """Settles what each part is; the outer ones come first in ``parts``."""
+    for part in reversed(parts):
+        if part.outer:
+            part.outer.words += part.words
+            part.outer.links += part.links
+    for part in parts:
+        if part.share is not None and part.words > part.share * words:
+            part.frame = part.doubt = False
+        elif part.doubt and part.links and part.links >= part.words:
+            part.frame = True
+        if part.outer:
+            part.content |= part.outer.content
+            part.frame |= part.outer.frame
+            part.doubt |= part.outer.doubt
+        part.content &= not part.frame
+
+
+def tokens(page: str) -> list[Token]:
     """Tags and text runs of a page with their place among the open elements."""
-    # Open elements: name, frame part it is or stands in, inside of content, nearest block, inside of a link.
-    stack: list[tuple[str, str, bool, str, bool]] = [("", "", False, "", False)]
-    at = 0
-
-    def run(text: str) -> Iterator[Token]:
+    # Open elements: name, part it is or stands in, inside of content, nearest block, inside of a link.
+    stack: list[tuple[str, Part | None, bool, str, bool]] = [("", None, False, "", False)]
+    found: list[Token] = []
+    # For each token the part it is an edge of, those it stands in before and after it, and whether in content.
+    places: list[tuple[Part | None, Part | None, Part | None, bool, bool]] = []
+    parts: list[Part] = []
+    total = at = 0
+
+    def run(text: str) -> None:
+        nonlocal total
         if text:
             text = html.unescape(text)
-            _, frame, content, block, link = stack[-1]
-            yield Token(f"{'link' if link else 'word'}:{block}", len(text.split()), text, bool(frame), content, False)
+            _, part, content, block, link = stack[-1]
+            words = len(text.split())
+            if part and link:
+                part.links += words
+            elif part:
+                part.words += words
+            total += 0 if link else words
+            found.append(Token(f"{'link' if link else 'word'}:{block}", words, text, False, False, False))
+            places.append((part, part, part, content, content))
 
     while at < len(page):
         m = TOKEN.search(page, at)
         if m is None:
-            yield from run(page[at:])
-            return
-        yield from run(page[at:m.start()])
+            run(page[at:])
+            break
+        run(page[at:m.start()])
         at = m.end()
         if not m[2]:
             continue
         name, closing = m[2].lower(), bool(m[1])
-        _, frame, content, block, link = stack[-1]
+        _, part, content, block, link = stack[-1]
         known = name if name in BLOCK or name in VOID or name in RAW else "inline"
-        label = f"{'/' if closing else ''}{known}"
-        inside = Token(f"{'edge' if frame else 'tag'}:{label}", 0, "", bool(frame), content, name in BLOCK)
+        tag = Token(f"tag:{'/' if closing else ''}{known}", 0, "", False, False, name in BLOCK)
+        found.append(tag)
         if closing:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
                     del stack[k:]
                     break
             # The tag that ends the content belongs to what is around it.
-            inside.content, inside.frame = content and stack[-1][2], bool(stack[-1][1])
-            yield inside
+            places.append((part, part, stack[-1][1], content, stack[-1][2]))
             continue
         for other in CLOSES.get(name, ()):
             if stack[-1][0] == other:
                 stack.pop()
-        _, frame, content, block, link = stack[-1]
-        own = name if is_frame(name, m[3]) else ""
-        if name in CONTENT and not own and not content:
-            frame = ""  # content inside of a frame part, such as a form around the whole page
-        inside.kind = f"{'edge' if frame or own else 'tag'}:{label}"
-        inside.frame, inside.content = bool(frame), content
-        yield inside
+        _, part, content, block, link = stack[-1]
+        what = frame_part(name, m[3], content)
+        if name in CONTENT and not what and not content:
+            part = None  # content inside of a frame part, such as a form around the whole page
+        own = part
+        if what:
+            own = Part(part, *what, content or name in CONTENT)
+            parts.append(own)
+        places.append((own, part, part, content, content))
         if name == "br":
-            yield Token("tag:br", 0, " ", bool(frame), content, False)
+            found.append(Token("tag:br", 0, " ", False, False, False))
+            places.append((None, part, part, content, content))
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)", re.I).search(page, at)
             at = end.start() if end else len(page)
@@ -141,8 +201,19 @@ def tokens(page: str) -> Iterator[Token]:
                 at = stop + 1 if stop >= 0 else len(page)
         elif name not in VOID and not m[3].endswith("/"):
             stack.append((
-                name, frame or own, (content or name in CONTENT) and not own, name if name in BLOCK else block, link or name == "a"
+                name, own, (content or name in CONTENT) and not what, name if name in BLOCK else block, link or name == "a"
             ))
+    judged(parts, total)
+    for token, (edge, before, after, was, now) in zip(found, places):
+        token.frame = bool(after and after.frame)
+        # Inside of a part it is the part that says whether it is content.
+        token.content = bool((was or before and before.content) and (now or after and after.content))
+        if token.kind.startswith("tag:"):
+            if edge and edge.frame:
+                token.kind = f"edge{token.kind[3:]}"
+        elif after and after.doubt and token.kind.startswith("word:"):
+            token.kind = f"doubt{token.kind[4:]}"
+    return found
 
 
 def counts(page: str) -> Counter:

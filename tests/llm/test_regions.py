@@ -40,6 +40,31 @@ def test_edges(page, text):
     assert main_text(page, prior()) == text
 
 
+POST = "<h1>A title</h1><p>Some words of the post that go on for a while.</p><p>More of its words, to the end.</p>"
+POSTED = "A title\nSome words of the post that go on for a while.\nMore of its words, to the end."
+AROUND = "<nav><a href=/>Home</a></nav>{}<footer>Some footer</footer>"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<form id=aspnetForm><div class=post>{POST}</div></form>", POSTED),
+    (f"<div class='layout has-sidebar'>{POST}<div class=sidebar><a href=/a>one</a> <a href=/b>two</a></div></div>", POSTED),
+    (f"<div class='no-sidebar'><div class=post>{POST}</div></div>", POSTED),
+    (f"<div class='layout has-sidebar'><article>{POST}</article></div>", POSTED),
+    (f"<fieldset>{POST}</fieldset>", POSTED),
+    (f"<article>{POST}<div class=alert>Mind the gap.</div><p>The last of its words.</p></article>", f"{POSTED}\nMind the gap.\nThe last of its words."),
+    (f"<article><header><p>First of all.</p></header>{POST}</article>", f"First of all.\n{POSTED}"),
+    (f"<div>{POST}<div class=related><a href=/a>one other post</a></div><p>The last of its words.</p></div>", f"{POSTED}\nThe last of its words."),
+    (f"<div>{POST}</div><div class=comments>" + "<p>some reader's words</p>" * 9 + "</div>", POSTED),
+])
+def test_frame_words_around_and_in_a_post(page, text):
+    assert main_text(AROUND.format(page), prior()) == text
+
+
+def test_a_wrapper_in_content_leaves_it_content():
+    found = [t for t in tokens(f"<main><div class=has-sidebar>{POST}</div></main>") if t.words]
+    assert all(t.content and not t.frame for t in found)
+
+
 def test_unclosed_quotes_take_linear_time():
     assert main_text("<p>ok</p>" + "<a href=\"x" * 20_000, prior()) == "ok"
 
