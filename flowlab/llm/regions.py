@@ -33,6 +33,8 @@ from flowlab.llm.tables import batch_of
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noscript noframes noembed xmp template svg math".split())
+#: Only these can be closed by a slash.
+FOREIGN = frozenset(("svg", "math"))
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section "
@@ -193,13 +195,13 @@ def tokens(page: str) -> list[Token]:
         if name == "br":
             found.append(Token("tag:br", 0, " ", False, False, False))
             places.append((None, part, part, content, content))
-        if name in RAW:
+        if name in RAW and not (name in FOREIGN and m[3].endswith("/")):
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)", re.I).search(page, at)
             at = end.start() if end else len(page)
             if end:
                 stop = page.find(">", at)
                 at = stop + 1 if stop >= 0 else len(page)
-        elif name not in VOID and not m[3].endswith("/"):
+        elif name not in VOID and name not in RAW and not m[3].endswith("/"):
             stack.append((
                 name, own, (content or name in CONTENT) and not what, name if name in BLOCK else block, link or name == "a"
             ))

@@ -65,6 +65,11 @@ def test_a_wrapper_in_content_leaves_it_content():
     assert all(t.content and not t.frame for t in found)
 
 
+@pytest.mark.parametrize("raw", ["<svg/>", "<svg width=1 />", "<math/>", "<svg><path/></svg>"])
+def test_a_self_closed_raw_element_hides_nothing(raw):
+    assert main_text(f"<article><p>a</p>{raw}<p>b</p></article>", prior()) == "a\nb"
+
+
 def test_unclosed_quotes_take_linear_time():
     assert main_text("<p>ok</p>" + "<a href=\"x" * 20_000, prior()) == "ok"
 
