@@ -555,8 +555,9 @@ def reduced_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
     The reduced rows are written like any training set: trainers read them many times.
     """
-    marked = split.stratified_split(wide_vectors(spark, sf_dir), "label", ["vec_id"])
-    model = DiscriminantModel.fit(marked.filter("not is_test"), "label", [f"e{i}" for i in range(64)])
+    df = wide_vectors(spark, sf_dir)
+    marked = split.stratified_split(df, "label", ["vec_id"])
+    model = DiscriminantModel.fit(marked.filter("not is_test"), "label", [c for c in df.columns if c.startswith("e")])
     path = write_layer(model.transform(marked, 6), scratch_path(spark, "training"))
     reduced = read_layer(spark, path)
     return reduced.filter("not is_test"), reduced.filter("is_test")

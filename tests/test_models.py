@@ -4,11 +4,13 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 from flowlab.operators.models import (
     HIDDEN_LAYERS, SEARCH_RANGES, BoostedParams, best_trial, boosted_pipeline, class_total, cross_val_accuracy,
     draw_params, score, train_boosted, train_mlp, tune_boosted,
 )
+from flowlab.plans.queries import reduced_split
 
 
 @pytest.fixture(scope="module")
@@ -78,3 +80,16 @@ def test_search(points):
 def test_no_labels_no_training(points):
     with pytest.raises(ValueError):
         class_total(points.filter("id < 0"), "y")
+
+
+@pytest.mark.parametrize("width", [10, 70])
+def test_vectors_of_any_width_are_reduced_whole(spark, tmp_path, width):
+    """Only the last component tells the classes apart."""
+    source = random.Random(width)
+    rows = [
+        (i, i % 8, [source.random() for _ in range(width - 1)] + [100.0 * (i % 8) + source.random()]) for i in range(400)
+    ]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    train, test = reduced_split(spark, str(tmp_path))
+    spread = train.groupBy("label").agg(F.avg("c0").alias("m"), F.stddev("c0").alias("s")).orderBy("m").collect()
+    assert all(b.m - a.m > 4 * (a.s + b.s) for a, b in zip(spread, spread[1:])) and test.count() > 0
