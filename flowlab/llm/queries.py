@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlab.llm import bpe, decontaminate, interpolation, nn_descent, pfor, quotation, regions, tensor_minhash, toxicity, warc
+from flowlab.llm import (
+    bpe, centroids, decontaminate, interpolation, licenses, nn_descent, pfor, quotation, regions, spelling, tensor_minhash,
+    toxicity, warc,
+)
 from flowlab.llm.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +139,104 @@ def op1_quotation_linking(spark, sf_dir):
 def op3_nn_descent(spark, sf_dir):
     vectors = read_table(spark, sf_dir, "embeddings")
     return nn_descent.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+@query(rf"""
+with recursive runs as (select distinct doc_id, w from (
+ select doc_id, unnest(regexp_extract_all({LOWER}, '[a-zÀ-ÿ]+')) as w from documents)),
+bits as (select doc_id, w, list_transform(range(8 * len(b)), lambda i: (b[i // 8 + 1] >> (i % 8)) & 1) as bits from (
+ select doc_id, w, flatten(list_transform(string_split(concat(cast(doc_id as varchar), ':', w), ''),
+  lambda c: case when unicode(c) < 128 then [unicode(c)::bigint] else [195::bigint, unicode(c)::bigint - 64] end)) as b from runs)),
+sums as (select doc_id, w, xor(list_reduce([4294967295::bigint] || bits,
+  lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295) as h from bits),
+spelt as (select doc_id, w, case when h % 97 = 0
+  then concat(left(w, cast(h % length(w) as int)), substr(w, cast(h % length(w) as int) + 2)) else w end as word from sums),
+every as (select doc_id, unnest(regexp_extract_all({LOWER}, '[a-zÀ-ÿ]+')) as w from documents),
+vocabulary as (select word, count(*) as n from every join spelt using (doc_id, w) where length(word) >= 5 group by word having count(*) >= 3),
+places as (select word, n, unnest(range(length(word))) as p from vocabulary),
+cut as (select word, n, concat(left(word, p), substr(word, p + 2)) as rest, concat(left(word, p), '*', substr(word, p + 2)) as pattern from places),
+links as (select distinct a.word, b.word as other, b.n as other_n from cut a join cut b on a.pattern = b.pattern and a.word <> b.word
+ union select distinct a.word, b.word, b.n from cut a join vocabulary b on a.rest = b.word
+ union select distinct b.word, a.word, a.n from cut a join vocabulary b on a.rest = b.word),
+best as (select word, count(*) as n_near, max(other_n) as most, arg_min(other, (-other_n, other)) as other from links group by word),
+formed as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when most >= 2 * v.n then other end as form,
+ case when most >= 2 * v.n then most end as form_n from vocabulary v left join best using (word)),
+walk as (select word, word as at, form as onward from formed
+ union all select k.word, f.word, f.form from walk k join formed f on k.onward = f.word)
+select formed.word, form, walk.at as root, n, n_near, form_n from formed join walk on walk.word = formed.word and walk.onward is null
+""")
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"), modulus=97)
+
+
+def template_rows_sql() -> str:
+    rows = [(i, text, label, exact) for i, (text, label, exact) in enumerate(
+        [(t, l, True) for t, l in licenses.PHRASES.items()] + [(t, l, False) for t, l in licenses.NOTICES.items()]
+    )]
+    return ", ".join(f"({i}, '{text}', '{label}', {str(exact).lower()})" for i, text, label, exact in rows)
+
+
+def words_sql(text: str) -> str:
+    return rf"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+GRAM, NOTICE_GRAM = licenses.PHRASE_GRAM, licenses.NOTICE_GRAM
+
+
+@query(f"""
+with t as (select id, label, exact, case when exact then {GRAM} else {NOTICE_GRAM} end as k, {words_sql(LOWER)} as w
+ from (values {template_rows_sql()}) v(id, text, label, exact)),
+marks as (select id, k, p, w[p + 1:p + k] as g from (select id, k, w, unnest(range(len(w) - k + 1)) as p from t)),
+d as (select doc_id, coalesce({words_sql(LOWER)}, []) as w from documents),
+places as (select doc_id, k, x, w[x + 1:x + k] as g from (
+ select doc_id, k, w, unnest(range(len(w) - k + 1)) as x from d, (select distinct k from t) where len(w) >= k)),
+hits as (select distinct doc_id, id, x, x - p as diagonal, p from places join marks using (k, g)),
+steps as (select doc_id, id, diagonal, diagonal - lag(diagonal) over (partition by doc_id, id order by diagonal) as step
+ from (select distinct doc_id, id, diagonal from hits)),
+bands as (select doc_id, s.id, diagonal, sum(case when step <= case when exact then 0 else {licenses.NEIGHBOURS} end then 0 else 1 end)
+ over (partition by doc_id, s.id order by diagonal) as band from steps s join t on s.id = t.id),
+covered as (select doc_id, id, band, min(x) as start, list(p) as ps from hits join bands using (doc_id, id, diagonal) group by 1, 2, 3),
+spans as (select doc_id, label, exact, start,
+ len(list_distinct(flatten(list_transform(ps, lambda p: range(p, p + k)))))::double / len(w) as share from covered join t using (id)),
+held as (select * from spans where share >= case when exact then 1.0 else {licenses.NEEDED} end),
+found as (select doc_id, count(*) filter (where exact) as n_base, min(start) filter (where exact) as first_word,
+ max(start) filter (where exact) as last_word, array_to_string(list_sort(list(distinct label) filter (where exact)), ',') as base_labels,
+ array_to_string(list_sort(list(distinct label)), ',') as labels, max(share) as score from held group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+ coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0::double) as score
+from d left join found using (doc_id)
+""")
+def op12_license_scan(spark, sf_dir):
+    return licenses.scanned(read_table(spark, sf_dir, "documents"), licenses.templates(spark))
+
+
+def cluster_sql(rounds: int, clusters: int, seed: int) -> str:
+    gap = "list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = ["""v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * x::double) as bigint)) as v from embeddings
+ where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64)""", f"""
+c0 as (select row_number() over (order by h) - 1 as cluster, v as c from (
+ select v, sha256(concat('{seed}:', cast(vec_id as varchar))) as h from v order by h limit {clusters}))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} as materialized (select vec_id, arg_min(cluster, (gap, cluster)) as cluster, min(gap) as distance
+ from (select vec_id, cluster, {gap} as gap from v, c{i}) group by vec_id)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} as (select cluster, d, sum(x) as s, count(*) as n from (
+ select cluster, unnest(range(64)) as d, unnest(v) as x from a{i} join v using (vec_id)) group by cluster, d),
+c{i + 1} as materialized (select cluster, coalesce(moved, c) as c from c{i} left join (
+ select cluster, list((s - ((s % n) + n) % n) // n order by d) as moved from (
+  select cluster, d, cast(s as bigint) as s, n from m{i}) group by cluster) using (cluster))""")
+    return "with " + ",".join(steps) + f"""
+select vec_id, cast(cluster as int) as cluster, cast(distance as bigint) as distance,
+ cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia, cast(sum(distance) over () as bigint) as inertia,
+ sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (cluster)"""
+
+
+@query(cluster_sql(5, 40, 2))
+def op13_walsh_clusters(spark, sf_dir):
+    found = centroids.clustered(read_table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, seed=2)
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroids.digest().alias("centroid_sha256")
+    )
