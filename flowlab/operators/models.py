@@ -1,47 +1,23 @@
-"""Classifiers on Spark ML: boosted trees, feed-forward nets, random search, batch scoring.
+"""Classifiers trained on Spark: boosted trees, feed-forward nets, search by successive halving, batch scoring.
 
-Quality, not bit equality, is what these promise against other trainers: the boosted trees are
-one-vs-rest binary boosters, the nets have sigmoid hidden layers and a softmax output.
+Quality, not bit equality, is what these promise against other trainers.
 """
 
 from __future__ import annotations
 
 import random
-import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, replace
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier, OneVsRest
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from flowlab.functions.names import quoted
-
-VECTOR = "_features"
-
-# Hidden layer sizes of the four feed-forward shapes.
-HIDDEN_LAYERS: dict[str, list[int]] = {
-    "NN_01": [32, 64, 128, 256, 256, 128, 64],
-    "NN_02": [32, 64, 32],
-    "NN_03": [32, 64, 128, 256, 128, 64],
-    "NN_04": [32, 64, 128, 256, 512, 256, 128, 64],
-}
-
-
-# The tuned boosted-tree settings are the defaults.
-@dataclass(frozen=True)
-class BoostedParams:
-    learning_rate: float = 0.23962854155043442
-    trees: int = 211
-    depth: int = 8
-    min_child: int = 7
-    subsample: float = 0.6142975198934528
-    colsample: float = 0.8348945145303123
-
+from flowlab.operators.boosting import BoostedData, BoostedParams, BoostedTrees, Trees, fit_rounds
+from flowlab.operators.nets import ACTIVATIONS, HIDDEN_LAYERS, FeedForwardNet
+from flowlab.storage import scratch_path
 
 # Ranges of the random search, ends included.
 SEARCH_RANGES: dict[str, tuple[float, float]] = {
@@ -62,53 +38,17 @@ def class_total(df: DataFrame, label: str) -> int:
     return int(top) + 1
 
 
-def _assembled(features: Sequence[str], estimator: Estimator) -> Pipeline:
-    assembler = VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="error")
-    return Pipeline(stages=[assembler, estimator])
-
-
 def boosted_pipeline(
-    features: Sequence[str],
-    label: str,
-    classes: int,
-    params: BoostedParams = BoostedParams(),
-    seed: int = 2,
-    parallelism: int = 4,
+    features: Sequence[str], label: str, classes: int, params: BoostedParams = BoostedParams(), seed: int = 2
 ) -> Pipeline:
-    """Unfitted boosted trees; one-vs-rest beyond two classes."""
-    booster = GBTClassifier(
-        featuresCol=VECTOR, labelCol=label, stepSize=params.learning_rate, maxIter=params.trees,
-        maxDepth=params.depth, minInstancesPerNode=params.min_child,
-        subsamplingRate=params.subsample, featureSubsetStrategy=str(float(params.colsample)),
-        seed=seed,
-    )
-    if classes <= 2:
-        return _assembled(features, booster)
-    return _assembled(
-        features,
-        OneVsRest(classifier=booster, featuresCol=VECTOR, labelCol=label, parallelism=parallelism),
-    )
-
-
-def _fit(pipeline: Pipeline, df: DataFrame, columns: Sequence[str]) -> PipelineModel:
-    """Fit on the needed columns, kept in memory or on disk while the trainer loops over them."""
-    train = df.select(*[quoted(c) for c in columns]).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return pipeline.fit(train)
-    finally:
-        train.unpersist()
+    """Unfitted boosted trees, one ensemble for all classes."""
+    return Pipeline(stages=[BoostedTrees(features, label, classes, params, seed)])
 
 
 def train_boosted(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str,
-    params: BoostedParams = BoostedParams(),
-    seed: int = 2,
-    parallelism: int = 4,
+    df: DataFrame, features: Sequence[str], label: str, params: BoostedParams = BoostedParams(), seed: int = 2
 ) -> PipelineModel:
-    pipeline = boosted_pipeline(features, label, class_total(df, label), params, seed, parallelism)
-    return _fit(pipeline, df, [*features, label])
+    return boosted_pipeline(features, label, class_total(df, label), params, seed).fit(df)
 
 
 def train_mlp(
@@ -118,19 +58,19 @@ def train_mlp(
     hidden: str | Sequence[int] = "NN_02",
     max_iter: int = 100,
     seed: int = 2,
+    activation: str | None = None,
 ) -> PipelineModel:
-    """Feed-forward net; ``hidden`` is a shape name or layer sizes, the ends come from the data."""
+    """Feed-forward net; ``hidden`` is a shape name or layer sizes, the ends come from the data. A named shape has its
+    own activation, others are exponential rectifiers unless ``activation`` says otherwise."""
     inner = HIDDEN_LAYERS[hidden] if isinstance(hidden, str) else list(hidden)
-    net = MultilayerPerceptronClassifier(
-        featuresCol=VECTOR, labelCol=label, layers=[len(features), *inner, class_total(df, label)],
-        maxIter=max_iter, seed=seed,
-    )
-    return _fit(_assembled(features, net), df, [*features, label])
+    kind = activation or (ACTIVATIONS[hidden] if isinstance(hidden, str) else "elu")
+    net = FeedForwardNet(features, label, class_total(df, label), inner, kind, max_iter, seed=seed)
+    return Pipeline(stages=[net]).fit(df)
 
 
 def score(model: Model, df: DataFrame) -> DataFrame:
     """``df`` with an integer ``prediction`` column; labels are not needed."""
-    helper = [c for c in ("rawPrediction", "probability", VECTOR) if c not in df.columns]
+    helper = [c for c in ("rawPrediction", "probability") if c not in df.columns]
     return (
         model.transform(df).drop(*helper)
         .withColumn("prediction", F.col("prediction").cast("int"))
@@ -177,46 +117,65 @@ def tune_boosted(
     label: str,
     fold: str,
     k: int = 3,
-    trials: int | None = None,
-    budget_seconds: float = 3600.0,
+    trials: int = 9,
+    cut: int = 3,
+    rungs: int = 3,
     ranges: Mapping[str, tuple[float, float]] = SEARCH_RANGES,
     seed: int = 2,
     prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]] | None = None,
-    inputs: Sequence[str] | None = None,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """``(trial, fold, accuracy, <params>)``: random search scored by k-fold accuracy.
-
-    With ``prepare`` (see ``cross_val_accuracy``) the rows hold ``inputs``, from which each fold
-    makes its own ``features``.
+    """``(trial, rung, rounds, fold, accuracy, <params>)``: search by successive halving, scored by k-fold accuracy.
 
-    Trials start until the time budget is used or ``trials`` are done; at least one is run.
-    ``fold`` holds 0..k-1, see ``stratified_kfold``.
+    Trial 0 has the default settings, the others are drawn from ``ranges``. In each rung the trials that are left grow
+    to a larger share of their trees, going on from the trees they have; only one in ``cut`` goes on to the next rung,
+    and the last rung grows all trees. Trials and folds run side by side. ``fold`` holds 0..k-1, see ``stratified_kfold``;
+    ``prepare`` (see ``cross_val_accuracy``) is learnt once for each fold.
     """
-    source = random.Random(seed)
+    spark = df.sparkSession
     classes = class_total(df, label)
-    data = df.select(*[quoted(c) for c in [*(features if inputs is None else inputs), label, fold]]).persist(StorageLevel.MEMORY_AND_DISK)
-    started, rows, trial = time.monotonic(), [], 0
-    try:
-        while trial == 0 or (
-            (trials is None or trial < trials) and time.monotonic() - started < budget_seconds
-        ):
-            params = draw_params(source, ranges)
-            pipeline = boosted_pipeline(features, label, classes, params, seed)
-            for i, value in enumerate(cross_val_accuracy(pipeline, data, label, fold, k, prepare=prepare)):
-                rows.append((trial, i, 100.0 * value, *asdict(params).values()))
-            trial += 1
-    finally:
-        data.unpersist()
+    source = random.Random(seed)
+    drawn = [BoostedParams(), *(draw_params(source, ranges) for _ in range(trials - 1))]
+    judge = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+
+    def sides(i: int) -> tuple[BoostedData, DataFrame]:
+        train, test = df.filter(quoted(fold) != i), df.filter(quoted(fold) == i)
+        if prepare is not None:
+            change = prepare(train)
+            train, test = change(train), change(test)
+        path = scratch_path(spark, "fold")
+        test.select(*[quoted(c) for c in [*features, label]]).write.parquet(path)
+        return BoostedData.of(train, features, label), spark.read.parquet(path)
+
+    with ThreadPool(parallelism) as pool:
+        folds = pool.map(sides, range(k))
+        grown: dict[tuple[int, int], list[Trees]] = {}
+        left, rows = list(range(len(drawn))), []
+        for rung in range(rungs):
+            share = cut ** (rungs - 1 - rung)
+
+            def one(task: tuple[int, int]) -> float:
+                trial, i = task
+                data, test = folds[i]
+                params = replace(drawn[trial], trees=-(-drawn[trial].trees // share))
+                grown[task] = fit_rounds(data.blocks, data.edges, classes, params, seed, grown.get(task, ()))
+                return 100.0 * judge.evaluate(data.model(grown[task]).transform(test))
+
+            tasks = [(trial, i) for trial in left for i in range(k)]
+            accuracy = dict(zip(tasks, pool.map(one, tasks, chunksize=1)))
+            rows += [(t, rung, len(grown[t, i]), i, accuracy[t, i], *asdict(drawn[t]).values()) for t, i in tasks]
+            best = sorted(left, key=lambda t: (-sum(accuracy[t, i] for i in range(k)), t))
+            left = sorted(best[: -(-len(left) // cut)])
     schema = (
-        "trial int, fold int, accuracy double, learning_rate double, trees int, depth int, "
-        "min_child int, subsample double, colsample double"
+        "trial int, rung int, rounds int, fold int, accuracy double, learning_rate double, trees int, depth int, "
+        "min_child double, subsample double, colsample double"
     )
-    return df.sparkSession.createDataFrame(rows, schema)
+    return spark.createDataFrame([(*r[:8], float(r[8]), *r[9:]) for r in rows], schema)
 
 
 def best_trial(trials: DataFrame) -> BoostedParams:
-    """Parameters of the trial with the highest mean accuracy, the earliest on a tie."""
+    """Parameters of the trial with the highest mean accuracy among those of the last rung, the earliest on a tie."""
     names = list(BoostedParams.__dataclass_fields__)
-    means = trials.groupBy("trial", *names).agg(F.avg("accuracy").alias("mean"))
-    row = means.orderBy(F.desc("mean"), "trial").first()
+    means = trials.groupBy("rung", "trial", *names).agg(F.avg("accuracy").alias("mean"))
+    row = means.orderBy(F.desc("rung"), F.desc("mean"), "trial").first()
     return BoostedParams(**{n: row[n] for n in names})
