@@ -40,7 +40,7 @@ def walsh(values: np.ndarray, order: np.ndarray | None = None) -> np.ndarray:
     out = values.copy()
     half = 1
     while half < WIDTH:
-        pairs = out.reshape(len(out), -1, 2, half)
+        pairs = out.reshape(len(out), WIDTH // (2 * half), 2, half)
         out = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2).reshape(len(out), WIDTH)
         half *= 2
     return out[:, order]

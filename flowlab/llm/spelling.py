@@ -112,7 +112,7 @@ def key_rows(longer: bool):
             halves = _halves(codes, row, lengths, lengths - 1 if longer else lengths)
             for signature in _signatures(codes, row, len(lengths)):
                 for half in halves:
-                    yield batch_of(KEYS, pa.array(mixed(signature + half).view(np.int64)), word, n)
+                    yield batch_of(KEYS, pa.array(mixed(signature * STEP + half).view(np.int64)), word, n)
 
     return rows
 
@@ -128,7 +128,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
     a = short.select("key", F.col("word").alias("a"), F.col("n").alias("n_a"))
     b = short.withColumn("longer", F.lit(False)).union(long.withColumn("longer", F.lit(True)))
     b = b.select("key", F.col("word").alias("b"), F.col("n").alias("n_b"), "longer")
-    met = a.join(b, "key").filter(F.col("longer") | (F.col("a") < F.col("b")))
+    # Keys are hashes: lengths make sure that a pair meets in one role only.
+    more = F.char_length("b") - F.char_length("a")
+    met = a.join(b, "key").filter((F.col("longer") & (more == 1)) | (~F.col("longer") & (more == 0) & (F.col("a") < F.col("b"))))
     return met.filter(F.levenshtein("a", "b", 1) == 1).select("a", "n_a", "b", "n_b").distinct()
 
 

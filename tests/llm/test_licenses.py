@@ -1,0 +1,90 @@
+import re
+
+import pytest
+
+from flowlab.llm import licenses
+
+LOWER = str.maketrans(licenses.UPPER, licenses.LOWER)
+
+
+def words_by_hand(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def base_by_hand(text):
+    words = words_by_hand(text)
+    found = []
+    for phrase, label in licenses.PHRASES.items():
+        goal = phrase.split()
+        found += [(i, label) for i in range(len(words)) if words[i:i + len(goal)] == goal]
+    places = [i for i, _ in found]
+    return (
+        len(words), len(found), min(places, default=None), max(places, default=None), ",".join(sorted({label for _, label in found}))
+    )
+
+
+MIT = next(iter(licenses.NOTICES))
+APACHE = list(licenses.NOTICES)[1]
+TEXTS = [
+    "This work is licensed under the GNU General Public License, version 3.",
+    "mit licence, MIT-License; the MIT\nLicense mit license", "CC BY-NC 4.0 cc by by cc", "gnu general public", "apache license " * 4000,
+    "", None, "...", "mit", "É mit license É", "K mit license cc Kby mit license",
+    "word " * 5000 + "released under the mit license",
+    MIT, "x " * 40 + MIT.replace("copy, modify,", "") + " y" * 40, MIT.replace(",", " and so on,"), APACHE + " gnu general public license",
+    " ".join(MIT.split()[:20]), "permission is hereby granted " * 50, MIT + " and " + MIT.upper(), " ".join(reversed(MIT.split())),
+]
+
+
+@pytest.fixture(scope="module")
+def scanned(spark):
+    rows = [(i, t, "clash", 1) for i, t in enumerate(TEXTS)] + [(0, TEXTS[0], "again", 2), (1, "another text of the mit license", "x", 3), (None, TEXTS[0], "x", 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string, place int").repartition(4)
+    return rows, licenses.scanned(df, licenses.templates(spark)).collect()
+
+
+def test_phrases_equal_brute_force(scanned):
+    rows, got = scanned
+    key = lambda r: tuple((v is not None, v) for v in r)
+    wanted = sorted(((i, *base_by_hand(t)) for i, t, _, _ in rows), key=key)
+    assert sorted(((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in got), key=key) == wanted
+
+
+def test_notices_add_labels(scanned):
+    _, got = scanned
+    labels = {r.doc_id: (r.labels, round(r.score, 3)) for r in got if r.doc_id not in (0, 1, None)}
+    at = {i: TEXTS.index(t) for i, t in enumerate([MIT, TEXTS[13], TEXTS[14], TEXTS[15], TEXTS[16], TEXTS[17], TEXTS[18], TEXTS[19]])}
+    assert labels[at[0]] == ("mit", 1.0)
+    assert labels[at[1]][0] == "mit" and 0.6 <= labels[at[1]][1] < 1  # words left out: two diagonals, one span
+    assert labels[at[2]][0] == "mit" and 0.6 <= labels[at[2]][1] < 1  # words added in many places
+    assert labels[at[3]] == ("apache,gpl", 1.0)
+    assert labels[at[4]] == ("", 0.0)  # less than the needed share
+    assert labels[at[5]] == ("", 0.0)  # many votes for few words
+    assert labels[at[6]] == ("mit", 1.0)
+    assert labels[at[7]] == ("", 0.0)
+
+
+def test_spans_and_places(spark):
+    text = "one two " + MIT + " three " + "mit license"
+    df = spark.createDataFrame([(7, text)], "doc_id long, text string")
+    n = len(words_by_hand(MIT))
+    spans = licenses.spans(licenses.votes(df, licenses.templates(spark))).collect()
+    assert sorted((s.label, s.exact, s.start, s.end) for s in spans) == [("mit", False, 2, 2 + n), ("mit", True, n + 3, n + 5)]
+
+
+def test_other_templates_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "BROADCAST_ROWS", 0)
+    marks = licenses.templates(spark, {"all rights reserved": "all"}, {"one two three four five six seven eight": "count"})
+    df = spark.createDataFrame([(1, "All rights reserved"), (2, "one two three four five nine seven eight"), (3, "all rights")], "doc_id long, text string")
+    got = {r.doc_id: (r.base_labels, r.labels, r.n_base) for r in licenses.scanned(df, marks).collect()}
+    assert got == {1: ("all", "all", 1), 2: ("", "count", 0), 3: ("", "", 0)}
+
+
+def test_no_documents(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert licenses.scanned(df, licenses.templates(spark)).count() == 0
+
+
+def test_main_path_is_native(spark):
+    df = spark.createDataFrame([(1, "mit license")], "doc_id long, text string")
+    plan = licenses.scanned(df, licenses.templates(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
