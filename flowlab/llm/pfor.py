@@ -27,13 +27,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from flowlab.llm.files import create, reader, spread
 from flowlab.llm.tables import batch_of, written
-from flowlab.llm.words import RUNS, RecentCache, plain_chunks
+from flowlab.llm.words import BEYOND, RUNS, RecentCache
 from flowlab.storage import scratch_path
 
 MAGIC = b"PFOR1\n"
@@ -41,6 +42,10 @@ BLOCK_IDS = 4096
 PERCENTILE = 0.9
 FILE_IDS = 32_000_000
 TASK_BYTES = 64 << 20
+#: Bytes of text whose chunks are looked up together.
+PIECE_BYTES = 4 << 20
+#: White space other than single blanks and line feeds between visible characters.
+NOT_PLAIN = f"^[ \\n]|[ \\n]$|[ \\n][ \\n]|[\\t\\x0B-\\r\\x1C-\\x1F{BEYOND}]"
 
 MANIFEST = "part int, seq int, path string, docs long, ids long, bytes long"
 
@@ -204,43 +209,74 @@ class ChunkEncoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def learn(self, chunks: set[str]) -> None:
-        """Makes ``after_blank`` hold the ids of all ``chunks``."""
+    def learnt(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each of the distinct ``chunks``; those not seen before are encoded together."""
         known = self.after_blank
-        new = chunks.difference(known)
-        if len(known) + len(new) > self.size:
-            self.older, self.after_blank = known, {c: known[c] for c in chunks.difference(new)}
+        found = list(map(known.get, chunks))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if len(known) + len(missing) > self.size:
+            self.older, self.after_blank = known, {c: ids for c, ids in zip(chunks, found) if ids is not None}
             known = self.after_blank
-        for chunk in self.older.keys() & new:
-            known[chunk] = self.older[chunk]
-            new.discard(chunk)
+        new = []
+        for i in missing:
+            ids = self.older.get(chunks[i])
+            if ids is None:
+                new.append(i)
+            else:
+                known[chunks[i]] = found[i] = ids
         if not new:
-            return
-        texts = [c if c[:1] == "\n" else " " + c for c in new]
+            return found
+        texts = [c if c[:1] == "\n" else " " + c for c in map(chunks.__getitem__, new)]
         ids = self.whole("".join(texts))
-        starts = np.flatnonzero(self.opens[ids])
-        if len(starts) != len(texts):
-            known.update((c, self.whole(t).tobytes()) for c, t in zip(new, texts))
-            return
-        starts *= 4
-        data = ids.tobytes()
-        for chunk, s, e in zip(new, starts.tolist(), [*starts[1:].tolist(), len(data)]):
-            known[chunk] = data[s:e]
-
-    def encode_batch(self, texts: list[str]) -> Iterator[bytes]:
+        starts = np.flatnonzero(self.opens[ids]) * 4
+        if len(starts) == len(texts):
+            data, starts = ids.tobytes(), [*starts.tolist(), 4 * len(ids)]
+            parts = [data[s:e] for s, e in zip(starts, starts[1:])]
+        else:
+            parts = [self.whole(t).tobytes() for t in texts]
+        for i, part in zip(new, parts):
+            known[chunks[i]] = found[i] = part
+        return found
+
+    def plain(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of texts that can be cut at blanks and line feeds. Equal chunks are looked up once, then all ids are
+        gathered at once."""
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        chunks = coded.dictionary.to_pylist()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        # What opens a text has no blank before it.
+        first = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        table = self.learnt(chunks) + [self.others[chunks[c]] for c in codes[first].tolist()]
+        codes[first] = len(chunks) + np.arange(len(first))
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        starts = np.cumsum(sizes) - sizes
+        counts = sizes[codes]
+        until = np.cumsum(counts)
+        at = np.repeat(starts[codes] - (until - counts), counts)
+        at += np.arange(len(at))
+        ids = np.frombuffer(b"".join(table), "<u4")[at]
+        stops = until[ends - 1]
+        for start, stop in zip([0, *stops[:-1].tolist()], stops.tolist()):
+            yield ids[start:stop].tobytes()
+
+    def encode_batch(self, texts: pa.Array | list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if not self.chunked:
-            yield from (self.whole(t).tobytes() for t in texts)
+            yield from (self.whole(t).tobytes() for t in texts.to_pylist())
+            return
+        if not len(texts):
             return
-        for start in range(0, len(texts), 512):
-            split = [(t, plain_chunks(t)) for t in texts[start:start + 512]]
-            self.learn(set().union(*(c[1:] for _, c in split if c)))
-            look = self.after_blank.__getitem__
-            for text, chunks in split:
-                if chunks is None:
-                    yield b"".join(map(self.others.__getitem__, RUNS.findall(text)))
-                else:
-                    yield self.others[chunks[0]] + b"".join(map(look, chunks[1:]))
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        cuts = np.unique(np.searchsorted(size, np.arange(0, size[-1] + 1, PIECE_BYTES))).tolist()
+        for start, stop in zip(cuts, [*cuts[1:], len(texts)]):
+            piece = texts.slice(start, stop - start)
+            odd = pc.or_(pc.match_substring_regex(piece, NOT_PLAIN), pc.equal(pc.binary_length(piece), 0))
+            found = self.plain(piece.filter(pc.invert(odd))) if not pc.all(odd).as_py() else iter(())
+            for place, other in enumerate(odd.to_pylist()):
+                yield b"".join(map(self.others.__getitem__, RUNS.findall(piece[place].as_py()))) if other else next(found)
 
 
 def splits_at_blanks(tokenizer_json: str) -> bool:
@@ -283,7 +319,7 @@ def write_token_files(
             lines.append((part, len(lines), path, len(writer.docs), writer.ids, writer.at))
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode_batch(batch.column(1).to_pylist())):
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode_batch(batch.column(1))):
                 if writer is None:
                     path, out = create(folder, ".pfor")
                     writer = PforWriter(out, block)

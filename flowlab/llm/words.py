@@ -57,8 +57,9 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-# Fixed value: the characters with the property White_Space.
-BLANKS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# Fixed value: the characters beyond ASCII with the property White_Space.
+BEYOND = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLANKS = f"\\t-\\r {BEYOND}"
 RUNS = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
 
 
