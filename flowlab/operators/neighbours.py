@@ -1,12 +1,13 @@
 """Exact k-nearest-neighbour classification.
 
 A training set whose size was checked is broadcast and each task scores its own query rows.
-Beyond that size the training rows are cut into cells around pivot rows; each query is sent only
-to the cells that can still hold one of its neighbours (triangle inequality), as in the
-published MapReduce kNN joins. Neighbouring small cells share a bin, so that a query travels once
-per bin and never more often than plain blocks of that size would need; large bins are tiled on
-both sides, so a cell with a third of all rows is many small tasks. A task emits k candidates
-per query and tile, never all pairs.
+
+Beyond that size the search takes two rounds over an index of pivots. Training rows are put into cells around pivots, found
+by way of a coarser level of pivots; the number of cells follows the number of rows. Cells that lie close together share
+a bin. In the first round a query meets the rows of its own bin, whose k-th distance is a bound that real rows have set. In
+the second it visits the other bins that hold a cell which, by the triangle inequality, can hold a nearer row. Large bins
+are tiled on both sides, so a cell with a third of all rows is many small tasks. A task emits k candidates per query and
+tile at most, none beyond the bound, and never all pairs.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ from flowlab.functions.names import quoted
 from flowlab.storage import checkpointed
 
 BROADCAST_BYTES = 64 << 20
-# Distances held at a time, and rows per tile side.
+# Distances held at a time, rows per tile side, rows of a cell on average.
 SLICE_CELLS = 1 << 21
 TILE_ROWS = 1 << 15
-MAX_PIVOTS = 1024
+CELL_ROWS = 1 << 10
+# The pivots travel to every task: beyond these bytes cells grow instead of their number.
+PIVOT_BYTES = 32 << 20
 
 
 def _sql_type(df: DataFrame, name: str) -> str:
@@ -79,8 +82,7 @@ class _Columns:
 
 
 def _candidates(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> Iterator[pd.DataFrame]:
-    """The k nearest training rows of each query, given as columns q/x and id/label/x."""
-    train = train.sort_values("id", kind="stable", ignore_index=True)
+    """The k nearest training rows of each query, given as columns q/x and id/label/x sorted by id."""
     for row, col, distance in nearest(_matrix(queries["x"]), _matrix(train["x"]), k):
         yield pd.DataFrame({
             "q": queries["q"].to_numpy()[row], "distance": distance,
@@ -94,7 +96,8 @@ def _usable(vector: Column) -> Column:
 
 
 def _by_broadcast(train: DataFrame, queries: DataFrame, k: int, names: _Columns) -> DataFrame:
-    table = train.sparkSession.sparkContext.broadcast(train.toArrow().to_pandas())
+    rows = train.toArrow().to_pandas().sort_values("id", kind="stable", ignore_index=True)
+    table = train.sparkSession.sparkContext.broadcast(rows)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -116,74 +119,201 @@ def _binned(cells: pd.DataFrame, pivots: np.ndarray, tile_rows: int) -> pd.DataF
     return cells.assign(bin=(cells["rows"].cumsum() - cells["rows"]) // tile_rows)
 
 
-def _by_cells(
-    train: DataFrame, queries: DataFrame, k: int, rows: int, names: _Columns, tile_rows: int
-) -> DataFrame:
-    # Pivots: a bounded, repeatable pick of training rows.
-    wanted = int(min(MAX_PIVOTS, max(1, rows**0.5)))
-    picked = train.orderBy(F.xxhash64("id"), "id").limit(wanted).select("x").toPandas()
-    pivots = _matrix(picked["x"])
-    reach = float(np.sqrt((pivots * pivots).sum(1)).max())
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            gaps = _distances(_matrix(batch["x"]), pivots)
-            cell = gaps.argmin(1)
-            yield batch.assign(cell=cell.astype("int32"), gap=gaps[np.arange(len(cell)), cell])
-
-    # Kept as written: a second assignment on other hardware could round a near tie to another
-    # cell, whose radius would then not cover the row.
-    placed = checkpointed(train.mapInPandas(
-        assign, f"id {names.id_type}, label {names.label_type}, x array<double>, cell int, gap double"
-    ))
-    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.max("gap").alias("radius")).toPandas()
-    cells = _binned(cells, pivots, tile_rows)
-    home, members, radius = (cells[c].to_numpy() for c in ("cell", "rows", "radius"))
-    bins, first_cell = np.unique(cells["bin"], return_index=True)
-
-    def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            points = _matrix(batch["x"])
-            if not len(points):
+@dataclass(frozen=True)
+class _Pivots:
+    """Pivots in two levels: ``fine[first[g]:first[g + 1]]`` belong to ``coarse[g]``."""
+
+    coarse: np.ndarray
+    fine: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, points: np.ndarray) -> _Pivots:
+        """Every so manyth point is a coarse pivot; the fine ones go to their nearest."""
+        coarse = points[:: max(1, round(len(points) ** 0.5))]
+        group = np.concatenate([_distances(points[i:i + 4096], coarse).argmin(1) for i in range(0, len(points), 4096)])
+        order = group.argsort(kind="stable")
+        return cls(coarse, points[order], np.searchsorted(group[order], np.arange(len(coarse) + 1)))
+
+    def cells(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A cell for each point, and the distance to its pivot: the nearest pivot of the nearest coarse one. Another
+        pivot may be nearer; a cell's radius covers the points that are put there, which is all that the search needs."""
+        group = _distances(points, self.coarse).argmin(1)
+        # A coarse pivot is one of the points, but an equal one may have taken its whole group.
+        group = np.where(np.diff(self.first)[group] > 0, group, np.diff(self.first).argmax())
+        cell, gap = np.empty(len(points), np.int64), np.empty(len(points))
+        for g in np.unique(group):
+            here = np.flatnonzero(group == g)
+            gaps = _distances(points[here], self.fine[self.first[g]:self.first[g + 1]])
+            nearest_one = gaps.argmin(1)
+            cell[here], gap[here] = self.first[g] + nearest_one, gaps[np.arange(len(here)), nearest_one]
+        return cell, gap
+
+    def reach(self, radius: np.ndarray) -> np.ndarray:
+        """For each coarse pivot a ball that holds all rows of its cells; ``radius`` is negative for a cell without rows."""
+        out = np.full(len(self.coarse), -np.inf)
+        for g in range(len(self.coarse)):
+            at = slice(self.first[g], self.first[g + 1])
+            if at.stop > at.start and (radius[at] >= 0).any():
+                far = _distances(self.coarse[g:g + 1], self.fine[at])[0] + radius[at]
+                out[g] = far[radius[at] >= 0].max()
+        return out
+
+    def open_cells(self, points: np.ndarray, bound: np.ndarray, radius: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(point, cell)`` of all cells whose ball comes within ``bound`` of a point."""
+        rows, cells = [], []
+        gaps = _distances(points, self.coarse)
+        for g in np.flatnonzero(np.isfinite(reach)):
+            near = np.flatnonzero(gaps[:, g] - reach[g] <= bound)
+            if not len(near):
                 continue
-            gaps = _distances(points, pivots[home])
-            # Room for the rounding of the distances above, which is about 3e-8 of the lengths.
-            slack = 1e-6 * (np.sqrt((points * points).sum(1)) + reach + radius.max())[:, None]
-            farthest = gaps + radius
-            order = farthest.argsort(1)
-            enough = (members[order].cumsum(1) >= min(k, rows)).argmax(1)
-            bound = np.take_along_axis(farthest, np.take_along_axis(order, enough[:, None], 1), 1)
-            open_cells = gaps - radius <= bound + slack
-            query, place = np.nonzero(np.logical_or.reduceat(open_cells, first_cell, axis=1))
-            yield pd.DataFrame({
-                "q": batch["q"].to_numpy()[query], "x": batch["x"].to_numpy()[query],
-                "bin": bins[place].astype("int32"),
-            })
-
-    sent = queries.mapInPandas(visits, f"q {names.query_type}, x array<double>, bin int")
-    # Both sides of a bin are tiled by its own row counts; the tables have a row per pivot at most.
-    asked = sent.groupBy("bin").agg(F.count(F.lit(1)).alias("queries")).toPandas()
-    sizes = cells.groupby("bin", as_index=False)["rows"].sum().merge(asked, on="bin")
-    if sizes.empty:
-        return train.sparkSession.createDataFrame([], names.candidates)
-    sizes["t"], sizes["u"] = -(-sizes["rows"] // tile_rows), -(-sizes["queries"] // tile_rows)
-    grid = train.sparkSession.createDataFrame(sizes[["bin", "t", "u"]])
-    homes = train.sparkSession.createDataFrame(cells[["cell", "bin"]].merge(sizes[["bin", "t", "u"]], on="bin"))
-    train_tiles = placed.join(F.broadcast(homes), "cell").select(
-        "id", "label", "x", F.col("bin").cast("int"), F.pmod(F.xxhash64("id"), "t").cast("int").alias("tile"),
-        F.explode(F.sequence(F.lit(0), F.col("u").cast("int") - 1)).alias("part"),
-    )
-    query_tiles = sent.join(F.broadcast(grid), "bin").select(
-        "q", "x", F.col("bin").cast("int"), F.explode(F.sequence(F.lit(0), F.col("t").cast("int") - 1)).alias("tile"),
-        F.pmod(F.xxhash64("q"), "u").cast("int").alias("part"),
-    )
+            at = slice(self.first[g], self.first[g + 1])
+            open_here = (_distances(points[near], self.fine[at]) - radius[at] <= bound[near, None]) & (radius[at] >= 0)
+            row, cell = np.nonzero(open_here)
+            rows.append(near[row])
+            cells.append(cell + at.start)
+        if not rows:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.concatenate(rows), np.concatenate(cells)
+
+
+def _picked_pivots(train: DataFrame, rows: int, cell_rows: int) -> _Pivots:
+    """A repeatable pick of training rows by the hash of their ids, about one for each cell; equal rows count once."""
+    width = len(train.first().x)
+    wanted = int(max(1, min(rows // cell_rows, PIVOT_BYTES // (8 * max(width, 1)))))
+    share = max(1, rows // wanted)
+    chosen = train.filter(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).select("x").limit(2 * wanted).toPandas()
+    points = _matrix(chosen["x"])
+    if not len(points):
+        points = _matrix(train.select("x").limit(1).toPandas()["x"])
+    return _Pivots.of(np.unique(points, axis=0))
+
 
-    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = list(_candidates(left, right, k)) if len(left) and len(right) else []
-        return pd.concat(found) if found else pd.DataFrame(columns=["q", "distance", "id", "label"])
+@dataclass(frozen=True)
+class _Index:
+    """Training rows in cells and bins."""
+
+    placed: DataFrame
+    cells: pd.DataFrame
+    pivots: _Pivots
+    names: _Columns
+    tile_rows: int
+
+    @classmethod
+    def of(cls, train: DataFrame, rows: int, names: _Columns, tile_rows: int, cell_rows: int) -> _Index:
+        pivots = _picked_pivots(train, rows, cell_rows)
+
+        def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    cell, gap = pivots.cells(_matrix(batch["x"]))
+                    yield batch.assign(cell=cell.astype("int32"), gap=gap)
+
+        # Kept as written: a second assignment on other hardware could round a near tie to another
+        # cell, whose radius would then not cover the row.
+        placed = checkpointed(train.mapInPandas(
+            assign, f"id {names.id_type}, label {names.label_type}, x array<double>, cell int, gap double"
+        ))
+        # A row for each pivot at most.
+        cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.max("gap").alias("radius")).toPandas()
+        return cls(placed, _binned(cells, pivots.fine, tile_rows), pivots, names, tile_rows)
+
+    def _facts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Radius (negative without rows) and bin of every cell."""
+        radius, bins = np.full(len(self.pivots.fine), -1.0), np.zeros(len(self.pivots.fine), np.int64)
+        radius[self.cells["cell"]], bins[self.cells["cell"]] = self.cells["radius"], self.cells["bin"]
+        return radius, bins
+
+    def homes(self, queries: DataFrame) -> DataFrame:
+        """``q, x, bin``: the bin of the nearest cell that has rows."""
+        pivots, (radius, bins) = self.pivots, self._facts()
+        filled = np.flatnonzero(radius >= 0)
+
+        def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    cell, _ = pivots.cells(_matrix(batch["x"]))
+                    # A cell without rows has a neighbour with some.
+                    cell = np.where(radius[cell] >= 0, cell, filled[np.minimum(np.searchsorted(filled, cell), len(filled) - 1)])
+                    yield batch.assign(bin=bins[cell].astype("int32"))
+
+        return queries.mapInPandas(send, f"q {self.names.query_type}, x array<double>, bin int")
+
+    def visits(self, bounded: DataFrame) -> DataFrame:
+        """``q, x, bin, bound`` for each other bin that may hold a row within ``bound`` of the query (``q, x, bin, bound``,
+        bin: the one it comes from)."""
+        pivots, (radius, bins) = self.pivots, self._facts()
+        reach = pivots.reach(radius)
+        length = float(np.sqrt((pivots.fine * pivots.fine).sum(1)).max()) + float(radius.max())
+
+        def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                points = _matrix(batch["x"])
+                # Room for the rounding of the distances, which is about 3e-8 of the lengths.
+                slack = 1e-6 * (np.sqrt((points * points).sum(1)) + length)
+                row, cell = pivots.open_cells(points, batch["bound"].to_numpy() + slack, radius, reach)
+                pairs = np.unique(row * (int(bins.max()) + 1) + bins[cell])
+                row, found = np.divmod(pairs, int(bins.max()) + 1)
+                away = found != batch["bin"].to_numpy()[row]
+                row, found = row[away], found[away]
+                yield pd.DataFrame({
+                    "q": batch["q"].to_numpy()[row], "x": batch["x"].to_numpy()[row], "bin": found.astype("int32"),
+                    "bound": batch["bound"].to_numpy()[row],
+                })
+
+        return bounded.mapInPandas(send, f"q {self.names.query_type}, x array<double>, bin int, bound double")
+
+    def matched(self, sent: DataFrame, k: int) -> DataFrame:
+        """At most k candidates for each query, bin and tile, none beyond the ``bound`` of the query."""
+        spark, names, tile_rows = sent.sparkSession, self.names, self.tile_rows
+        # Both sides of a bin are tiled by its own row counts; the tables have a row per pivot at most.
+        asked = sent.groupBy("bin").agg(F.count(F.lit(1)).alias("queries")).toPandas()
+        sizes = self.cells.groupby("bin", as_index=False)["rows"].sum().merge(asked, on="bin")
+        if sizes.empty:
+            return spark.createDataFrame([], names.candidates)
+        sizes["t"], sizes["u"] = -(-sizes["rows"] // tile_rows), -(-sizes["queries"] // tile_rows)
+        grid = spark.createDataFrame(sizes[["bin", "t", "u"]])
+        homes = spark.createDataFrame(self.cells[["cell", "bin"]].merge(sizes[["bin", "t", "u"]], on="bin"))
+        train_tiles = self.placed.join(F.broadcast(homes), "cell").select(
+            "id", "label", "x", F.col("bin").cast("int"), F.pmod(F.xxhash64("id"), "t").cast("int").alias("tile"),
+            F.explode(F.sequence(F.lit(0), F.col("u").cast("int") - 1)).alias("part"),
+        )
+        query_tiles = sent.join(F.broadcast(grid), "bin").select(
+            "q", "x", "bound", F.col("bin").cast("int"), F.explode(F.sequence(F.lit(0), F.col("t").cast("int") - 1)).alias("tile"),
+            F.pmod(F.xxhash64("q"), "u").cast("int").alias("part"),
+        )
 
-    keys = ["bin", "tile", "part"]
-    return query_tiles.groupBy(*keys).cogroup(train_tiles.groupBy(*keys)).applyInPandas(score, names.candidates)
+        def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            found = []
+            if len(left) and len(right):
+                limit = pd.Series(left["bound"].to_numpy(), index=left["q"])
+                for part in _candidates(left, right.sort_values("id", kind="stable", ignore_index=True), k):
+                    found.append(part[part["distance"].to_numpy() <= limit.loc[part["q"]].to_numpy()])
+            return pd.concat(found) if found else pd.DataFrame(columns=["q", "distance", "id", "label"])
+
+        keys = ["bin", "tile", "part"]
+        return query_tiles.groupBy(*keys).cogroup(train_tiles.groupBy(*keys)).applyInPandas(score, names.candidates)
+
+
+def _first_k(candidates: DataFrame, k: int) -> DataFrame:
+    nearest_first = Window.partitionBy("q").orderBy("distance", "id")
+    return candidates.withColumn("place", F.row_number().over(nearest_first)).filter(F.col("place") <= k).drop("place")
+
+
+def _two_rounds(index: _Index, queries: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """The k nearest of each query as ``q, distance, id, label``, and the visits of the second round."""
+    home = checkpointed(index.homes(queries))
+    unbounded = home.withColumn("bound", F.lit(float("inf")))
+    first = checkpointed(_first_k(index.matched(unbounded, k), k))
+    # Fewer than k rows in the home bin set no bound.
+    limits = first.groupBy("q").agg(F.count("*").alias("n"), F.max("distance").alias("farthest"))
+    limits = limits.filter(F.col("n") == k).select("q", F.col("farthest").alias("bound"))
+    bounded = home.join(limits, "q", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    visits = checkpointed(index.visits(bounded.select("q", "x", "bin", "bound")))
+    second = index.matched(visits, k)
+    return _first_k(first.unionByName(second), k), visits
 
 
 def knn_classify(
@@ -196,6 +326,7 @@ def knn_classify(
     k: int = 7,
     broadcast_bytes: int = BROADCAST_BYTES,
     tile_rows: int = TILE_ROWS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """``(query id, prediction)`` by majority of the k nearest training rows (Euclidean).
 
@@ -230,12 +361,26 @@ def knn_classify(
         # Every candidate list is complete: each query was scored against the whole table.
         best = _by_broadcast(known, asked, k, names)
     else:
-        nearest_first = Window.partitionBy("q").orderBy("distance", "id")
-        best = (
-            _by_cells(known, asked, k, size[0], names, tile_rows)
-            .withColumn("place", F.row_number().over(nearest_first))
-            .filter(F.col("place") <= k)
-        )
+        best, _ = _two_rounds(_Index.of(known, size[0], names, tile_rows, cell_rows), asked, k)
     votes = best.groupBy("q", "label").agg(F.count(F.lit(1)).alias("n"))
     voted = votes.groupBy("q").agg(F.min_by("label", F.struct((-F.col("n")).alias("n"), "label")).alias("prediction"))
     return voted.union(unanswered).select(F.col("q").alias(query_id), "prediction")
+
+
+def knn_visits(
+    train: DataFrame, queries: DataFrame, features: str, label: str, train_id: str, k: int = 7,
+    tile_rows: int = TILE_ROWS, cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """``(query id, bins, of)``: how many bins the two rounds of the search visit for each query, its own included, and
+    how many there are. For finite vectors of one width, given as an array column; see ``knn_classify``."""
+    names = _Columns(_sql_type(train, train_id), _sql_type(train, label), _sql_type(queries, train_id))
+    vector = quoted(features).cast("array<double>")
+    known = train.select(quoted(train_id).alias("id"), quoted(label).alias("label"), vector.alias("x"))
+    asked = queries.select(quoted(train_id).alias("q"), vector.alias("x"))
+    index = _Index.of(known, known.count(), names, tile_rows, cell_rows)
+    _, visits = _two_rounds(index, asked, k)
+    others = visits.groupBy("q").count()
+    counted = asked.select("q").join(others, "q", "left")
+    return counted.select(
+        F.col("q").alias(train_id), (F.coalesce("count", F.lit(0)) + 1).alias("bins"), F.lit(int(index.cells["bin"].nunique())).alias("of")
+    )

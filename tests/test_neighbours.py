@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from flowlab.operators.neighbours import knn_classify, nearest
+from flowlab.operators.neighbours import _distances, _Pivots, knn_classify, knn_visits, nearest
 from tests.plans import assert_absent
 
 
@@ -37,7 +37,10 @@ def data():
     return sample(rng, 250, 0, copies=100), sample(rng, 60, 1000, copies=25)
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "tile_rows": 16}])
+@pytest.mark.parametrize("options", [
+    {}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "tile_rows": 16}, {"broadcast_bytes": 0, "tile_rows": 16, "cell_rows": 4},
+    {"broadcast_bytes": 0, "tile_rows": 3, "cell_rows": 1},
+])
 @pytest.mark.parametrize("k", [1, 7])
 def test_equals_brute_force(spark, data, options, k):
     train, queries = data
@@ -90,3 +93,29 @@ def test_rows_that_cannot_be_compared(spark, broadcast_bytes):
             knn_classify(worse, queries, "x", "y", "id", k=1, broadcast_bytes=broadcast_bytes)
     with pytest.raises(ValueError):
         knn_classify(train, queries.union(queries), "x", "y", "id", broadcast_bytes=broadcast_bytes)
+
+
+def test_few_bins_are_visited(spark):
+    """Clusters far apart: the bound of the home bin rules out the others."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 40, size=(2000, 1)) * 100.0 + rng.normal(size=(2000, 3))
+    rows = pd.DataFrame({"id": range(2000), "label": 0, "x": x.tolist()})
+    df = spark.createDataFrame(rows)
+    found = knn_visits(df, df.filter("id % 10 = 0"), "x", "label", "id", k=5, tile_rows=50, cell_rows=10).collect()
+    assert len(found) == 200 and all(1 <= r.bins <= r.of for r in found) and found[0].of > 20
+    assert np.mean([r.bins for r in found]) < 0.2 * found[0].of
+
+
+def test_open_cells_miss_no_row_within_the_bound():
+    rng = np.random.default_rng(9)
+    points, queries = rng.normal(size=(600, 4)), rng.normal(size=(50, 4))
+    points[:100] = points[0]
+    pivots = _Pivots.of(np.unique(points[::7], axis=0))
+    cell, gap = pivots.cells(points)
+    radius = np.full(len(pivots.fine), -1.0)
+    np.maximum.at(radius, cell, gap)
+    bound = rng.random(50) * 2
+    row, found = pivots.open_cells(queries, bound + 1e-6, radius, pivots.reach(radius))
+    opened = set(zip(row.tolist(), found.tolist()))
+    near = np.argwhere(_distances(queries, points) <= bound[:, None])
+    assert all((q, cell[p]) in opened for q, p in near.tolist()) and len(opened) < 50 * len(pivots.fine)
