@@ -81,10 +81,11 @@ class _Columns:
         return f"q {self.query_type}, distance double, id {self.id_type}, label {self.label_type}"
 
 
-def _candidates(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> Iterator[pd.DataFrame]:
-    """The k nearest training rows of each query, given as columns q/x and id/label/x sorted by id."""
+def _candidates(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, pd.DataFrame]]:
+    """The k nearest training rows of each query, given as columns q/x and id/label/x sorted by id, and the place of the
+    query of each."""
     for row, col, distance in nearest(_matrix(queries["x"]), _matrix(train["x"]), k):
-        yield pd.DataFrame({
+        yield row, pd.DataFrame({
             "q": queries["q"].to_numpy()[row], "distance": distance,
             "id": train["id"].to_numpy()[col], "label": train["label"].to_numpy()[col],
         })
@@ -101,7 +102,7 @@ def _by_broadcast(train: DataFrame, queries: DataFrame, k: int, names: _Columns)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield from _candidates(batch, table.value, k)
+            yield from (found for _, found in _candidates(batch, table.value, k))
 
     return queries.mapInPandas(score, names.candidates)
 
@@ -267,34 +268,57 @@ class _Index:
 
     def matched(self, sent: DataFrame, k: int) -> DataFrame:
         """At most k candidates for each query, bin and tile, none beyond the ``bound`` of the query."""
-        spark, names, tile_rows = sent.sparkSession, self.names, self.tile_rows
-        # Both sides of a bin are tiled by its own row counts; the tables have a row per pivot at most.
-        asked = sent.groupBy("bin").agg(F.count(F.lit(1)).alias("queries")).toPandas()
-        sizes = self.cells.groupby("bin", as_index=False)["rows"].sum().merge(asked, on="bin")
-        if sizes.empty:
-            return spark.createDataFrame([], names.candidates)
-        sizes["t"], sizes["u"] = -(-sizes["rows"] // tile_rows), -(-sizes["queries"] // tile_rows)
-        grid = spark.createDataFrame(sizes[["bin", "t", "u"]])
-        homes = spark.createDataFrame(self.cells[["cell", "bin"]].merge(sizes[["bin", "t", "u"]], on="bin"))
-        train_tiles = self.placed.join(F.broadcast(homes), "cell").select(
-            "id", "label", "x", F.col("bin").cast("int"), F.pmod(F.xxhash64("id"), "t").cast("int").alias("tile"),
-            F.explode(F.sequence(F.lit(0), F.col("u").cast("int") - 1)).alias("part"),
-        )
-        query_tiles = sent.join(F.broadcast(grid), "bin").select(
-            "q", "x", "bound", F.col("bin").cast("int"), F.explode(F.sequence(F.lit(0), F.col("t").cast("int") - 1)).alias("tile"),
-            F.pmod(F.xxhash64("q"), "u").cast("int").alias("part"),
-        )
+        homes = sent.sparkSession.createDataFrame(self.cells[["cell", "bin"]].astype("int32"))
+        sizes = self.cells.groupby("bin", as_index=False)["rows"].sum()
+        return tiled_candidates(sent, self.placed.join(F.broadcast(homes), "cell"), sizes, k, self.names, self.tile_rows)
+
+
+def tiled_candidates(
+    sent: DataFrame, placed: DataFrame, sizes: pd.DataFrame, k: int, names: _Columns, tile_rows: int, keyed: bool = False
+) -> DataFrame:
+    """At most k candidates for each query (``q, x, bin, bound``) among the rows (``id, label, x, bin``) of its bin, and
+    for each tile of the bin; none beyond the bound. ``sizes`` counts the rows of every bin (``bin, rows``).
+
+    With ``keyed`` both sides have a ``key`` too, and a query meets rows of its own key alone.
+    """
+    spark = sent.sparkSession
+    # Both sides of a bin are tiled by its own row counts.
+    asked = sent.groupBy("bin").agg(F.count(F.lit(1)).alias("queries")).toPandas()
+    sizes = sizes.merge(asked, on="bin")
+    if sizes.empty:
+        return spark.createDataFrame([], names.candidates)
+    sizes["t"], sizes["u"] = -(-sizes["rows"] // tile_rows), -(-sizes["queries"] // tile_rows)
+    grid = F.broadcast(spark.createDataFrame(sizes[["bin", "t", "u"]].astype({"bin": "int32"})))
+    key = ["key"] if keyed else []
+    train_tiles = placed.join(grid, "bin").select(
+        "id", "label", "x", *key, "bin", F.pmod(F.xxhash64("id"), "t").cast("int").alias("tile"),
+        F.explode(F.sequence(F.lit(0), F.col("u").cast("int") - 1)).alias("part"),
+    )
+    query_tiles = sent.join(grid, "bin").select(
+        "q", "x", "bound", *key, "bin", F.explode(F.sequence(F.lit(0), F.col("t").cast("int") - 1)).alias("tile"),
+        F.pmod(F.xxhash64("q"), "u").cast("int").alias("part"),
+    )
+
+    def met(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        limit = left["bound"].to_numpy()
+        for row, part in _candidates(left, right, k):
+            yield part[part["distance"].to_numpy() <= limit[row]]
 
-        def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            found = []
-            if len(left) and len(right):
-                limit = pd.Series(left["bound"].to_numpy(), index=left["q"])
-                for part in _candidates(left, right.sort_values("id", kind="stable", ignore_index=True), k):
-                    found.append(part[part["distance"].to_numpy() <= limit.loc[part["q"]].to_numpy()])
-            return pd.concat(found) if found else pd.DataFrame(columns=["q", "distance", "id", "label"])
+    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(left) and len(right):
+            right = right.sort_values("id", kind="stable", ignore_index=True)
+            if keyed:
+                groups = right.groupby("key").indices
+                for value, rows in left.groupby("key").indices.items():
+                    if value in groups:
+                        found += met(left.iloc[rows], right.iloc[groups[value]])
+            else:
+                found += met(left, right)
+        return pd.concat(found) if found else pd.DataFrame(columns=["q", "distance", "id", "label"])
 
-        keys = ["bin", "tile", "part"]
-        return query_tiles.groupBy(*keys).cogroup(train_tiles.groupBy(*keys)).applyInPandas(score, names.candidates)
+    keys = ["bin", "tile", "part"]
+    return query_tiles.groupBy(*keys).cogroup(train_tiles.groupBy(*keys)).applyInPandas(score, names.candidates)
 
 
 def _first_k(candidates: DataFrame, k: int) -> DataFrame:
@@ -316,6 +340,50 @@ def _two_rounds(index: _Index, queries: DataFrame, k: int) -> tuple[DataFrame, D
     return _first_k(first.unionByName(second), k), visits
 
 
+@dataclass(frozen=True)
+class _Sides:
+    """Both tables under fixed names, checked."""
+
+    known: DataFrame
+    asked: DataFrame
+    unanswered: DataFrame
+    names: _Columns
+    rows: int
+    bytes: int
+    width: int
+    query_id: str
+
+    @classmethod
+    def of(cls, train: DataFrame, queries: DataFrame, features: str | Sequence[str], label: str, train_id: str, query_id: str | None) -> _Sides:
+        query_id = query_id or train_id
+        vector = (
+            quoted(features).cast("array<double>") if isinstance(features, str)
+            else F.array(*[quoted(c).cast("double") for c in features])
+        )
+        names = _Columns(_sql_type(train, train_id), _sql_type(train, label), _sql_type(queries, query_id))
+        known = train.select(quoted(train_id).alias("id"), quoted(label).alias("label"), vector.alias("x"))
+        asked = queries.select(quoted(query_id).alias("q"), vector.alias("x"))
+        size = known.agg(
+            F.count(F.lit(1)), F.sum(F.size("x") * 8 + F.octet_length(F.to_json(F.struct("id", "label"))) + 64),
+            F.count_if(~_usable(F.col("x"))), F.min(F.size("x")).alias("least"), F.max(F.size("x")).alias("most"),
+        ).first()
+        if not size[0]:
+            raise ValueError("the training table is empty")
+        if size[2] or size.least != size.most:
+            raise ValueError(f"{size[2]} training rows are not finite; widths {size.least} to {size.most}")
+        if not asked.groupBy("q").count().filter("count > 1").isEmpty():
+            raise ValueError("query ids repeat")
+        fit = _usable(F.col("x")) & (F.size("x") == size.most)
+        unanswered = asked.filter(~fit).select("q", F.lit(None).cast(names.label_type).alias("prediction"))
+        return cls(known, asked.filter(fit), unanswered, names, size[0], size[1], size.most, query_id)
+
+    def voted(self, best: DataFrame) -> DataFrame:
+        """The most frequent label of each query, the lowest on a tie."""
+        votes = best.groupBy("q", "label").agg(F.count(F.lit(1)).alias("n"))
+        found = votes.groupBy("q").agg(F.min_by("label", F.struct((-F.col("n")).alias("n"), "label")).alias("prediction"))
+        return found.union(self.unanswered).select(F.col("q").alias(self.query_id), "prediction")
+
+
 def knn_classify(
     train: DataFrame,
     queries: DataFrame,
@@ -335,36 +403,13 @@ def knn_classify(
     width; a query with a NULL, NaN or infinite feature, or of another width, has no neighbours and
     gets the prediction NULL. Query ids must be unique; ids that repeat are refused.
     """
-    query_id = query_id or train_id
-    vector = (
-        quoted(features).cast("array<double>") if isinstance(features, str)
-        else F.array(*[quoted(c).cast("double") for c in features])
-    )
-    names = _Columns(_sql_type(train, train_id), _sql_type(train, label), _sql_type(queries, query_id))
-    known = train.select(quoted(train_id).alias("id"), quoted(label).alias("label"), vector.alias("x"))
-    asked = queries.select(quoted(query_id).alias("q"), vector.alias("x"))
-
-    size = known.agg(
-        F.count(F.lit(1)), F.sum(F.size("x") * 8 + F.octet_length(F.to_json(F.struct("id", "label"))) + 64),
-        F.count_if(~_usable(F.col("x"))), F.min(F.size("x")).alias("least"), F.max(F.size("x")).alias("most"),
-    ).first()
-    if not size[0]:
-        raise ValueError("the training table is empty")
-    if size[2] or size.least != size.most:
-        raise ValueError(f"{size[2]} training rows are not finite; widths {size.least} to {size.most}")
-    if not asked.groupBy("q").count().filter("count > 1").isEmpty():
-        raise ValueError("query ids repeat")
-    fit = _usable(F.col("x")) & (F.size("x") == size.most)
-    unanswered = asked.filter(~fit).select("q", F.lit(None).cast(names.label_type).alias("prediction"))
-    asked = asked.filter(fit)
-    if size[1] <= broadcast_bytes:
+    sides = _Sides.of(train, queries, features, label, train_id, query_id)
+    if sides.bytes <= broadcast_bytes:
         # Every candidate list is complete: each query was scored against the whole table.
-        best = _by_broadcast(known, asked, k, names)
+        best = _by_broadcast(sides.known, sides.asked, k, sides.names)
     else:
-        best, _ = _two_rounds(_Index.of(known, size[0], names, tile_rows, cell_rows), asked, k)
-    votes = best.groupBy("q", "label").agg(F.count(F.lit(1)).alias("n"))
-    voted = votes.groupBy("q").agg(F.min_by("label", F.struct((-F.col("n")).alias("n"), "label")).alias("prediction"))
-    return voted.union(unanswered).select(F.col("q").alias(query_id), "prediction")
+        best, _ = _two_rounds(_Index.of(sides.known, sides.rows, sides.names, tile_rows, cell_rows), sides.asked, k)
+    return sides.voted(best)
 
 
 def knn_visits(
