@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from flowlab.operators.neighbours import TILE_ROWS, _Sides, _distances, _matrix, tiled_candidates
+from flowlab.operators.neighbours import TILE_ROWS, _distances, _matrix, _Sides, exact_neighbours, tiled_candidates
 
 #: Rows from which the width of a step is fitted, picked by the hash of their ids.
 SAMPLE_ROWS = 2000
@@ -146,3 +146,19 @@ def knn_approximate(
     found = sides.voted(best)
     every = queries.select(F.col(sides.query_id))
     return every.join(found, sides.query_id, "left").select(sides.query_id, "prediction")
+
+
+def knn_recall(
+    train: DataFrame, queries: DataFrame, features: str | Sequence[str], label: str, train_id: str, query_id: str | None = None,
+    k: int = 7, tables: int = 8, hashes: int = 8, probes: int = 40, seed: int = 2, tile_rows: int = TILE_ROWS,
+) -> DataFrame:
+    """``(query id, n_found, n_right, n_exact)``: how many neighbours the hash tables find for each query, how many of
+    these the exact search finds as well, and how many it finds in all."""
+    sides = _Sides.of(train, queries, features, label, train_id, query_id)
+    found = approximate_neighbours(sides, k, tables, hashes, probes, seed, tile_rows).select("q", "id", F.lit(1).alias("found"))
+    exact = exact_neighbours(sides, k).select("q", "id", F.lit(1).alias("exact"))
+    both = found.join(exact, ["q", "id"], "full").groupBy("q").agg(
+        F.count("found").alias("n_found"), F.count_if(F.col("found").isNotNull() & F.col("exact").isNotNull()).alias("n_right"),
+        F.count("exact").alias("n_exact"),
+    )
+    return both.withColumnRenamed("q", sides.query_id)

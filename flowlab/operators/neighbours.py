@@ -384,6 +384,16 @@ class _Sides:
         return found.union(self.unanswered).select(F.col("q").alias(self.query_id), "prediction")
 
 
+def exact_neighbours(
+    sides: _Sides, k: int, broadcast_bytes: int = BROADCAST_BYTES, tile_rows: int = TILE_ROWS, cell_rows: int = CELL_ROWS
+) -> DataFrame:
+    """``q, distance, id, label`` of the k nearest training rows of each query that can be compared."""
+    if sides.bytes <= broadcast_bytes:
+        # Every candidate list is complete: each query was scored against the whole table.
+        return _by_broadcast(sides.known, sides.asked, k, sides.names)
+    return _two_rounds(_Index.of(sides.known, sides.rows, sides.names, tile_rows, cell_rows), sides.asked, k)[0]
+
+
 def knn_classify(
     train: DataFrame,
     queries: DataFrame,
@@ -404,11 +414,7 @@ def knn_classify(
     gets the prediction NULL. Query ids must be unique; ids that repeat are refused.
     """
     sides = _Sides.of(train, queries, features, label, train_id, query_id)
-    if sides.bytes <= broadcast_bytes:
-        # Every candidate list is complete: each query was scored against the whole table.
-        best = _by_broadcast(sides.known, sides.asked, k, sides.names)
-    else:
-        best, _ = _two_rounds(_Index.of(sides.known, sides.rows, sides.names, tile_rows, cell_rows), sides.asked, k)
+    best = exact_neighbours(sides, k, broadcast_bytes, tile_rows, cell_rows)
     return sides.voted(best)
 
 

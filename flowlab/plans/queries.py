@@ -9,7 +9,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowlab.functions import argmax_class, port_id, private_ip, softmax
-from flowlab.operators import balance, clean, encode, evaluate, models, profile, scale, split, star
+from flowlab.operators import balance, clean, distinct, encode, evaluate, models, profile, scale, split, star
+from flowlab.operators.approximate import knn_recall
 from flowlab.operators.discriminant import (
     DiscriminantModel, class_means, lda_variance_ratio as variance_ratio, within_scatter,
 )
@@ -419,6 +420,30 @@ def value_counts(spark, sf_dir):
     return profile.value_counts(flows(spark, sf_dir).drop("flow_ts"))
 
 
+DISTINCT_SQL = " union all ".join(
+    f"select '{c}' as column_name, count(distinct {c}) as n from {CAPTURE_SQL}" for c in CAPTURE_NAMES
+)
+
+
+@query(DISTINCT_SQL)
+def distinct_counts(spark, sf_dir):
+    return distinct.distinct_counts(captures(spark, sf_dir).toDF(*CAPTURE_NAMES))
+
+
+@query(f"select column_name, n, (select count(*) from {CAPTURE_SQL}) as n_rows, true as close from ({DISTINCT_SQL})")
+def distinct_sketches(spark, sf_dir):
+    """Two snapshots are sketched and stored; the counts of both together come from the stored sketches alone.
+    ``close``: the estimate is within 5 % of the exact count, four standard errors."""
+    df = captures(spark, sf_dir).toDF(*CAPTURE_NAMES)
+    folder = scratch_path(spark, "sketches")
+    late = F.coalesce(F.col("flow_ts") >= F.lit("1996-01-01").cast("timestamp_ntz"), F.lit(False))
+    for name, part in (("early", df.filter(~late)), ("late", df.filter(late))):
+        distinct.record_snapshot(part, folder, name)
+    found = distinct.counts_so_far(spark, folder).withColumnRenamed("n", "estimate")
+    both = distinct.distinct_counts(df).join(found, "column_name")
+    return both.select("column_name", "n", "n_rows", (F.abs(F.col("estimate") - F.col("n")) <= 0.05 * F.col("n")).alias("close"))
+
+
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -547,6 +572,21 @@ def knn_classify_cells(spark, sf_dir):
     return classify_neighbours(train, test, "embedding", "label", "vec_id", k=7, broadcast_bytes=0)
 
 
+@query(f"""
+with q as (select vec_id, row_number() over (partition by label order by {hash_order('vec_id')}) as rn, count(*) over (partition by label) as n
+ from embeddings)
+select vec_id, 7 as n_found, true as enough from q where rn <= round(n * cast(0.15 as double))
+""")
+def knn_approximate(spark, sf_dir):
+    """Every query with the number of neighbours found; ``enough``: over all queries at least nine in ten of them are
+    those that the exact search finds."""
+    train, test = split.train_test(vectors(spark, sf_dir), "label", ["vec_id"])
+    found = knn_recall(train, test, "embedding", "label", "vec_id", k=7)
+    found = read_layer(spark, write_layer(found, scratch_path(spark, "recall")))
+    share = found.agg(F.sum("n_right") / F.sum("n_exact")).first()[0]
+    return found.select("vec_id", F.col("n_found").cast("int").alias("n_found"), F.lit(share >= 0.9).alias("enough"))
+
+
 REDUCED = [f"c{i}" for i in range(6)]
 
 
