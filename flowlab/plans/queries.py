@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from flowlab.functions import argmax_class, port_id, private_ip, softmax
 from flowlab.operators import balance, clean, distinct, encode, evaluate, models, profile, scale, split, star
@@ -90,27 +90,26 @@ def merge_by_name(spark, sf_dir):
     return merge_tables([customers, suppliers, parts]).withColumn("nation", F.col("nation").cast("int"))
 
 
-@query(f"""
-select row_no, flow_name, source_ip, source_port, destination_ip, destination_port, protocol,
- flow_bytes_s, flow_packets_s, label
-from {CAPTURE_SQL}
-""")
+@query(f"select * replace (cast(flow_ts as varchar) as flow_ts) from {CAPTURE_SQL}")
 def csv_merge(spark, sf_dir):
     df = read_flows(spark, written_captures(spark, sf_dir), capture_schema(spark, sf_dir))
     named = df.select(*[f"`{c}`" for c in CAPTURE_HEADERS]).toDF(*CAPTURE_NAMES)
-    return named.drop("flow_ts", "const_col", "similar_http")
+    return named.withColumn("flow_ts", F.col("flow_ts").cast("string"))
 
 
-@query()
+@query(" union all ".join(
+    f"select '{'|'.join(names)}' as header, true as found" for names in (CAPTURE_HEADERS, CAPTURE_HEADERS[::-1])
+))
 def header_check(spark, sf_dir):
-    return check_headers(spark, written_captures(spark, sf_dir))
+    """The header lines of all files; how many files have each depends on the tasks that wrote them."""
+    found = check_headers(spark, written_captures(spark, sf_dir))
+    return found.select(F.concat_ws("|", "header").alias("header"), (F.col("files") > 0).alias("found"))
 
 
-@query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders")
+@query("select * replace (cast(o_orderdate as varchar) as o_orderdate) from orders")
 def layer_round_trip(spark, sf_dir):
-    df = table(spark, sf_dir, "orders").drop("o_orderdate")
-    path = write_layer(df, scratch_path(spark, "layer"), partition_by=["o_orderstatus"])
-    return read_layer(spark, path)
+    path = write_layer(table(spark, sf_dir, "orders"), scratch_path(spark, "layer"), partition_by=["o_orderstatus"])
+    return read_layer(spark, path).withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
 MAPPING_SQL = f"""
@@ -156,12 +155,13 @@ def exclude_labels(spark, sf_dir):
     return clean.exclude_labels(flows(spark, sf_dir), "label", ["5-LOW", "2-HIGH"]).select("flow_id", "label")
 
 
-PROFILED = ["flow_id", "label", "protocol", "source_ip", "source_port", "flow_bytes_s", "const_col"]
+PROFILED = ["flow_id", "flow_ts", "label", "protocol", "source_ip", "source_port", "flow_bytes_s", "const_col"]
 
 
-@query(f"select flow_id, label, protocol, source_ip, source_port, flow_bytes_s from {FLOW_SQL}")
+@query(f"select flow_id, cast(flow_ts as varchar) as flow_ts, label, protocol, source_ip, source_port, flow_bytes_s from {FLOW_SQL}")
 def drop_constant_columns(spark, sf_dir):
-    return clean.drop_constant_columns(flows(spark, sf_dir).select(*PROFILED))
+    left = clean.drop_constant_columns(flows(spark, sf_dir).select(*PROFILED))
+    return left.withColumn("flow_ts", F.col("flow_ts").cast("string"))
 
 
 @query(" union all ".join(
@@ -305,6 +305,20 @@ def balance_random(spark, sf_dir):
     return balance.balance_bernoulli(flows(spark, sf_dir), "label", ["5-LOW"]).select("flow_id", "label")
 
 
+@query(f"select label, count(*) as n, true as expected from {FLOW_SQL} where label is not null and label <> '5-LOW' group by label")
+def balance_random_sizes(spark, sf_dir):
+    """Classes after a random balance without keys. ``expected``: the rows kept are within five standard deviations of
+    the size of the smallest class."""
+    df = flows(spark, sf_dir)
+    kept = balance.balance_bernoulli(df, "label", ["5-LOW"]).groupBy("label").agg(F.count("*").alias("kept"))
+    whole = df.filter("label <> '5-LOW'").groupBy("label").agg(F.count("*").alias("n"))
+    least = F.min("n").over(Window.partitionBy())  # a row for each class
+    both = whole.join(kept, "label", "left").withColumn("least", least)
+    spread = F.sqrt(F.col("least") * (1 - F.col("least") / F.col("n")))
+    near = F.abs(F.coalesce("kept", F.lit(0)) - F.col("least")) <= 5 * spread
+    return both.select("label", "n", near.alias("expected"))
+
+
 @query(f"""
 select event_id, event_type,
  row_number() over (partition by event_type order by {hash_order('event_id')})
@@ -397,8 +411,8 @@ from {CAPTURE_SQL}
 """)
 def star_join(spark, sf_dir):
     df = star_rows(spark, sf_dir)
-    joined = star.star_join(star.star_fact(df, STAR), star.star_dimensions(df, STAR))
-    return joined.drop(*[f"{name}_id" for name in STAR])
+    stored = star.store_star(df, STAR)
+    return star.star_join(stored.fact, stored.dimensions).drop(*[f"{name}_id" for name in STAR])
 
 
 # ---------------------------------------------------------------- profiles
@@ -413,11 +427,11 @@ def class_share(spark, sf_dir):
 
 
 @query(" union all ".join(
-    f"select '{c}' as column_name, {c} as value, count(*) as n from {FLOW_SQL} where {c} is not null group by {c}"
-    for c in ["label", "source_ip"]
+    f"select '{c}' as column_name, cast({c} as varchar) as value, count(*) as n from {FLOW_SQL} where {c} is not null group by {c}"
+    for c in ["label", "source_ip", "flow_ts"]
 ))
 def value_counts(spark, sf_dir):
-    return profile.value_counts(flows(spark, sf_dir).drop("flow_ts"))
+    return profile.value_counts(flows(spark, sf_dir))
 
 
 DISTINCT_SQL = " union all ".join(
@@ -536,6 +550,41 @@ def lda_variance_ratio(spark, sf_dir):
     return variance_ratio(wide_vectors(spark, sf_dir).drop("vec_id"), "label")
 
 
+@query("select cast(k as int) as k, true as falls from (select unnest(range(1, count(distinct label))) as k from embeddings)")
+def lda_variance_steps(spark, sf_dir):
+    """One row a component. ``falls``: it adds no more than the one before, and all together explain everything."""
+    rows = variance_ratio(wide_vectors(spark, sf_dir).drop("vec_id"), "label").orderBy("k").collect()  # a row a component
+    steps = [b - a for a, b in zip([0.0, *(r.ratio for r in rows)], (r.ratio for r in rows))]
+    whole = bool(rows) and abs(rows[-1].ratio - 1) < 1e-9
+    found = [(r.k, whole and step >= 0 and (i == 0 or step <= steps[i - 1] + 1e-12)) for i, (r, step) in enumerate(zip(rows, steps))]
+    return spark.createDataFrame(found, "k int, falls boolean")
+
+
+def within_covariance(df: DataFrame, components: list[str], target: str) -> DataFrame:
+    """``i, j, v``: pooled covariance of the components within the classes; a discriminant makes it the identity."""
+    pairs = [(i, j) for i in range(len(components)) for j in range(i, len(components))]
+    by_class = df.groupBy(target).agg(
+        F.count("*").alias("n"), *[F.covar_pop(components[i], components[j]).alias(f"{i}-{j}") for i, j in pairs]
+    )
+    free = F.sum("n") - F.count("*")
+    row = by_class.agg(*[(F.sum(F.col("n") * F.col(f"`{i}-{j}`")) / free).alias(f"{i}-{j}") for i, j in pairs])
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), (F.round(f"`{i}-{j}`", 6) + F.lit(0.0)).alias("v")) for i, j in pairs])
+    return row.select(F.inline(cells))
+
+
+def identity_sql(size: int) -> str:
+    return (
+        f"select cast(i as int) as i, cast(j as int) as j, case when i = j then 1.0::double else 0.0::double end as v "
+        f"from (select unnest(range({size})) as i) a, (select unnest(range({size})) as j) b where i <= j"
+    )
+
+
+@query(identity_sql(6))
+def lda_whitened(spark, sf_dir):
+    """The reduced rows of the whole table have unit spread within their classes."""
+    return within_covariance(lda_transform(spark, sf_dir), [f"c{i}" for i in range(6)], "label")
+
+
 @query()
 def lda_transform(spark, sf_dir):
     df = wide_vectors(spark, sf_dir)
@@ -868,6 +917,13 @@ def training_set(spark, sf_dir):
     return make_training_set(business, s.label_index, s.categorical, s.components)[0]
 
 
+@query(identity_sql(3))
+def training_set_whitened(spark, sf_dir):
+    """The components of the training set have unit spread within its classes."""
+    df = training_set(spark, sf_dir)
+    return within_covariance(df, [c for c in df.columns if c != SETTINGS.label_index], SETTINGS.label_index)
+
+
 @query(f"select row_no as \"Unnamed:_0\", true as known, true as same from {CAPTURE_SQL}")
 def predict_flows(spark, sf_dir):
     """Unlabelled captures scored by the default net, trained on the labelled ones; what both learnt is written and read

@@ -83,3 +83,25 @@ def test_star_keys_are_unambiguous(spark):
     spec = {"pair": ["s", "t"]}
     joined = star.star_join(star.star_fact(df, spec), star.star_dimensions(df, spec))
     assert sorted(((r.s, r.t) for r in joined.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_stored_star_joins_again_without_moving_rows(spark):
+    rows = [(i, i % 40, i % 3, None if i % 7 == 0 else -0.0 if i % 2 else 0.0) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, big int, small int, v double").repartition(5)
+    spec = {"large": ["big", "v"], "little": ["small"]}
+    stored = star.store_star(df, spec, plain_rows=10, bucket_rows=100)
+    assert stored.bucketed_by == "large_id"
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = star.star_join(stored.fact, {"large": stored.dimensions["large"]})
+        assert_absent(joined, "Exchange")
+        assert joined.count() == 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    back = star.star_join(stored.fact, stored.dimensions).select(*df.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    plain = star.store_star(df, spec)
+    assert plain.bucketed_by is None and star.star_join(plain.fact, plain.dimensions).count() == 500
+    empty = star.store_star(df.limit(0), spec)
+    assert star.star_join(empty.fact, empty.dimensions).count() == 0
