@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,10 +31,15 @@ def filter_nonzero(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
     Numeric columns stay bare references, so the test reaches the file scan.
     """
+    test = nonzero_test(df, columns)
+    return df if test is None else df.filter(test)
+
+
+def nonzero_test(df: DataFrame, columns: Iterable[str]) -> Column | None:
     tests = [
         (quoted(c) if is_numeric(df.schema[c]) else as_double(df, c)) != 0 for c in columns
     ]
-    return df.filter(reduce(Column.__and__, tests)) if tests else df
+    return reduce(Column.__and__, tests) if tests else None
 
 
 def exclude_labels(df: DataFrame, target: str, ignore: Sequence = ()) -> DataFrame:
@@ -109,19 +114,35 @@ class FillProfile:
     constants: list[str]
 
     @classmethod
-    def fit(cls, df: DataFrame, fill: Sequence[str] = (), drop_constants: bool = True) -> FillProfile:
-        """After the fill a column holds its finite values and maybe -infinity, so whether it is
-        constant can be read off the unfilled data with +infinity left out."""
-        stats = [F.max(finite(as_double(df, c))).alias(f"top:{c}") for c in fill]
+    def measures(
+        cls, df: DataFrame, fill: Sequence[str] = (), drop_constants: bool = True, keep: Column | None = None, drop: Sequence[str] = ()
+    ) -> list[Column]:
+        """Aggregates from which ``of`` makes a profile of the rows that ``keep`` holds for, without the ``drop`` columns.
+
+        All are extremes or compare extremes: a task that runs twice changes nothing, so they can also be observed while
+        ``df`` is written. After the fill a column holds its finite values and maybe -infinity, so whether it is constant
+        can be read off the unfilled data with +infinity left out.
+        """
+        held = (lambda v: v) if keep is None else (lambda v: F.when(keep, v))
+        stats = [F.max(held(finite(as_double(df, c)))).alias(f"top:{c}") for c in fill]
         for c in df.columns if drop_constants else []:
+            if c in drop:
+                continue
             number = as_double(df, c) if c in fill else None
             value = _comparable(df, c) if number is None else F.when(number < F.lit(INFINITY), number)
-            stats.append(constant_test(value).alias(f"same:{c}"))
-        if not stats:
-            return cls({}, [])
-        row = df.agg(*stats).first()
-        constants = [c for c in df.columns if row[f"same:{c}"]] if drop_constants else []
-        return cls({c: row[f"top:{c}"] for c in fill}, constants)
+            stats.append(constant_test(held(value)).alias(f"same:{c}"))
+        return stats
+
+    @classmethod
+    def of(cls, found: Mapping[str, float | bool | None]) -> FillProfile:
+        """The profile that measured values make, by the names of ``measures``."""
+        tops = {name[4:]: v for name, v in found.items() if name.startswith("top:")}
+        return cls(tops, [name[5:] for name, v in found.items() if name.startswith("same:") and v])
+
+    @classmethod
+    def fit(cls, df: DataFrame, fill: Sequence[str] = (), drop_constants: bool = True) -> FillProfile:
+        stats = cls.measures(df, fill, drop_constants)
+        return cls.of(df.agg(*stats).first().asDict()) if stats else cls({}, [])
 
     def transform(self, df: DataFrame) -> DataFrame:
         values = {c: filled(df, c, v) for c, v in self.tops.items() if c not in self.constants}

@@ -45,7 +45,24 @@ def index_mapping(df: DataFrame, column: str) -> IndexMapping:
 
 
 def index_mappings(df: DataFrame, columns: Sequence[str]) -> dict[str, IndexMapping]:
-    return {c: index_mapping(df, c) for c in columns}
+    """The mapping of each column; one pass counts the values of all of them, unless they are too many for the driver."""
+    columns = list(dict.fromkeys(columns))
+    if len(columns) < 2:
+        return {c: index_mapping(df, c) for c in columns}
+    kinds = {c: df.schema[c].dataType for c in columns}
+    # The two zeros are one value.
+    plain = {c: quoted(c) + F.lit(0.0) if isinstance(t, (T.FloatType, T.DoubleType)) else quoted(c) for c, t in kinds.items()}
+    texts = df.select(*[v.cast("string").alias(c) for c, v in plain.items()])
+    pairs = texts.unpivot([], [quoted(c) for c in columns], "name", "text").filter("text is not null")
+    few = pairs.groupBy("name", "text").agg(F.count(F.lit(1)).alias("n")).limit(SMALL_TABLE_ROWS + 1).collect()
+    if len(few) > SMALL_TABLE_ROWS or any(isinstance(t, T.BinaryType) for t in kinds.values()):
+        return {c: index_mapping(df, c) for c in columns}
+    found = {}
+    for c, kind in kinds.items():
+        rows = sorted((-r["n"], r["text"]) for r in few if r["name"] == c)
+        table = df.sparkSession.createDataFrame([(text, i) for i, (_, text) in enumerate(rows)], "value string, index int")
+        found[c] = IndexMapping(table.withColumn("value", F.col("value").cast(kind)), True)
+    return found
 
 
 def apply_index(

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from flowlab.functions.names import clean_name, quoted
 from flowlab.functions.network import PORT_GROUPS, port_id, private_ip
 from flowlab.operators.balance import balance_bernoulli, balance_exact
-from flowlab.operators.clean import FillProfile, clean_headers, drop_columns, filter_nonzero
+from flowlab.operators.clean import FillProfile, clean_headers, drop_columns, filter_nonzero, nonzero_test
 from flowlab.operators.encode import IndexMapping, apply_index, index_mappings
 from flowlab.plans.settings import EtlSettings
 from flowlab.sources.captures import read_flows
@@ -125,24 +127,55 @@ def run_raw(
     s = settings
     landed = clean_headers(read_flows(spark, captures, s.schema, s.extension))
     if s.target is None:
-        return write_layer(drop_columns(landed, s.raw_drop), layer_path(layers, "raw"))
+        return write_observed(drop_columns(landed, s.raw_drop), layer_path(layers, "raw"), s)
     write_layer(landed, layer_path(layers, "landing"))
     key = None if s.balance_key is None else [clean_name(c) for c in s.balance_key]
     raw = raw_layer(
         read_layer(spark, layer_path(layers, "landing")), clean_name(s.target), s.ignore_labels,
         s.raw_drop, key, s.seed,
     )
-    return write_layer(raw, layer_path(layers, "raw"))
+    return write_observed(raw, layer_path(layers, "raw"), s)
+
+
+def write_observed(raw: DataFrame, path: str, settings: EtlSettings) -> str:
+    """Write a raw layer, and next to it the profile that its staging layer needs, measured by the same tasks."""
+    s = settings
+    keep = nonzero_test(raw, s.filter_columns)
+    measures = FillProfile.measures(raw, s.fill_max, s.drop_constants, keep, s.staging_drop)
+    if not measures:
+        return write_layer(raw, path)
+    seen = Observation()
+    write_layer(raw.observe(seen, *measures), path)
+    state = {"settings": profile_settings(s), "found": seen.get}
+    raw.sparkSession.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}_profile")
+    return path
+
+
+def profile_settings(s: EtlSettings) -> list:
+    """What a profile depends on."""
+    return [list(s.filter_columns), list(s.staging_drop), list(s.fill_max), s.drop_constants]
+
+
+def observed_profile(spark: SparkSession, raw_path: str, settings: EtlSettings) -> FillProfile | None:
+    """The profile written with a raw layer, if it was measured for these settings."""
+    try:
+        state = json.loads(spark.read.text(f"{raw_path}_profile").first()[0])
+    except AnalysisException:
+        return None
+    return FillProfile.of(state["found"]) if state["settings"] == profile_settings(settings) else None
 
 
 def run_staging(
-    spark: SparkSession, raw_path: str, layers: str, settings: EtlSettings = EtlSettings()
+    spark: SparkSession, raw_path: str, layers: str, settings: EtlSettings = EtlSettings(), profile: FillProfile | None = None
 ) -> str:
-    """Write the staging layer of a raw layer; returns its path."""
+    """Write the staging layer of a raw layer; returns its path. With the ``profile`` of the raw layer its rows are read
+    once; without one they are scanned for it first."""
     s = settings
-    staging = staging_layer(
-        read_layer(spark, raw_path), s.filter_columns, s.staging_drop, s.fill_max, s.drop_constants
-    )
+    raw = read_layer(spark, raw_path)
+    if profile is None:
+        staging = staging_layer(raw, s.filter_columns, s.staging_drop, s.fill_max, s.drop_constants)
+    else:
+        staging = profile.transform(staging_rows(raw, s.filter_columns, s.staging_drop))
     return write_layer(staging, layer_path(layers, "staging"))
 
 
@@ -164,7 +197,7 @@ def run_etl(
 ) -> dict[str, str]:
     """All layers from a directory of CSV captures; returns the paths by layer."""
     raw = run_raw(spark, captures, layers, settings)
-    staging = run_staging(spark, raw, layers, settings)
+    staging = run_staging(spark, raw, layers, settings, observed_profile(spark, raw, settings))
     lost = set(read_layer(spark, raw).columns) - set(read_layer(spark, staging).columns)
     business = run_business(spark, staging, layers, without_constants(settings, lost))
     return {

@@ -1,12 +1,14 @@
 import random
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 
+from flowlab.operators.clean import FillProfile
 from flowlab.operators.models import train_mlp
 from flowlab.plans.layers import (
-    business_layer, cloud_business_layer, raw_layer, run_cloud_etl, run_etl, run_raw, staging_layer, unlabelled,
-    without_constants,
+    business_layer, cloud_business_layer, observed_profile, raw_layer, run_cloud_etl, run_etl, run_raw, run_staging,
+    staging_layer, staging_rows, unlabelled, without_constants,
 )
 from flowlab.plans.settings import EtlSettings
 from flowlab.plans.training import FlowPreparation, run_training_set, training_set
@@ -137,3 +139,24 @@ def test_training_set_can_be_fitted_on_a_part(spark):
 def test_roles_of_constant_columns_lapse():
     s = without_constants(EtlSettings(), ["Destination_IP", "Protocol"])
     assert s.ip_columns == ["Source_IP"] and s.index_columns == [("Label", "Label_Index")]
+
+
+def test_staging_reads_what_was_observed_while_raw_was_written(spark, folder, tmp_path):
+    settings = EtlSettings(balance_key=("Unnamed: 0",))
+    raw = run_raw(spark, folder, str(tmp_path), settings)
+    profile = observed_profile(spark, raw, settings)
+    rows = staging_rows(read_layer(spark, raw), settings.filter_columns, settings.staging_drop)
+    assert profile == FillProfile.fit(rows, settings.fill_max, settings.drop_constants)
+    assert observed_profile(spark, raw, replace(settings, fill_max=("Flow_Bytes/s",))) is None
+    assert observed_profile(spark, str(tmp_path / "nowhere"), settings) is None
+    context = spark.sparkContext
+    context.setJobGroup("observed", "")
+    try:
+        staged = run_staging(spark, raw, str(tmp_path / "observed"), settings, profile)
+        jobs = context.statusTracker().getJobIdsForGroup("observed")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    # Reading the footer of the layer for its schema, and the write.
+    assert len(jobs) <= 2
+    again = run_staging(spark, raw, str(tmp_path / "scanned"), settings)
+    assert sorted(map(str, read_layer(spark, staged).collect())) == sorted(map(str, read_layer(spark, again).collect()))
