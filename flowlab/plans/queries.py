@@ -926,19 +926,16 @@ def training_set_whitened(spark, sf_dir):
 
 @query(f"select row_no as \"Unnamed:_0\", true as known, true as same from {CAPTURE_SQL}")
 def predict_flows(spark, sf_dir):
-    """Unlabelled captures scored by the default net, trained on the labelled ones; what both learnt is written and read
-    again in between. ``known``: the prediction is one of the classes; ``same``: the models that were not written and
-    read again predict it, too."""
+    """Unlabelled captures scored by the default net, trained on the labelled ones, by one saved pipeline. ``known``: the
+    prediction is one of the classes; ``same``: the models that were not written and read again predict it, too."""
     labelled = captures(spark, sf_dir)
     prepared, train = FlowPreparation.fit(layers.raw_layer(labelled, drop=SETTINGS.raw_drop), SETTINGS)
     path = scratch_path(spark, "prepared")
     train = read_layer(spark, write_layer(train, f"{path}/training"))
     model = models.train_mlp(train, prepared.features, SETTINGS.label_index)
-    prepared.save(spark, f"{path}/preparation")
-    model.write().save(f"{path}/model")
+    prepared.scorer(model, ["Unnamed:_0"]).write().save(f"{path}/scorer")
     flows_only = labelled.drop(" Label")
-    reloaded = FlowPreparation.load(spark, f"{path}/preparation")
-    scores = reloaded.predict(PipelineModel.load(f"{path}/model"), flows_only, keep=["Unnamed:_0"])
+    scores = models.score(PipelineModel.load(f"{path}/scorer"), flows_only)
     before = prepared.predict(model, flows_only, keep=["Unnamed:_0"]).select("`Unnamed:_0`", F.col("prediction").alias("before"))
     classes = models.class_total(train, SETTINGS.label_index)
     both = scores.join(before, "Unnamed:_0")

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields
 
 import numpy as np
-from pyspark.ml import Model
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from flowlab.functions.names import quoted
@@ -133,3 +134,43 @@ class FlowPreparation:
 
     def predict(self, model: Model, captures: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         return score(model, self.transform(captures, keep))
+
+    def scorer(self, model: PipelineModel, keep: Sequence[str] = ()) -> PipelineModel:
+        """Preparation and classifier as one pipeline, which is saved, loaded and applied to captures as a whole."""
+        return PipelineModel([FlowFeatures(self, keep), *model.stages])
+
+
+class FlowFeatures(Model, MLReadable, MLWritable):
+    """Pipeline stage: unlabelled captures to the features of a ``FlowPreparation``, with the ``keep`` columns as ids."""
+
+    def __init__(self, preparation: FlowPreparation | None = None, keep: Sequence[str] = ()):
+        super().__init__()
+        self.preparation, self.keep = preparation, list(keep)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.preparation.transform(dataset, self.keep)
+
+    def write(self) -> MLWriter:
+        return FlowFeaturesWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return FlowFeaturesReader()
+
+
+class FlowFeaturesWriter(MLWriter):
+    def __init__(self, stage: FlowFeatures):
+        super().__init__()
+        self.stage = stage
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession, extraMetadata={"keep": self.stage.keep})
+        self.stage.preparation.save(self.sparkSession, layer_path(path, "preparation"))
+
+
+class FlowFeaturesReader(MLReader):
+    def load(self, path: str) -> FlowFeatures:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        stage = FlowFeatures(FlowPreparation.load(self.sparkSession, layer_path(path, "preparation")), metadata["keep"])
+        DefaultParamsReader.getAndSetParams(stage, metadata)
+        return stage

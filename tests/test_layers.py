@@ -1,11 +1,15 @@
 import random
+import subprocess
+import sys
 from collections import Counter
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowlab.operators.clean import FillProfile
-from flowlab.operators.models import train_mlp
+from flowlab.operators.models import BoostedParams, score, train_boosted, train_mlp
 from flowlab.plans.layers import (
     business_layer, cloud_business_layer, observed_profile, raw_layer, run_cloud_etl, run_etl, run_raw, run_staging,
     staging_layer, staging_rows, unlabelled, without_constants,
@@ -160,3 +164,38 @@ def test_staging_reads_what_was_observed_while_raw_was_written(spark, folder, tm
     assert len(jobs) <= 2
     again = run_staging(spark, raw, str(tmp_path / "scanned"), settings)
     assert sorted(map(str, read_layer(spark, staged).collect())) == sorted(map(str, read_layer(spark, again).collect()))
+
+
+ELSEWHERE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
+from flowlab.operators.models import score
+from flowlab.sources.captures import read_flows
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+captures = read_flows(spark, sys.argv[2]).drop(" Label")
+score(PipelineModel.load(sys.argv[3]), captures).write.parquet(sys.argv[4])
+"""
+
+
+@pytest.mark.parametrize("kind", ["net", "trees"])
+def test_one_saved_pipeline_scores_captures_in_another_session(spark, folder, tmp_path, kind):
+    labelled = read_flows(spark, folder)
+    prepared, train = FlowPreparation.fit(raw_layer(labelled, drop=["SimilarHTTP"]), EtlSettings(components=2))
+    model = (
+        train_mlp(train, prepared.features, "Label_Index", [4], max_iter=10) if kind == "net"
+        else train_boosted(train, prepared.features, "Label_Index", BoostedParams(trees=3, depth=3))
+    )
+    scorer = prepared.scorer(model, ["Unnamed:_0"])
+    scorer.write().save(str(tmp_path / "scorer"))
+    subprocess.run(
+        [sys.executable, "-c", ELSEWHERE, str(Path(__file__).parents[1]), folder, str(tmp_path / "scorer"), str(tmp_path / "scores")],
+        check=True, capture_output=True, timeout=300,
+    )
+    there = {r["Unnamed:_0"]: r.prediction for r in spark.read.parquet(str(tmp_path / "scores")).collect()}
+    here = {r["Unnamed:_0"]: r.prediction for r in score(scorer, labelled.drop(" Label")).collect()}
+    assert len(there) == 600 and there == here
+    # Values that training never saw share the next free index; the flow still gets a prediction.
+    unseen = labelled.drop(" Label").withColumn(" Protocol", F.lit(99))
+    assert score(scorer, unseen).filter("prediction is not null").count() == 600
