@@ -14,6 +14,7 @@ from flowlab.operators.approximate import knn_recall
 from flowlab.operators.discriminant import (
     DiscriminantModel, class_means, lda_variance_ratio as variance_ratio, within_scatter,
 )
+from flowlab.operators.kinds import NUMBERS, merged_kinds
 from flowlab.operators.neighbours import knn_classify as classify_neighbours
 from flowlab.plans import layers
 from flowlab.plans.settings import EtlSettings
@@ -22,7 +23,9 @@ from flowlab.plans.views import (
     CAPTURES, CAPTURE_HEADERS, CAPTURE_NAMES, FLOWS, SCORED, SCORES, captures, flows, scored, sql, table,
     vectors, wide_vectors,
 )
-from flowlab.sources.captures import check_headers, merge_by_name as merge_tables, read_flows
+from flowlab.sources.captures import (
+    capture_kinds, check_headers, header_groups, list_files, merge_by_name as merge_tables, read_flows,
+)
 from flowlab.sources.layers import load_mapping, read_layer, save_mapping, write_layer
 from flowlab.storage import scratch_path
 
@@ -97,6 +100,29 @@ def csv_merge(spark, sf_dir):
     return named.withColumn("flow_ts", F.col("flow_ts").cast("string"))
 
 
+@query(f"select * replace (cast(flow_ts as varchar) as flow_ts) from {CAPTURE_SQL}")
+def csv_merge_inferred(spark, sf_dir):
+    """The same captures without a schema: types come from the kinds of all values."""
+    df = read_flows(spark, written_captures(spark, sf_dir)).select(*[f"`{c}`" for c in CAPTURE_HEADERS]).toDF(*CAPTURE_NAMES)
+    return df.withColumns({"flow_ts": F.date_format("flow_ts", "yyyy-MM-dd HH:mm:ss"), "row_no": F.col("row_no").cast("long")})
+
+
+@query(" union all ".join(
+    f"""select '{header}' as column_name, cast(count({name}) as bigint) as filled,
+ cast(count(*) - count({name}) as bigint) as missing, count(cast({name} as varchar)) > 0 and bool_and({name} is null or
+ try_cast(cast({name} as varchar) as double) is not null) as is_number from {CAPTURE_SQL}"""
+    for header, name in zip(CAPTURE_HEADERS, CAPTURE_NAMES)
+))
+def capture_types(spark, sf_dir):
+    """What the files hold by column: filled and missing values, and whether the type that fits them all is a number."""
+    files = list_files(spark, written_captures(spark, sf_dir))
+    kinds = merged_kinds([capture_kinds(spark, {h: g}) for h, g in header_groups(spark, files).items()])
+    filled = F.sum(F.when(F.col("kind") != "null", F.col("n")).otherwise(0)).alias("filled")
+    missing = F.sum(F.when(F.col("kind") == "null", F.col("n")).otherwise(0)).alias("missing")
+    number = F.bool_and(F.col("kind").isin("null", *NUMBERS)) & F.bool_or(F.col("kind").isin(*NUMBERS))
+    return kinds.groupBy("column_name").agg(filled, missing, number.alias("is_number"))
+
+
 @query(" union all ".join(
     f"select '{'|'.join(names)}' as header, true as found" for names in (CAPTURE_HEADERS, CAPTURE_HEADERS[::-1])
 ))

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
-from multiprocessing.pool import ThreadPool
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowlab.errors import MissingInput
 from flowlab.functions.names import quoted
+from flowlab.operators.kinds import column_kinds, fitting_types
 
-# Header lookups in flight; each reads the first line of one file.
-HEADER_THREADS = 16
+# Larger than any file, small enough that the sizes of millions of files still add up in 64 bits.
+WHOLE_FILE_BYTES = 1 << 40
 
 
 def list_files(spark: SparkSession, directory: str, extension: str = "csv") -> list[str]:
@@ -36,13 +40,49 @@ def require_files(spark: SparkSession, directory: str, extension: str = "csv") -
     return paths
 
 
-def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """Column names of each CSV file; the scan stops after its first line."""
-    def first_line(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.csv(path, header=True).columns)
+@contextmanager
+def whole_files(spark: SparkSession) -> Iterator[None]:
+    """Scans planned inside give every file a task of its own."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, str(WHOLE_FILE_BYTES))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def plain_path(uri: str) -> str:
+    """The path behind an encoded address; local files are named with one slash or three."""
+    return re.sub("^file:/+", "file:/", unquote(uri))
+
 
-    with ThreadPool(HEADER_THREADS) as pool:
-        return dict(zip(paths, pool.map(first_line, paths)))
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str | None]:
+    """The first line with text of each file, None for files without one. One job; a task reads no further than that line."""
+    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                if batch.column(1)[row].as_py().strip():
+                    yield batch.slice(row, 1)
+                    return
+
+    with whole_files(spark):
+        lines = spark.read.text(list(paths))
+        files = [plain_path(f) for f in lines.inputFiles()]
+        # A part of a file other than its first is no place for a header.
+        starts = lines.filter("_metadata.file_block_start = 0").select(F.col("_metadata.file_path").alias("file"), "value")
+        found = {plain_path(r["file"]): r["value"] for r in starts.mapInArrow(head, "file string, value string").collect()}
+    return {f: found.get(f) for f in files}
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of each CSV file, by its full path. Only one file of each distinct first line is parsed."""
+    lines = first_lines(spark, paths)
+    one_of = {line: path for path, line in lines.items() if line is not None}
+    names = {line: tuple(spark.read.csv(path, header=True).columns) for line, path in one_of.items()}
+    return {path: names.get(line, ()) for path, line in lines.items()}
 
 
 def header_groups(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
@@ -97,21 +137,26 @@ def merge_by_name(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, aligned)
 
 
-def inferred_schema(
-    spark: SparkSession, names: Sequence[str], groups: Sequence[Sequence[str]]
-) -> T.StructType:
-    """Types that fit every row of every group of equally headed files."""
-    found = [spark.read.csv(list(g), header=True, inferSchema=True).schema for g in groups]
-    kinds: dict[str, list[T.DataType]] = {c: [schema[c].dataType for schema in found] for c in names}
-    for i, group in enumerate(groups):
-        # A column without any value is inferred as text; it must not turn numbers into text.
-        doubtful = [c for c in names if kinds[c][i] == T.StringType() and len(set(kinds[c])) > 1]
-        if doubtful:
-            filled = spark.read.csv(list(group), header=True).agg(*[F.count(quoted(c)).alias(c) for c in doubtful]).first()
-            for c in doubtful:
-                if not filled[c]:
-                    kinds[c][i] = T.NullType()
-    return T.StructType([T.StructField(c, reduce(wider, kinds[c])) for c in names])
+def read_groups(spark: SparkSession, groups: Mapping[tuple[str, ...], Sequence[str]], schema: T.StructType) -> DataFrame:
+    """The files of every header in the types and the column order of ``schema``."""
+    return reduce(DataFrame.unionByName, [
+        spark.read.schema(T.StructType([schema[c] for c in header]))
+        .csv(list(group), header=True, mode="FAILFAST").select(*[quoted(c) for c in schema.fieldNames()])
+        for header, group in groups.items()
+    ])
+
+
+def capture_kinds(spark: SparkSession, groups: Mapping[tuple[str, ...], Sequence[str]]) -> DataFrame:
+    """The kinds of values in all files, see ``column_kinds``: one job that keeps counts, not rows."""
+    names = next(iter(groups))
+    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return column_kinds(read_groups(spark, groups, text))
+
+
+def inferred_schema(spark: SparkSession, groups: Mapping[tuple[str, ...], Sequence[str]]) -> T.StructType:
+    """Types that fit every row of every file; columns of files without rows are text."""
+    types = fitting_types(capture_kinds(spark, groups))
+    return T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in next(iter(groups))])
 
 
 def merge_csv_files(
@@ -123,7 +168,7 @@ def merge_csv_files(
     header. With ``schema`` the types are those given and an unreadable value fails the job
     instead of turning into NULL. Without it they are inferred from every row: a sample could
     miss the one value that does not fit. The widened types are then used to read the text
-    itself, so no value passes through a narrower type.
+    itself, so no value passes through a narrower type. Headers take one job for all files, types another.
     """
     if not paths:
         raise MissingInput("no files to merge")
@@ -133,15 +178,10 @@ def merge_csv_files(
         if set(header) != set(names):
             raise ValueError(f"files differ in columns {sorted(set(header) ^ set(names))}")
     if schema is None:
-        schema = inferred_schema(spark, names, list(groups.values()))
+        schema = inferred_schema(spark, groups)
     elif set(schema.fieldNames()) != set(names):
         raise ValueError(f"schema and files differ in columns {sorted(set(schema.fieldNames()) ^ set(names))}")
-    reads = [
-        spark.read.schema(T.StructType([schema[c] for c in header]))
-        .csv(group, header=True, mode="FAILFAST").select(*[quoted(c) for c in schema.fieldNames()])
-        for header, group in groups.items()
-    ]
-    return reduce(DataFrame.unionByName, reads)
+    return read_groups(spark, groups, schema)
 
 
 def read_flows(

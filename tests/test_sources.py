@@ -2,8 +2,10 @@ import pytest
 from pyspark.sql import types as T
 
 from flowlab.errors import MissingInput
+from flowlab.operators.kinds import fitting_types, merged_kinds
 from flowlab.sources.captures import (
-    check_headers, headers, list_files, merge_by_name, merge_csv_files, read_flows, require_files, wider,
+    capture_kinds, check_headers, first_lines, header_groups, headers, list_files, merge_by_name, merge_csv_files, read_flows,
+    require_files, wider,
 )
 from flowlab.sources.layers import load_mapping, read_layer, save_mapping, write_layer
 from flowlab.storage import scratch_path, scratch_root
@@ -56,6 +58,38 @@ def test_headers_agree_or_not(spark, folder):
     assert set(headers(spark, list_files(spark, path)).values()) == {("x", " y"), (" y", "x")}
 
 
+def test_first_lines_of_many_files_take_one_job(spark, folder, tmp_path):
+    path = folder(**{f"f{i}_csv": "\n\nx, y\n" + "1,2\n" * 30_000 for i in range(20)}, e_csv="", blank_csv="\n \n")
+    (tmp_path / "a b%1.csv").write_text(" y,x\n1,2\n")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    paths = list_files(spark, path)
+    spark.sparkContext.setJobGroup("first lines", "")
+    found = first_lines(spark, paths)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("first lines")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1 and sorted(found) == paths and [spark.conf.get(n) for n in names] == before
+    assert sorted(map(str, found.values())) == [" y,x", "None"] + ["x, y"] * 20  # an empty file is not listed
+    names = headers(spark, paths)
+    assert {p.rsplit("/", 1)[1]: h for p, h in names.items() if h != ("x", " y")} == {"blank.csv": (), "a b%1.csv": (" y", "x")}
+
+
+def test_kinds_of_values_merge(spark, folder):
+    one = folder(
+        a_csv="i,l,d,r,t,s,b,n,m\n1,5000000000,123456789012345678901,1.5,2020-01-01,2020-01-01 10:00:00,true,,1\n",
+        b_csv="m,n,b,s,t,r,d,l,i\nx,,False,2020-01-01T10:00:00.5,2020-02-30,-Infinity,-7,+6,\n",
+    )
+    df = read_flows(spark, one)
+    assert dict(df.dtypes) == {
+        "i": "int", "l": "bigint", "d": "decimal(21,0)", "r": "double", "t": "string", "s": "timestamp", "b": "boolean", "n": "string", "m": "string",
+    }
+    assert df.count() == 2 and {r.i for r in df.collect()} == {1, None}
+    tables = [capture_kinds(spark, header_groups(spark, [p])) for p in list_files(spark, one)]
+    both = capture_kinds(spark, header_groups(spark, list_files(spark, one)))
+    assert rows(merged_kinds(tables)) == rows(both.select("column_name", "kind", "n", "width"))
+    assert {c: t.simpleString() for c, t in fitting_types(merged_kinds(tables)).items()} == dict(df.dtypes)
+
+
 def test_columns_are_matched_by_name(spark, folder):
     path = folder(a_csv="x, y\n1,a\n", b_csv=" y,x\nb,2\n", c_csv="x, y\n3,c\n")
     df = read_flows(spark, path)
