@@ -59,7 +59,7 @@ def matrix(column: pa.ChunkedArray | pa.Array, kind: str = "<f4") -> np.ndarray:
 
 
 def valid_vectors(table: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """``id, vec`` (doubles): what takes part, one row an id."""
+    """``id, vec`` (doubles): what takes part, one row an id. Of several vectors under one id the least in array order counts."""
     rows = table.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("vec"))
     rows = rows.filter("id is not null and vec is not null").filter(
         F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0)
@@ -67,8 +67,7 @@ def valid_vectors(table: DataFrame, vec_id: str, vector: str) -> DataFrame:
     width = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if width is None:
         return rows
-    rows = rows.filter(F.size("vec") == width.n).dropDuplicates(["id", "vec"])
-    return rows
+    return rows.filter(F.size("vec") == width.n).groupBy("id").agg(F.min("vec").alias("vec"))
 
 
 def with_class(rows: DataFrame) -> DataFrame:
@@ -314,12 +313,9 @@ def nearest(
     """Per query and rank: ``query_id, rank, vec_id, score``. ``queries`` has the columns of ``table``; a query whose id
     is in the table is not compared with its own row."""
     everything = written(valid_vectors(table, vec_id, vector), "valid-vectors")
-    repeated = everything.groupBy("id").count().filter("count > 1").first()
-    if repeated is not None:
-        raise ValueError(f"id {repeated.id} has several vectors")
     classes = written(classes_of(everything, neighbours), "vector-classes")
     n = classes.count()
-    asked = valid_vectors(queries, vec_id, vector).dropDuplicates(["id"])
+    asked = valid_vectors(queries, vec_id, vector)
     schema = "query_id long, rank int, vec_id long, score double"
     if not n or asked.isEmpty():
         return table.sparkSession.createDataFrame([], schema)

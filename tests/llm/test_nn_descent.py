@@ -1,5 +1,4 @@
 import numpy as np
-import pytest
 
 from flowlab.llm.nn_descent import best, nearest
 from flowlab.llm.queries import QUERIES
@@ -65,10 +64,11 @@ def test_queries_outside_of_the_table(spark):
     assert grouped(nearest(table, asked, neighbours=5)) == brute(rows, [(500, [1.0, 0.0, 0.5, 0.0])], 5)
 
 
-def test_one_id_with_two_vectors_is_refused(spark):
-    table = spark.createDataFrame([(1, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
-    with pytest.raises(ValueError):
-        nearest(table, table).count()
+def test_one_id_with_two_vectors_has_the_lesser(spark):
+    rows = [(1, [2.0, 9.0]), (1, [1.0, 5.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (3, [0.0, 2.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = table.filter("vec_id < 3")
+    assert grouped(nearest(table, asked)) == {1: [(3, 10.0), (2, 6.0)], 2: [(1, 6.0), (3, 2.0)]}
 
 
 def test_copies_start_at_their_class_and_the_search_goes_on_until_nothing_is_open(spark):
