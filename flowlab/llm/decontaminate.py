@@ -9,8 +9,9 @@ The automaton lives in every task, so its size is bounded: at most ``BLOCK_WORDS
 larger benchmark is matched block by block; rows then carry what earlier blocks found.
 
 Defined results: a null or empty text has no words and no hit; an item without words, or null, matches nothing;
-repeated rows are scored each on its own; items that share a window are all reported; with no items, nothing is
-hit. Only the named columns are read, so others may have any name.
+repeated rows are scored each on its own; items that share a window are all reported; an item without an id hits words
+but is not listed; with no items, nothing is hit. A hit holds the number of its window, not the list of its items, which
+many windows may share: ``items`` lists them once a row, ``window_items`` by window. Only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -29,12 +30,12 @@ from flowlab.llm.words import ALNUM, plain_words
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
 
-HITS = "array<struct<first:int,last:int,start:long,stop:long,items:array<string>>>"
+HITS = "array<struct<first:int,last:int,start:long,stop:long,window:long>>"
 
 
-def item_windows(items: list[tuple[str, str | None]], window: int = WINDOW) -> dict[tuple[bytes, ...], list[str]]:
+def item_windows(items: list[tuple[str | None, str | None]], window: int = WINDOW) -> dict[tuple[bytes, ...], list[str | None]]:
     """Each distinct window and the ids of the items that hold it."""
-    found: dict[tuple[bytes, ...], dict[str, None]] = {}
+    found: dict[tuple[bytes, ...], dict[str | None, None]] = {}
     for item, text in items:
         words = plain_words(text)
         for i in range(max(1, len(words) - window + 1) if words else 0):
@@ -43,26 +44,27 @@ def item_windows(items: list[tuple[str, str | None]], window: int = WINDOW) -> d
 
 
 class Matcher:
-    """The automaton of one block of items."""
+    """The automaton of one block of items; ``items_of`` lists the known ids of each of its windows."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int):
         windows = item_windows(items, window)
+        self.items_of = [[i for i in ids if i is not None] for ids in windows.values()]
         self.letters: dict[bytes, int] = {}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for words, ids in windows.items():
+        for number, words in enumerate(windows):
             key = tuple(self.letters.setdefault(w, len(self.letters) + 1) for w in words)
-            self.automaton.add_word(key, (len(key), ids))
+            self.automaton.add_word(key, (len(key), number))
         if windows:
             self.automaton.make_automaton()
 
-    def matches(self, words: list[bytes]) -> Iterator[tuple[int, int, list[str]]]:
-        """First and last word of every occurrence, and the items it belongs to. Letter 0 is any other word."""
+    def matches(self, words: list[bytes]) -> Iterator[tuple[int, int, int]]:
+        """First and last word of every occurrence, and the number of its window. Letter 0 is any other word."""
         if not self.letters or not words:
             return
         letters = tuple(map(self.letters.get, words, itertools.repeat(0)))
         if any(letters):
-            for last, (size, ids) in self.automaton.iter(letters):
-                yield last - size + 1, last, ids
+            for last, (size, number) in self.automaton.iter(letters):
+                yield last - size + 1, last, number
 
 
 def byte_spans(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -76,7 +78,7 @@ def blocks_of(benchmark: DataFrame, item_col: str, text_col: str, window: int, b
     blocks: list[list[tuple]] = [[]]
     size = 0
     for item, text in benchmark.select(F.col(item_col).cast("string"), F.col(text_col).cast("string")).toLocalIterator():
-        if item is None or not text:
+        if not text:
             continue
         cells = len(plain_words(text)) * window
         if size and size + cells > block_words:
@@ -91,55 +93,63 @@ def matched(
     docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id",
     item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS, keep: list[str] | None = None,
 ) -> DataFrame:
-    """The columns ``keep`` of every row with ``n_words`` and ``hits``: first and last word (from 0), the byte span in
-    the original text, and the items."""
+    """The columns ``keep`` of every row with ``n_words``, ``hits`` (first and last word from 0, the byte span in the
+    original text, the number of the window) and ``items``, the sorted ids of all that is hit; null without a hit."""
     keep = docs.columns if keep is None else keep
     spark = docs.sparkSession
     # A fixed name that no kept column has; the text travels on only while blocks remain.
     own = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(keep, own)], F.col(f"`{text}`").cast("string").alias("body"))
-    rows = rows.withColumns({"n_words": F.lit(0).cast("long"), "hits": F.lit(None).cast(HITS)})
+    rows = rows.withColumns({"n_words": F.lit(0).cast("long"), "hits": F.lit(None).cast(HITS), "items": F.lit(None).cast("array<string>")})
     blocks = blocks_of(benchmark, item_id, item_text, window, block_words)
+    base = 0
     for number, block in enumerate(blocks):
         shared = spark.sparkContext.broadcast(block)
-        rows = rows.mapInArrow(_scan(shared, window), rows.schema)
+        rows = rows.mapInArrow(_scan(shared, window, base), rows.schema)
         if number < len(blocks) - 1:
             rows = written(rows, "matches")
-    return rows.select(*[F.col(o).alias(c) for c, o in zip(keep, own)], "n_words", "hits")
+            base += len(item_windows(block, window))
+    return rows.select(*[F.col(o).alias(c) for c, o in zip(keep, own)], "n_words", "hits", "items")
 
 
-def _scan(shared, window: int):
+def window_items(
+    benchmark: DataFrame, *, item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """``window, words, items``: what the numbers in hits stand for, from an equal benchmark read in the same order."""
+    rows = []
+    for block in blocks_of(benchmark, item_id, item_text, window, block_words):
+        for words, ids in item_windows(block, window).items():
+            rows.append((len(rows), [w.decode("utf-8", "replace") for w in words], [i for i in ids if i is not None]))
+    return benchmark.sparkSession.createDataFrame(rows, "window long, words array<string>, items array<string>")
+
+
+def _scan(shared, window: int, base: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(shared.value, window)
         for batch in batches:
             at = batch.schema.get_field_index
-            counts, hits = [], batch.column(at("hits")).to_pylist()
+            counts, hits, items = [], batch.column(at("hits")).to_pylist(), batch.column(at("items")).to_pylist()
             for i, body in enumerate(batch.column(at("body"))):
                 body = body.as_py()
                 words = plain_words(body)
                 counts.append(len(words))
-                found: dict[tuple[int, int], list[str]] = {}
-                for first, last, ids in matcher.matches(words):
-                    found.setdefault((first, last), []).extend(ids)
+                found = list(matcher.matches(words))
                 if found:
-                    spans = byte_spans(body, list(found))
+                    spans = byte_spans(body, [(a, b) for a, b, _ in found])
                     hits[i] = (hits[i] or []) + [
-                        {"first": a, "last": b, "start": s, "stop": e, "items": ids}
-                        for ((a, b), ids), (s, e) in zip(found.items(), spans)
+                        {"first": a, "last": b, "start": s, "stop": e, "window": base + n}
+                        for (a, b, n), (s, e) in zip(found, spans)
                     ]
+                    items[i] = sorted({*(items[i] or ()), *(x for n in {n for *_, n in found} for x in matcher.items_of[n])})
             columns = batch.columns
             columns[at("n_words")] = pa.array(counts, pa.int64())
             columns[at("hits")] = pa.array(hits, batch.schema.field("hits").type)
+            columns[at("items")] = pa.array(items, batch.schema.field("items").type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return scan
 
 
-def hit_items(hits: Column) -> Column:
-    """The distinct items of the hits, sorted as strings; empty if there are none."""
-    return F.array_sort(F.array_distinct(F.flatten(F.coalesce(F.transform(hits, lambda h: h["items"]), F.array()))))
-
-
 def covered_words(hits: Column) -> Column:
     """How many words lie inside at least one hit."""
     ordered = F.array_sort(F.transform(F.coalesce(hits, F.array()), lambda h: F.struct(h["first"], h["last"])))
@@ -156,7 +166,7 @@ def covered_words(hits: Column) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
     """Per row: ``doc_id, n_words, n_hit, n_items, items`` and ``contaminated`` (some word is hit)."""
-    rows = matched(docs, benchmark, keep=[doc_id], **options).withColumn("items", hit_items(F.col("hits")))
+    rows = matched(docs, benchmark, keep=[doc_id], **options).withColumn("items", F.coalesce("items", F.array()))
     return rows.select(
         F.col(doc_id), "n_words", covered_words(F.col("hits")).alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), "items", F.col("hits").isNotNull().alias("contaminated"), "hits",

@@ -3,7 +3,7 @@ import re
 
 from hypothesis import given, settings, strategies as st
 
-from flowlab.llm.decontaminate import Matcher, contamination, matched, without_contaminated
+from flowlab.llm.decontaminate import Matcher, contamination, matched, window_items, without_contaminated
 from flowlab.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -45,7 +45,8 @@ def test_whole_table_against_brute_force(spark):
 @given(st.lists(st.lists(st.sampled_from("abc"), max_size=6), max_size=5), st.lists(st.sampled_from("abcd"), max_size=25))
 def test_automaton_finds_every_window(items, doc):
     items = [(str(i), " ".join(w)) for i, w in enumerate(items)]
-    found = list(Matcher(items, 3).matches([w.encode() for w in doc]))
+    matcher = Matcher(items, 3)
+    found = [(a, b, matcher.items_of[n]) for a, b, n in matcher.matches([w.encode() for w in doc])]
     hit = {k for a, b, _ in found for k in range(a, b + 1)}
     assert (len(hit), sorted({i for *_, ids in found for i in ids})) == brute(" ".join(doc), items, 3)[1:]
 
@@ -69,6 +70,18 @@ def test_edges_blocks_and_spans(spark):
     assert spans == {"a b c", "b"}
 
 
+def test_items_without_an_id_and_shared_windows(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "w " * 500), (3, "z")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "b c")] + [(i, "w") for i in range(300)], "item_id int, text string")
+    for block_words in (10 ** 6, 40):
+        got = {r.doc_id: r for r in contamination(docs, items, window=2, block_words=block_words).collect()}
+        assert (got[1].n_hit, got[1].n_items, got[1].contaminated) == (2, 0, True)
+        assert got[2].n_hit == 500 and got[2]["items"] == sorted(map(str, range(300))) and not got[3].contaminated
+        names = {r.window: (r.words, r["items"]) for r in window_items(items, window=2, block_words=block_words).collect()}
+        assert {n for h in got[1].hits for n in names[h.window][0]} == {"b", "c"}
+        assert {i for h in got[2].hits for i in names[h.window][1]} == set(map(str, range(300)))
+
+
 def test_filter_keeps_columns_and_clean_rows(spark):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string, hits string")
     items = spark.createDataFrame([(7, "a b c")], "item_id int, text string")
