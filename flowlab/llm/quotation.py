@@ -57,8 +57,8 @@ def levels(text: str) -> list[tuple[int, str]]:
 
 
 def parsed(text: str | None) -> tuple[str, list[int], list[tuple[int, int, int, int]]]:
-    """Own text, the hashes it can be quoted by, and the quoted parts: (level, passage, hash, characters), where the
-    whole passage has 0 as the number of its line, lines count from 1: ``passage`` is 1000000 * number + line."""
+    """Own text, the hashes it can be quoted by, and the quoted parts: (level, passage, line, hash, characters), where
+    passages count from 0 and lines from 1, and the whole passage has 0 as its line."""
     lines = levels(text or "")
     own = "\n".join(line for level, line in lines if level == 0).strip()
     names: dict[int, None] = {}
@@ -79,10 +79,10 @@ def parsed(text: str | None) -> tuple[str, list[int], list[tuple[int, int, int,
         if level == 0:
             names.update(dict.fromkeys(n for n in (whole, *map(name_of, part)) if n is not None))
         else:
-            quotes.append((level, 1_000_000 * number, whole, len(normalised("\n".join(part)))))
+            quotes.append((level, number, 0, whole, len(normalised("\n".join(part)))))
             for k, line in enumerate(part, 1):
                 if len(part) > 1 and (n := name_of(line)) is not None:
-                    quotes.append((level, 1_000_000 * number + k, n, len(normalised(line))))
+                    quotes.append((level, number, k, n, len(normalised(line))))
     if (n := name_of(own)) is not None:
         names[n] = None
     return own, list(names), quotes
@@ -100,17 +100,17 @@ def messages(table: DataFrame, conv: str, turn: str, role: str, text: str) -> Da
             found = [parsed(t) for t in batch.column(3).to_pylist()]
             if found:
                 own, names, quotes = zip(*found)
-                quotes = [[dict(zip(("level", "passage", "name", "chars"), q)) for q in qs] for qs in quotes]
+                quotes = [[dict(zip(("level", "passage", "line", "name", "chars"), q)) for q in qs] for qs in quotes]
                 yield batch_of(schema, *batch.columns[:3], own, names, quotes)
 
-    quote = pa.struct([("level", pa.int32()), ("passage", pa.int64()), ("name", pa.int64()), ("chars", pa.int64())])
+    quote = pa.struct([("level", pa.int32()), ("passage", pa.int64()), ("line", pa.int64()), ("name", pa.int64()), ("chars", pa.int64())])
     schema = pa.schema([
         ("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("names", pa.list_(pa.int64())),
         ("quotes", pa.list_(quote)),
     ])
     kinds = (
         "conv_id long, turn long, role string, text string, names array<long>, "
-        "quotes array<struct<level:int,passage:long,name:long,chars:long>>"
+        "quotes array<struct<level:int,passage:long,line:long,name:long,chars:long>>"
     )
     return written(rows.mapInArrow(parse, kinds).withColumn("message", F.monotonically_increasing_id()), "messages")
 
@@ -124,12 +124,10 @@ def reply_links(rows: DataFrame) -> DataFrame:
     first = rows.filter("conv_id is not null and turn is not null").select(
         "conv_id", F.explode("names").alias("name"), F.struct("turn", "message").alias("at")
     ).groupBy("conv_id", "name").agg(F.min("at").alias("at"))
-    found = quoted.join(first, ["conv_id", "name"]).filter(F.col("at.turn") < F.col("turn")).withColumns({
-        "number": F.floor(F.col("passage") / 1_000_000), "whole": F.col("passage") % 1_000_000 == 0,
-    })
+    found = quoted.join(first, ["conv_id", "name"]).filter(F.col("at.turn") < F.col("turn")).withColumn("whole", F.col("line") == 0)
     # Lines count where their passage as a whole is not known.
-    known = found.groupBy("message", "number").agg(F.max("whole").alias("known"))
-    found = found.join(known, ["message", "number"]).filter("whole or not known")
+    known = found.groupBy("message", "passage").agg(F.max("whole").alias("known"))
+    found = found.join(known, ["message", "passage"]).filter("whole or not known")
     votes = found.groupBy("message", "at").agg(F.min("level").alias("level"), F.sum("chars").alias("chars"))
     best = F.max_by("at", F.struct(-F.col("level"), "chars", "at.turn", -F.col("at.message")))
     return votes.groupBy("message").agg(best.alias("at")).select(
@@ -181,7 +179,7 @@ def linked_conversations(
     tree = threads(links).join(rows.select(F.col("message").alias("root"), F.col("turn").alias("thread")), "root").drop("root")
     found = rows.join(links.select("message", F.col("parent_turn").alias("reply_to")), "message", "left").join(tree, "message", "left")
     found = found.select(
-        "conv_id", "turn", "role", "text", F.expr("cast(size(filter(quotes, q -> q.passage % 1000000 = 0)) as bigint)").alias("n_quotes"),
+        "conv_id", "turn", "role", "text", F.expr("cast(size(filter(quotes, q -> q.line = 0)) as bigint)").alias("n_quotes"),
         "reply_to", F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).cast("long").alias("depth"), "message",
     )
     return numbered(found, ["conv_id", "thread", "depth", "turn", "message"], ["conv_id"]).drop("message")

@@ -51,10 +51,10 @@ def brute(rows):
     for c, t, _, text in rows:
         _, _, quotes = parsed(text)
         votes, numbers = {}, {}
-        for level, passage, name, chars in quotes:
+        for level, passage, line, name, chars in quotes:
             first = min((u for d, u, _, other in rows if d == c and name in parsed(other)[1]), default=None)
             if first is not None and first < t:
-                numbers.setdefault(passage // 1_000_000, []).append((passage % 1_000_000 == 0, level, chars, first))
+                numbers.setdefault(passage, []).append((line == 0, level, chars, first))
         for found in numbers.values():
             whole = any(w for w, *_ in found)
             for w, level, chars, first in found:
@@ -87,6 +87,11 @@ def test_random_threads_against_brute_force(spark):
             assert next(p.position for p in got if (p.conv_id, p.turn) == (r.conv_id, r.reply_to)) < r.position
 
 
+def test_a_passage_of_a_million_lines_is_one(spark):
+    _, _, quotes = parsed("> some quoted line\n" * 1_000_002 + "own")
+    assert [q[:3] for q in quotes if q[2] == 0] == [(1, 0, 0)] and quotes[-1][1:3] == (0, 1_000_002)
+
+
 def test_long_chain_and_one_conversation(spark):
     rows = [(1, t, "u", (f"> message {t - 1}\n" if t else "") + f"message {t}") for t in range(200)]
     got = linked_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
