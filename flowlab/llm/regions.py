@@ -57,6 +57,10 @@ FRAME_WORDS = frozenset(
 )
 #: Words that mark blocks of articles, too.
 DOUBTFUL_WORDS = frozenset("notice alert related share sharing social widget search subscription".split())
+#: A name that holds one of these tells of a state of the page, as in "has-sidebar", "promo-free" or "comments-enabled".
+STATE_WORDS = frozenset("has no not with without free enabled disabled allowed open closed".split())
+#: A name that ends in one of these names a text, as in "modal-article".
+TEXT_WORDS = frozenset("article story post entry".split())
 #: Readers may write more than the author: such parts must hold nearly the whole page to be no frame part.
 COMMENT_WORDS = frozenset("comment comments respond disqus".split())
 MOST, NEARLY_ALL = 0.5, 0.9
@@ -64,8 +68,8 @@ MOST, NEARLY_ALL = 0.5, 0.9
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|$)", re.S
 )
-MARK = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s\"'>]++)))?")
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: Prior counts in and out of the content: a plain word speaks for it; links, tags and the edges of frame parts do not.
@@ -96,17 +100,25 @@ class Part:
         self.words = self.links = 0
 
 
+def telling(name: str) -> list[str]:
+    """The words of one class, id or role; none if it names a state of the page or a text."""
+    parts = [p.lower() for p in NAME_PARTS.findall(name)]
+    return [] if not STATE_WORDS.isdisjoint(parts) or parts and parts[-1] in TEXT_WORDS else parts
+
+
 def frame_part(name: str, attributes: str, content: bool) -> tuple[bool, float | None] | None:
     """None for what is none, as the header of an article; else whether it is sure, and the share of the page's words from which on it is not."""
     if name in FRAME:
         return True, None
     if name in ("html", "body"):
         return None
-    if attributes and HIDDEN.search(attributes):
-        return True, None
-    words = {
-        part.lower() for m in MARK.finditer(attributes) for part in NAME_PARTS.findall(m[1] or m[2] or m[3] or "")
-    } if attributes else set()
+    words: set[str] = set()
+    for m in ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true" or key == "style" and NOT_SHOWN.search(value):
+            return True, None
+        if key in ("class", "id", "role"):
+            words.update(*map(telling, value.split()))
     if words & COMMENT_WORDS:
         return True, NEARLY_ALL
     if name in LIKELY or words & FRAME_WORDS:
@@ -143,6 +155,11 @@ def tokens(page: str) -> list[Token]:
     places: list[tuple[Part | None, Part | None, Part | None, bool, bool]] = []
     parts: list[Part] = []
     total = at = 0
+    opened: Counter = Counter()  # open elements by name
+
+    def close(k: int) -> None:
+        opened.subtract(name for name, *_ in stack[k:])
+        del stack[k:]
 
     def run(text: str) -> None:
         nonlocal total
@@ -173,16 +190,17 @@ def tokens(page: str) -> list[Token]:
         tag = Token(f"tag:{'/' if closing else ''}{known}", 0, "", False, False, name in BLOCK)
         found.append(tag)
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
+            # An end tag that ends nothing is no reason to look through all that is open.
+            for k in range(len(stack) - 1, 0, -1) if opened[name] else ():
                 if stack[k][0] == name:
-                    del stack[k:]
+                    close(k)
                     break
             # The tag that ends the content belongs to what is around it.
             places.append((part, part, stack[-1][1], content, stack[-1][2]))
             continue
         for other in CLOSES.get(name, ()):
             if stack[-1][0] == other:
-                stack.pop()
+                close(len(stack) - 1)
         _, part, content, block, link = stack[-1]
         what = frame_part(name, m[3], content)
         if name in CONTENT and not what and not content:
@@ -202,6 +220,7 @@ def tokens(page: str) -> list[Token]:
                 stop = page.find(">", at)
                 at = stop + 1 if stop >= 0 else len(page)
         elif name not in VOID and name not in RAW and not m[3].endswith("/"):
+            opened[name] += 1
             stack.append((
                 name, own, (content or name in CONTENT) and not what, name if name in BLOCK else block, link or name == "a"
             ))

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -60,6 +61,29 @@ def test_frame_words_around_and_in_a_post(page, text):
     assert main_text(AROUND.format(page), prior()) == text
 
 
+WORDS60 = "Some words of the post that go on for a while. " * 6
+SIXTY = WORDS60.strip()
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<div class='promo-free'>{WORDS60}</div>" * 2, f"{SIXTY}\n{SIXTY}"),
+    (f"<section class=modal-article>{WORDS60}</section>" * 3, f"{SIXTY}\n{SIXTY}\n{SIXTY}"),
+    (f"<div class='post comments-enabled'><p>{WORDS60}</p></div><div><p>Some other words.</p></div>", f"{SIXTY}\nSome other words."),
+    (f"<div><p>{WORDS60}</p><p title='the hidden valley'>Of a valley.</p><p data-x=hidden>And more.</p></div>", f"{SIXTY}\nOf a valley.\nAnd more."),
+    (f"<div><p>{WORDS60}</p><p hidden>Not seen.</p><p style='color:red; display : none'>Nor seen.</p><p>The end of it.</p></div>", f"{SIXTY}\nThe end of it."),
+    (f"<div><p>{WORDS60}</p><p aria-hidden='true'>Not seen.</p><p class=ad-slot>Buy it now.</p><p>The end of it.</p></div>", f"{SIXTY}\nThe end of it."),
+])
+def test_names_of_states_and_texts_are_no_frame_parts(page, text):
+    assert main_text(AROUND.format(page), prior()) == text
+
+
+def test_end_tags_of_nothing_take_linear_time():
+    start = time.monotonic()
+    assert main_text("<div>" * 100_000 + "</b>" * 100_000 + "<p>ok</p>", prior()) == "ok"
+    assert main_text("<p>ok</p>" + "</b>" * 100_000, prior()) == "ok"
+    assert time.monotonic() - start < 20
+
+
 def test_a_wrapper_in_content_leaves_it_content():
     found = [t for t in tokens(f"<main><div class=has-sidebar>{POST}</div></main>") if t.words]
     assert all(t.content and not t.frame for t in found)
