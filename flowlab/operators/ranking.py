@@ -8,16 +8,18 @@ one class may hold a third of the table. Two remedies:
     caller then compares each row with the threshold: a filter, with no shuffle of full rows.
 
 ``running_totals``  range-partitions the rows by their sort order, fixes that layout with a
-    checkpoint, and adds the totals of the earlier partitions to a window inside each partition.
+    checkpoint, and lets each partition count on from the totals of the earlier ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from math import ceil, log
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from flowlab.functions.names import quoted
 from flowlab.storage import checkpointed, small_copy
@@ -152,27 +154,70 @@ def running_totals(
     """Add running sums inside each group, in the given order, the current row included.
 
     Rows must differ in ``group`` plus ``order``. Each name in ``totals`` becomes a long column,
-    with the sum over the whole group next to it as ``<name>_total``.
+    with the sum over the whole group next to it as ``<name>_total``; NULL adds nothing, and rows
+    whose group is NULL are a group.
+
+    Two phases: rows are sorted by ranges once and fixed; each partition and group is summed; then
+    every partition counts on from what the earlier ones hold. The sums, a row for each partition
+    and one more for each group, are broadcast while they are few.
     """
-    laid_out = checkpointed(df.repartitionByRange(*group, *order))
-    parts = laid_out.withColumn("_part", F.spark_partition_id())
-    by_part = parts.groupBy("_part", *group).agg(
-        *[F.sum(c).cast("long").alias(f"_{n}") for n, c in totals.items()]
+    values = df.withColumns({f"_{n}": F.coalesce(c.cast("long"), F.lit(0)) for n, c in totals.items()})
+    laid_out = checkpointed(
+        values.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+        .withColumn("_part", F.spark_partition_id())
     )
+    by_part = laid_out.groupBy("_part", *group).agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in totals])
     earlier = (
         Window.partitionBy(*group).orderBy("_part")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = by_part.select(
-        "_part", *group,
-        *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in totals],
+        F.col("_part").alias("_p"), *[quoted(g).alias(f"_g{i}") for i, g in enumerate(group)],
+        *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}_before") for n in totals],
         *[F.sum(f"_{n}").over(Window.partitionBy(*group)).alias(f"{n}_total") for n in totals],
     )
+    same = F.col("_part") == F.col("_p")
+    for i, g in enumerate(group):
+        same = same & quoted(g).eqNullSafe(F.col(f"_g{i}"))
+    few = offsets.limit(SMALL_TABLE_ROWS + 1).collect()
+    if len(few) <= SMALL_TABLE_ROWS:
+        numbered = [(*r, i) for i, r in enumerate(few)]
+        sums = df.sparkSession.createDataFrame(numbered, T.StructType([*offsets.schema, T.StructField("_run", T.LongType())]))
+        # Such a join leaves rows where they are, and in order.
+        return _counted_on(laid_out.join(F.broadcast(sums), same), df.schema, list(totals))
     so_far = (
         Window.partitionBy("_part", *group).orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = parts.join(offsets, ["_part", *group])
-    return summed.withColumns(
-        {n: (F.sum(c).over(so_far) + F.col(f"_{n}")).cast("long") for n, c in totals.items()}
-    ).drop("_part", *[f"_{n}" for n in totals])
+    summed = laid_out.join(offsets, same)
+    return summed.select(
+        *[quoted(c) for c in df.columns], *[(F.sum(f"_{n}").over(so_far) + F.col(f"_{n}_before")).alias(n) for n in totals],
+        *[f"{n}_total" for n in totals],
+    )
+
+
+def _counted_on(rows: DataFrame, kept: T.StructType, totals: list[str]) -> DataFrame:
+    """Running sums of rows that stand in order; ``_run`` tells the groups of a partition apart."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, carried = None, dict.fromkeys(totals, 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            run = batch.column("_run").to_numpy()
+            starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+            lengths = np.diff(np.r_[starts, len(run)])
+            found = []
+            for n in totals:
+                value = batch.column(f"_{n}").to_numpy()
+                upto = np.cumsum(value)
+                inside = upto - np.repeat((upto - value)[starts], lengths)
+                if run[0] == last:
+                    inside[:lengths[0]] += carried[n]
+                carried[n] = inside[-1]
+                found.append(pa.array(inside + batch.column(f"_{n}_before").to_numpy(), pa.int64()))
+            last = run[-1]
+            columns = [*(batch.column(c) for c in kept.names), *found, *(batch.column(f"{n}_total") for n in totals)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept.names, *totals, *(f"{n}_total" for n in totals)])
+
+    new = [T.StructField(c, T.LongType()) for c in (*totals, *(f"{n}_total" for n in totals))]
+    return rows.mapInArrow(count, T.StructType([*kept, *new]))

@@ -123,3 +123,27 @@ def test_running_totals(spark, parts):
     for r in got:
         assert r.t == 2 * sum(1 for o in got if o.g == r.g and o.v >= r.v)
         assert r.t_total == 2 * sum(1 for o in got if o.g == r.g)
+
+
+@pytest.mark.parametrize("limit", [100_000, 3])
+def test_running_totals_of_odd_groups(spark, monkeypatch, limit):
+    """Null groups, null values and groups over several batches and partitions, with few sums and with many."""
+    monkeypatch.setattr("flowlab.operators.ranking.SMALL_TABLE_ROWS", limit)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(None if i % 4 == 0 else "a" if i % 2 else "b", i, None if i % 5 == 0 else i) for i in range(150)] + [("c", 1000, None)]
+        df = spark.createDataFrame(rows, "g string, v int, w int")
+        got = running_totals(df, ["g"], [F.col("v").asc()], {"t": F.col("w"), "n": F.lit(1)})
+        if limit > 3:
+            assert_absent(got, "hashpartitioning", "Sort ", "Window")
+        got = got.collect()
+        assert got[0].asDict().keys() == {"g", "v", "w", "t", "n", "t_total", "n_total"} and len(got) == 151
+        for r in got:
+            group = [o for o in rows if o[0] == r.g]
+            upto = [o for o in group if o[1] <= r.v]
+            assert (r.t, r.n) == (sum(o[2] or 0 for o in upto), len(upto))
+            assert (r.t_total, r.n_total) == (sum(o[2] or 0 for o in group), len(group))
+        assert running_totals(df.limit(0), ["g"], [F.col("v").asc()], {"n": F.lit(1)}).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
