@@ -4,7 +4,7 @@ import re
 import numpy as np
 from hypothesis import given, settings, strategies as st
 
-from flowlab.llm.components import components
+from flowlab.llm.components import components, with_least
 from flowlab.llm.queries import QUERIES
 from flowlab.llm.tensor_minhash import deduplicated, forest, linked, near_duplicates, shingles
 from flowlab.llm.words import spaced_words, word_hashes
@@ -149,3 +149,24 @@ def test_components_of_paths_and_stars(spark):
     joined = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: find(x) for x in joined}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_hubs_and_other_nodes_find_their_least_neighbour(spark):
+    # Node 0 is a hub; nodes 10,000 and up have two edges each, fewer than a 1,024th of all.
+    rows = [(0, v) for v in range(1, 3000)] + [(u, u + d) for u in range(10_000, 12_000) for d in (7, 5)]
+    edges = spark.createDataFrame(rows, "u long, v long")
+    joined, low = with_least(edges, len(rows))
+    least = {u: min(v for x, v in rows if x == u) for u in (0, 10_000, 11_999)}
+    got = {(r.u, r.v): r.m for r in joined.collect()}
+    assert sorted(got) == sorted(rows)
+    assert all(m == (1 if u == 0 else u + 5) for (u, _), m in got.items())
+    assert {u: m for u, m in ((r.u, r.m) for r in low.collect()) if u in least} == least
+
+
+def test_components_around_hubs(spark):
+    # Two stars joined by one path, and pairs of their own; a null end and a repeated edge change nothing.
+    edges = [(50_000, v) for v in range(2, 2500)] + [(60_000, v) for v in range(3000, 5000)] + [(2499, 70_000), (70_000, 3000)]
+    edges += [(u, u + 1) for u in range(100_000, 104_000, 2)] + [(50_000, 2), (None, 5), (5, None)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    joined = {50_000, 60_000, 70_000, *range(2, 2500), *range(3000, 5000)}
+    assert got == {n: 2 for n in joined} | {n: n - n % 2 for n in range(100_000, 104_000)}
