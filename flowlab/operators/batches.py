@@ -17,12 +17,3 @@ def packed(values: Sequence[Column]) -> Column:
 def matrix(column: pa.Array, width: int) -> np.ndarray:
     """Rows of a packed column as a rows x width matrix."""
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-
-
-def upper_triangle(names: Sequence[str], sums: Sequence[np.ndarray], width: int) -> pa.RecordBatch:
-    """``i, j`` and one column per square matrix: the cells on and above the diagonal."""
-    i, j = np.triu_indices(width)
-    cells = [pa.array(s[i, j]) for s in sums]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *cells], names=["i", "j", *names]
-    )

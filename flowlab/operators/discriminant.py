@@ -1,8 +1,12 @@
-"""Linear discriminant reduction fitted from distributed scatter sums."""
+"""Linear discriminant reduction fitted from distributed scatter sums.
+
+Up to ``DENSE_WIDTH`` features the driver decomposes a features x features matrix, whatever the number of classes. Wider
+tables are solved by conjugate gradients, whose steps Spark sums over the rows: the driver holds classes x features numbers.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,12 +16,18 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlab.functions.names import quoted
-from flowlab.operators.batches import matrix, packed, upper_triangle
+from flowlab.operators.batches import matrix, packed
+from flowlab.operators.matrices import Layout, gathered, summed, upper_cells
+from flowlab.storage import scratch_path
 
 # Directions whose within-class deviation falls below this are dropped.
 TOLERANCE = 1e-4
-# The driver holds classes x features means and a features x features matrix.
-MAX_MODEL_CELLS = 20_000_000
+#: A matrix of this many features squared fits the driver.
+DENSE_WIDTH = 4096
+#: Class means of more numbers than this stay in a table.
+DRIVER_CELLS = DENSE_WIDTH ** 2
+#: Conjugate gradients end where the squared residual has fallen by this.
+SETTLED = 1e-20
 
 
 def _class_stats(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
@@ -38,40 +48,86 @@ def class_means(df: DataFrame, features: Sequence[str], target: str) -> DataFram
 
 
 def within_scatter(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """``(i, j, v)`` for i <= j: the sums of (x - class mean)(x - class mean)'."""
-    stats = _class_stats(df, features, target).collect()
-    return _scatter_cells(df, features, target, [r[0] for r in stats], np.array([r["means"] for r in stats]))
-
-
-def _scatter_cells(
-    df: DataFrame, features: Sequence[str], target: str, labels: list, means: np.ndarray
-) -> DataFrame:
-    """Sum over all rows of (x - class mean)(x - class mean)', added up per task, then by Spark."""
-    width = len(features)
-    row_of = {label: i for i, label in enumerate(labels)}
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((width, width))
-        for batch in batches:
-            rows = batch.column(0).to_pandas().map(row_of).to_numpy()
-            centred = matrix(batch.column(1), width) - means[rows]
-            total += centred.T @ centred
-        yield upper_triangle(["v"], [total], width)
-
-    rows = df.select(quoted(target), packed([quoted(c) for c in features]))
-    return rows.mapInArrow(partial, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
-
-
-def _within_scatter(
-    df: DataFrame, features: Sequence[str], target: str, labels: list, means: np.ndarray
-) -> np.ndarray:
-    width = len(features)
-    # One row per feature pair.
-    cells = _scatter_cells(df, features, target, labels, means).toPandas()
-    scatter = np.zeros((width, width))
-    scatter[cells["i"], cells["j"]] = cells["v"]
-    scatter[cells["j"], cells["i"]] = cells["v"]
-    return scatter
+    """``(i, j, v)`` for i <= j: the sums of (x - class mean)(x - class mean)'. A table without rows gives none."""
+    layout = _square(len(features))
+    means = _class_stats(df, features, target).select(quoted(target).alias("label"), "means")
+    return upper_cells(_within(_beside_means(df, features, target, means), layout), layout, ["v"])
+
+
+def _square(width: int) -> Layout:
+    return Layout(1, width, width, upper=True)
+
+
+def _beside_means(df: DataFrame, features: Sequence[str], target: str, means: DataFrame) -> DataFrame:
+    """``x, means``: each row next to the means of its class. Spark broadcasts the means if they are few."""
+    rows = df.select(quoted(target).alias("of"), packed([quoted(c) for c in features]).alias("x"))
+    return rows.join(means, F.col("of").eqNullSafe(F.col("label"))).select("x", "means")
+
+
+def _centred(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    return matrix(batch.column("x"), width) - matrix(batch.column("means"), width)
+
+
+def _within(beside: DataFrame, layout: Layout) -> DataFrame:
+    def term(batch: pa.RecordBatch) -> np.ndarray:
+        x = _centred(batch, layout.rows)
+        return (x.T @ x)[None]
+
+    return summed(beside, layout, term)
+
+
+def _between(stats: DataFrame, centre: np.ndarray) -> DataFrame:
+    """Sums over the classes of n (mean - centre)(mean - centre)'."""
+    layout = _square(len(centre))
+
+    def term(batch: pa.RecordBatch) -> np.ndarray:
+        x = matrix(batch.column("means"), layout.rows) - centre
+        return (x.T @ (x * batch.column("n").to_numpy()[:, None]))[None]
+
+    return summed(stats.select("n", "means"), layout, term)
+
+
+def _solved(beside: DataFrame, wanted: np.ndarray, free: float) -> np.ndarray:
+    """The within-class covariance's inverse times ``wanted``, by conjugate gradients.
+
+    Features are scaled to a spread of one, a step is one pass for all columns of ``wanted``. Dependent features do
+    no harm: class means depend on each other as the rows do. Features that have no spread within the classes but tell
+    them apart have no solution and raise.
+    """
+    width, columns = wanted.shape
+    line, layout = Layout(1, width, 1), Layout(1, width, columns)
+    squares = gathered(summed(beside, line, lambda b: np.square(_centred(b, width)).sum(axis=0)[None, :, None]), line)
+    scale = np.sqrt(squares[0] / free)
+    scale[scale == 0] = 1.0
+
+    def times(p: np.ndarray) -> np.ndarray:
+        p = p / scale
+
+        def term(batch: pa.RecordBatch) -> np.ndarray:
+            x = _centred(batch, width)
+            return (x.T @ (x @ p))[None]
+
+        return gathered(summed(beside, layout, term), layout)[0] / scale / free
+
+    x = np.zeros_like(wanted)
+    residual = wanted / scale
+    p, size = residual.copy(), (residual * residual).sum(axis=0)
+    start = size.copy()
+    # Without rounding, as many steps as features end it; far fewer do for features that are not nearly dependent.
+    for _ in range(2 * width):
+        open_ = size > SETTLED * start
+        if not open_.any():
+            return x / scale
+        q = times(p)
+        length = (p * q).sum(axis=0)
+        if (open_ & (length <= 0)).any():
+            break
+        step = np.where(open_, size / np.where(length > 0, length, 1.0), 0.0)
+        x += step * p
+        residual = residual - step * q
+        before, size = size, np.where(open_, (residual * residual).sum(axis=0), 0.0)
+        p = residual + np.where(open_, size / np.where(before > 0, before, 1.0), 0.0) * p
+    raise ValueError("features without spread within the classes tell them apart, or features are nearly dependent")
 
 
 def _constants(values: np.ndarray) -> Column:
@@ -81,6 +137,22 @@ def _constants(values: np.ndarray) -> Column:
     return F.split(F.lit(text), ",").cast("array<double>")
 
 
+def _whitening(within: np.ndarray, rows: int, classes: int) -> np.ndarray:
+    """Axes in which every class has unit spread."""
+    deviation = np.sqrt(np.diag(within) / rows)
+    deviation[deviation == 0] = 1.0
+    spread, turn = np.linalg.eigh(within / np.outer(deviation, deviation) / (rows - classes))
+    size = np.sqrt(np.clip(spread, 0.0, None))
+    kept = np.flatnonzero(size > TOLERANCE)[::-1]
+    return (turn[:, kept] / size[kept]) / deviation[:, None]
+
+
+def _spread(square: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Roots of the eigenvalues, the largest first, and their vectors."""
+    values, vectors = np.linalg.eigh((square + square.T) / 2)
+    return np.sqrt(np.clip(values[::-1], 0.0, None)), vectors[:, ::-1]
+
+
 @dataclass(frozen=True)
 class DiscriminantModel:
     """Projection onto the directions that separate the classes best."""
@@ -92,47 +164,70 @@ class DiscriminantModel:
     ratios: np.ndarray
 
     @classmethod
-    def fit(cls, df: DataFrame, target: str, features: Sequence[str] | None = None) -> DiscriminantModel:
+    def fit(
+        cls, df: DataFrame, target: str, features: Sequence[str] | None = None, dense_width: int = DENSE_WIDTH,
+        driver_cells: int = DRIVER_CELLS,
+    ) -> DiscriminantModel:
         """Fit on the rows of ``df``; every other column is a feature unless listed.
 
-        Two passes over the data; the driver only sees the class means and one
-        features x features matrix. Labels and features must be known.
+        Labels and features must be known. Two passes over the data for up to ``dense_width`` features, else a pass for each
+        step of conjugate gradients over a copy of the rows. Only tables with more features than that and more than
+        ``driver_cells`` class means are refused: their axes would not fit either.
         """
         features = [c for c in df.columns if c != target] if features is None else list(features)
         width = len(features)
-        limit = MAX_MODEL_CELLS // width - width
-        stats = _class_stats(df, features, target).limit(limit + 1).collect() if limit > 0 else []
-        if not 0 < len(stats) <= limit:
-            raise ValueError(f"{len(stats)} classes and {width} features cannot be modelled")
-        if any(r[0] is None or not np.isfinite(r["means"]).all() for r in stats):
+        stats = _class_stats(df, features, target).select(quoted(target).alias("label"), "n", "means")
+        found = stats.limit(driver_cells // width + 1).collect()
+        if many := len(found) * width > driver_cells:
+            path = scratch_path(df.sparkSession, "class-means")
+            stats.write.parquet(path)
+            stats = df.sparkSession.read.schema(stats.schema).parquet(path)
+        wild = F.exists("means", lambda v: F.isnan(v) | (F.abs(v) == float("inf")))
+        unknown = stats.filter(F.col("label").isNull() | wild).limit(1).count() if many else any(
+            r.label is None or not np.isfinite(r.means).all() for r in found
+        )
+        if unknown:
             raise ValueError("labels and features must be known and finite")
-        stats.sort(key=lambda r: r[0])
-        labels = [r[0] for r in stats]
-        sizes = np.array([r["n"] for r in stats], dtype=float)
-        means = np.array([r["means"] for r in stats])
-        rows, classes = sizes.sum(), len(labels)
+        if many and width > dense_width:
+            raise ValueError(f"the means of the classes in {width} features are more than {driver_cells} numbers")
+        classes, rows = stats.agg(F.count(F.lit(1)), F.sum("n")).first() if many else (len(found), sum(r.n for r in found))
         if classes < 2 or rows <= classes:
             raise ValueError("need at least two classes and more rows than classes")
-
-        within = _within_scatter(df, features, target, labels, means)
-        deviation = np.sqrt(np.diag(within) / rows)
-        deviation[deviation == 0] = 1.0
-        # Whiten: in the new axes every class has unit spread.
-        spread, turn = np.linalg.eigh(within / np.outer(deviation, deviation) / (rows - classes))
-        size = np.sqrt(np.clip(spread, 0.0, None))
-        kept = np.flatnonzero(size > TOLERANCE)[::-1]
-        whiten = (turn[:, kept] / size[kept]) / deviation[:, None]
-        # Then turn towards the largest spread of the class means.
-        priors = sizes / rows
-        centre = priors @ means
-        weights = np.sqrt(rows * priors / (classes - 1))
-        _, lengths, directions = np.linalg.svd((weights[:, None] * (means - centre)) @ whiten, full_matrices=False)
+        if many:
+            line = Layout(1, width, 1)
+            totals = summed(
+                stats.select("n", "means"), line,
+                lambda b: (b.column("n").to_numpy() @ matrix(b.column("means"), width))[None, :, None],
+            )
+            centre = gathered(totals, line)[0, :, 0] / rows
+        else:
+            found.sort(key=lambda r: r.label)
+            priors = np.array([r.n for r in found]) / rows
+            means = np.array([r.means for r in found])
+            centre = priors @ means
+            # Rows whose outer products sum to the between-class covariance.
+            offsets = np.sqrt(rows * priors / (classes - 1))[:, None] * (means - centre)
+            stats = df.sparkSession.createDataFrame([(r.label, r.means) for r in found], stats.select("label", "means").schema)
+        beside = _beside_means(df, features, target, stats.select("label", "means"))
+        if width > dense_width:
+            path = scratch_path(df.sparkSession, "centred")
+            schema = beside.schema
+            beside.write.parquet(path)
+            solution = _solved(df.sparkSession.read.schema(schema).parquet(path), offsets.T, rows - classes)
+            lengths, axes = _spread(offsets @ solution)
+            axes = solution @ np.divide(axes, lengths, out=np.zeros_like(axes), where=lengths > 0)
+        else:
+            whiten = _whitening(gathered(_within(beside, _square(width)), _square(width))[0], rows, classes)
+            if many:
+                between = gathered(_between(stats, centre), _square(width))[0] / (classes - 1)
+                lengths, directions = _spread(whiten.T @ between @ whiten)
+            else:
+                _, lengths, directions = np.linalg.svd(offsets @ whiten, full_matrices=False)
+                directions = directions.T
+            axes = whiten @ directions
         most = min(classes - 1, width)
         rank = min(most, int(np.sum(lengths > TOLERANCE * lengths[0])))
-        return cls(
-            features, target, centre, whiten @ directions.T[:, :rank],
-            (lengths**2 / np.sum(lengths**2))[:most],
-        )
+        return cls(features, target, centre, axes[:, :rank], (lengths**2 / np.sum(lengths**2))[:most])
 
     @property
     def max_components(self) -> int:

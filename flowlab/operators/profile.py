@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlab.functions.names import quoted
 from flowlab.functions.numbers import as_double, finite, is_numeric
 from flowlab.operators.balance import class_counts
-from flowlab.operators.batches import matrix, packed, upper_triangle
+from flowlab.operators.batches import matrix, packed
+from flowlab.operators.matrices import Layout, summed, upper_cells
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -134,34 +134,11 @@ def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def pair_moments(rows: DataFrame, width: int) -> DataFrame:
     """``i, j`` and ``MOMENTS`` of all pairs in a packed column.
 
-    A task joins its batches and gives one row per pair; what tasks give is joined pair by pair, a few
-    numbers for each task.
+    A task joins its batches; what tasks give is joined band by band in levels.
     """
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(MOMENTS), width, width))
-        for batch in batches:
-            if batch.num_rows:
-                total = _joined(total, _pair_moments(matrix(batch.column(0), width)))
-        if total[0].any():
-            yield upper_triangle(MOMENTS, total, width)
-
-    parts = rows.mapInArrow(partial, "i int, j int, " + ", ".join(f"{c} double" for c in MOMENTS))
-    zero = F.struct(*[F.lit(0.0).alias(c) for c in MOMENTS])
-
-    def join(a: Column, b: Column) -> Column:
-        n = a["n"] + b["n"]
-        share = F.when(n > 0, b["n"] / n).otherwise(0.0)
-        both, dx, dy = a["n"] * share, b["mx"] - a["mx"], b["my"] - a["my"]
-        return F.struct(
-            n.alias("n"), F.when(a["n"] > 0, a["mx"] + dx * share).otherwise(b["mx"]).alias("mx"),
-            F.when(a["n"] > 0, a["my"] + dy * share).otherwise(b["my"]).alias("my"),
-            (a["sxx"] + b["sxx"] + dx * dx * both).alias("sxx"), (a["syy"] + b["syy"] + dy * dy * both).alias("syy"),
-            (a["sxy"] + b["sxy"] + dx * dy * both).alias("sxy"), (a["wild"] + b["wild"]).alias("wild"),
-        )
-
-    # Sorted, so that the order in which tasks end does not show in the last digits.
-    listed = F.sort_array(F.collect_list(F.struct(*MOMENTS)))
-    return parts.groupBy("i", "j").agg(F.aggregate(listed, zero, join).alias("m")).select("i", "j", "m.*")
+    layout = Layout(len(MOMENTS), width, width, upper=True)
+    parts = summed(rows, layout, lambda batch: _pair_moments(matrix(batch.column(0), width)), _joined)
+    return upper_cells(parts, layout, MOMENTS)
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from flowlab.operators import matrices
 from flowlab.operators.discriminant import DiscriminantModel, class_means, lda_variance_ratio
 from flowlab.operators.scale import MinMaxModel, minmax_scale
 
@@ -105,3 +106,37 @@ def test_fewer_axes_than_asked(spark):
     model = DiscriminantModel.fit(df, "y")
     assert model.max_components == 2 and model.transform(df, 2).columns[-1] == "y"
     assert model.explained_variance()[-1][1] == pytest.approx(1.0)
+
+
+def test_wide_and_many_classes_equal_the_dense_solution(spark, frame):
+    """Conjugate gradients, and class means that stay in a table, give the dense ratios and axes."""
+    both = spark.createDataFrame(frame.assign(twice=2 * frame["x1"])).repartition(5)
+    dense = DiscriminantModel.fit(both, "y")
+    for limits in ({"dense_width": 2}, {"driver_cells": 8}):
+        other = DiscriminantModel.fit(both, "y", **limits)
+        assert np.allclose(other.ratios, dense.ratios) and np.allclose(other.centre, dense.centre)
+        x = frame.assign(twice=2 * frame["x1"])[dense.features].to_numpy()
+        assert np.allclose(np.abs((x - other.centre) @ other.axes), np.abs((x - dense.centre) @ dense.axes), atol=1e-6)
+    with pytest.raises(ValueError, match="numbers"):
+        DiscriminantModel.fit(both, "y", dense_width=2, driver_cells=8)
+    with pytest.raises(ValueError, match="tell them apart"):
+        DiscriminantModel.fit(both.selectExpr("*", "cast(y = 1 as double) as tells"), "y", dense_width=2)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_matrices_merge_in_levels(spark, parts):
+    x = np.arange(60 * 7, dtype=float).reshape(60, 7) % 11
+    rows = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").repartition(parts)
+    layout = matrices.Layout(1, 7, 7, upper=True, band_bytes=120)
+
+    def term(batch):
+        m = batch.column(0).flatten().to_numpy().reshape(-1, 7)
+        return (m.T @ m)[None]
+
+    found = matrices.summed(rows, layout, term)
+    assert found.select("part").distinct().count() == 1
+    assert np.allclose(matrices.gathered(found, layout)[0], x.T @ x)
+    cells = {(r.i, r.j): r.v for r in matrices.upper_cells(found, layout, ["v"]).collect()}
+    assert cells == {(i, j): (x.T @ x)[i, j] for i in range(7) for j in range(i, 7)}
+    none = matrices.summed(rows.filter("false"), layout, term)
+    assert none.count() == 0 and not matrices.gathered(none, layout).any()
