@@ -1,5 +1,5 @@
 """Matrices added up over tasks. A task packs its sums into bands of bounded size; bands of the same place are merged in levels
-of ``FAN_IN``, so that no task and not the driver gathers what all tasks gave, however many there are."""
+of ``FAN_IN``, so that no task and not the driver gathers what all tasks gave, unless it is known to be small."""
 
 from __future__ import annotations
 
@@ -15,6 +15,8 @@ from flowlab.storage import scratch_path
 
 BAND_BYTES = 1 << 20
 FAN_IN = 16
+#: What tasks gave is joined on the driver if it is no more than this, which is read off before.
+DRIVER_BYTES = 16 << 20
 
 PARTS = "part int, band int, data binary"
 _SCHEMA = pa.schema([("part", pa.int32()), ("band", pa.int32()), ("data", pa.binary())])
@@ -47,7 +49,7 @@ class Layout:
 
 def summed(
     rows: DataFrame, layout: Layout, term: Callable[[pa.RecordBatch], np.ndarray],
-    join: Callable[[np.ndarray, np.ndarray], np.ndarray] = np.add,
+    join: Callable[[np.ndarray, np.ndarray], np.ndarray] = np.add, driver_bytes: int = DRIVER_BYTES,
 ) -> DataFrame:
     """``part, band, data`` with one part: ``term`` of all batches, joined. A table without rows gives none.
 
@@ -76,7 +78,13 @@ def summed(
     path = scratch_path(spark, "bands")
     rows.mapInArrow(partial, PARTS).write.parquet(path)
     parts = spark.read.schema(PARTS).parquet(path)
-    last = parts.agg(F.max("part")).first()[0] or 0
+    last, size = parts.agg(F.max("part"), F.sum(F.octet_length("data"))).first()
+    if (size or 0) <= driver_bytes:
+        totals: dict[int, np.ndarray] = {}
+        for row in sorted(parts.collect(), key=lambda r: r.part):
+            found = layout.band(row.band, row.data)
+            totals[row.band] = join(totals[row.band], found) if row.band in totals else found
+        return spark.createDataFrame([(0, k, bytearray(v.tobytes())) for k, v in totals.items()], PARTS)
     while last > 0:
         parts = parts.groupBy((F.col("part") / FAN_IN).cast("int"), "band").applyInArrow(joined, PARTS)
         last //= FAN_IN

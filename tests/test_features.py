@@ -123,8 +123,8 @@ def test_wide_and_many_classes_equal_the_dense_solution(spark, frame):
         DiscriminantModel.fit(both.selectExpr("*", "cast(y = 1 as double) as tells"), "y", dense_width=2)
 
 
-@pytest.mark.parametrize("parts", [1, 3, 40])
-def test_matrices_merge_in_levels(spark, parts):
+@pytest.mark.parametrize("parts, driver_bytes", [(1, 0), (3, 0), (40, 0), (3, 1 << 20)])
+def test_matrices_merge_in_levels(spark, parts, driver_bytes):
     x = np.arange(60 * 7, dtype=float).reshape(60, 7) % 11
     rows = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").repartition(parts)
     layout = matrices.Layout(1, 7, 7, upper=True, band_bytes=120)
@@ -133,10 +133,10 @@ def test_matrices_merge_in_levels(spark, parts):
         m = batch.column(0).flatten().to_numpy().reshape(-1, 7)
         return (m.T @ m)[None]
 
-    found = matrices.summed(rows, layout, term)
+    found = matrices.summed(rows, layout, term, driver_bytes=driver_bytes)
     assert found.select("part").distinct().count() == 1
     assert np.allclose(matrices.gathered(found, layout)[0], x.T @ x)
     cells = {(r.i, r.j): r.v for r in matrices.upper_cells(found, layout, ["v"]).collect()}
     assert cells == {(i, j): (x.T @ x)[i, j] for i in range(7) for j in range(i, 7)}
-    none = matrices.summed(rows.filter("false"), layout, term)
+    none = matrices.summed(rows.filter("false"), layout, term, driver_bytes=driver_bytes)
     assert none.count() == 0 and not matrices.gathered(none, layout).any()
