@@ -84,7 +84,7 @@ def summed(
         for row in sorted(parts.collect(), key=lambda r: r.part):
             found = layout.band(row.band, row.data)
             totals[row.band] = join(totals[row.band], found) if row.band in totals else found
-        return spark.createDataFrame([(0, k, bytearray(v.tobytes())) for k, v in totals.items()], PARTS)
+        return spark.createDataFrame([(0, k, bytearray(v.tobytes())) for k, v in totals.items()], PARTS).coalesce(1)
     while last > 0:
         parts = parts.groupBy((F.col("part") / FAN_IN).cast("int"), "band").applyInArrow(joined, PARTS)
         last //= FAN_IN
