@@ -1,7 +1,8 @@
 """Training rows as blocks of NumPy arrays, for trainers that pass over all rows many times.
 
 A block is cut inside its task and written to the shared folder first: its rows, and so the random choices that are seeded
-by it, stay the same when a lost executor's blocks are read again. Partitions follow the number of rows.
+by it, stay the same when a lost executor's blocks are read again. Blocks are dealt out evenly, to as many tasks as their
+rows are worth and the cluster has cores, however few files the table came in.
 """
 
 from __future__ import annotations
@@ -23,22 +24,25 @@ from flowlab.storage import scratch_path
 
 BLOCK_ROWS = 1 << 14
 #: Rows of a partition at least, as far as there are as many.
-TASK_ROWS = 1 << 15
+TASK_ROWS = 1 << 13
 
 
 #: ``x``: rows x features, missing values as NaN; ``y``: classes; a checksum to seed random choices.
 Block = tuple[np.ndarray, np.ndarray, int]
 
 
-def training_blocks(df: DataFrame, features: Sequence[str], label: str) -> tuple[RDD, int]:
-    """The labelled rows as an RDD of blocks, and their number. Rows without a label are left out."""
+def training_blocks(
+    df: DataFrame, features: Sequence[str], label: str, block_rows: int = BLOCK_ROWS, side_by_side: int = 1
+) -> tuple[RDD, int]:
+    """The labelled rows as an RDD of blocks, and their number. Rows without a label are left out. So many fits that run
+    ``side_by_side`` share the cores: each gets fewer and larger tasks."""
     spark, width = df.sparkSession, len(features)
     rows = df.select(packed([quoted(c) for c in features]).alias("x"), quoted(label).cast("int").alias("y")).filter("y is not null")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(at, BLOCK_ROWS)
+            for at in range(0, batch.num_rows, block_rows):
+                part = batch.slice(at, block_rows)
                 x = np.ascontiguousarray(matrix(part.column("x"), width))
                 y = part.column("y").to_numpy(zero_copy_only=False).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -50,14 +54,16 @@ def training_blocks(df: DataFrame, features: Sequence[str], label: str) -> tuple
     schema = "n long, x binary, y binary"
     rows.mapInArrow(cut, schema).write.parquet(path)
     table = spark.read.schema(schema).parquet(path)
-    total = table.agg(F.sum("n")).first()[0] or 0
+    row = table.agg(F.sum("n"), F.count("*")).first()
+    total = row[0] or 0
+    cores = max(1, spark.sparkContext.defaultParallelism // side_by_side)
+    tasks = max(1, min(cores, row[1], -(-total // (TASK_ROWS * side_by_side))))
 
     def block(row) -> Block:
         x, y = np.frombuffer(row.x, np.float64), np.frombuffer(row.y, np.int32)
         return x.reshape(row.n, width), y, zlib.crc32(row.x, zlib.crc32(row.y))
 
-    found = table.rdd
-    return found.coalesce(max(1, min(found.getNumPartitions(), -(-total // TASK_ROWS)))).map(block), total
+    return table.repartition(tasks).rdd.map(block), total
 
 
 def scored_columns(df: DataFrame, features: Sequence[str], scorer: Callable[[np.ndarray], np.ndarray]) -> DataFrame:

@@ -1,8 +1,9 @@
 """Feed-forward nets trained by back-propagation over all rows.
 
-Loss and gradient of the whole table are one job: each task sums those of its rows and the sums are merged in levels. The
-driver, which holds the weights and a short history of them, takes L-BFGS steps. What travels depends on the size of the
-net, never on the rows.
+Loss and gradient of the whole table are one job: each task sums those of its rows and cuts the sums into slices, which
+are added up slice by slice in as many tasks. The driver, which holds the weights and a short history of them, receives
+one sum whatever the number of tasks, and takes L-BFGS steps. What travels depends on the size of the net, never on the
+rows.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.util import MLReadable, MLWritable
 from pyspark.sql import DataFrame, functions as F
@@ -41,14 +42,18 @@ Weights = list[np.ndarray]
 
 def activated(kind: str, z: np.ndarray) -> np.ndarray:
     if kind == "elu":
-        return np.where(z > 0, z, np.expm1(np.minimum(z, 0)))
-    return np.where(z > 0, z, (LEAK if kind == "leaky" else 0) * z)
+        low = np.minimum(z, 0)
+        np.exp(low, out=low)  # a few times as fast as expm1, and as good to the last bit of 1
+        low -= 1
+        return np.maximum(z, 0) + low
+    return np.maximum(z, 0) if kind == "relu" else np.maximum(z, LEAK * z)
 
 
 def slope(kind: str, z: np.ndarray) -> np.ndarray:
     if kind == "elu":
-        return np.where(z > 0, 1, np.exp(np.minimum(z, 0)))
-    return np.where(z > 0, 1, LEAK if kind == "leaky" else 0)
+        low = np.minimum(z, 0)
+        return np.exp(low, out=low)
+    return np.where(z > 0, 1, LEAK if kind == "leaky" else 0).astype(z.dtype)
 
 
 def start(layers: Sequence[int], seed: int) -> Weights:
@@ -97,8 +102,29 @@ def _task_sums(blocks: Iterator[Block], weights: Weights, kind: str, centre: np.
     yield loss, total
 
 
-def _added(a: tuple[float, Weights], b: tuple[float, Weights]) -> tuple[float, Weights]:
-    return a[0] + b[0], [x + y for x, y in zip(a[1], b[1])]
+def added_slices(sums: RDD) -> RDD:
+    """``slice, sum`` of the ``loss, gradients`` that every task holds: all tasks' sums as one vector, loss first, cut into
+    as many slices as there are tasks. A slice is added up in the order of the tasks, so that its sum is repeatable."""
+    tasks = sums.getNumPartitions()
+
+    def cut(task: int, part: Iterator[tuple[float, Weights]]) -> Iterator[tuple[int, tuple[int, np.ndarray]]]:
+        for loss, found in part:
+            flat = np.concatenate([[loss], *[g.ravel() for g in found]])
+            for i, values in enumerate(np.array_split(flat, tasks)):
+                yield i, (task, values)
+
+    def added(part: Iterator[tuple[int, tuple[int, np.ndarray]]]) -> Iterator[tuple[int, np.ndarray]]:
+        held: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for i, piece in part:
+            held.setdefault(i, []).append(piece)
+        for i, pieces in held.items():
+            total = np.zeros(len(pieces[0][1]))
+            for _, values in sorted(pieces, key=lambda p: p[0]):
+                total += values
+            yield i, total
+
+    cuts = sums.mapPartitionsWithIndex(cut)
+    return (cuts.partitionBy(tasks, int) if tasks > 1 else cuts).mapPartitions(added)
 
 
 def _require_known(x: np.ndarray) -> np.ndarray:
@@ -170,7 +196,7 @@ class FeedForwardNet(Estimator):
     def _fit(self, dataset: DataFrame) -> NetModel:
         scratch_root(dataset.sparkSession)
         labelled = dataset.filter(quoted(self.label).isNotNull())
-        blocks, total = training_blocks(labelled, self.features, self.label)
+        blocks, total = training_blocks(labelled, self.features, self.label, CHUNK_ROWS)
         if not total:
             raise ValueError("no labelled rows to train on")
         named = [quoted(c).cast("double") for c in self.features]
@@ -197,9 +223,9 @@ class FeedForwardNet(Estimator):
         def measured(flat: np.ndarray) -> tuple[float, np.ndarray]:
             held = context.broadcast(shaped(flat))
             sums = blocks.mapPartitions(lambda part: _task_sums(part, held.value, kind, centre, scale))
-            loss, found = sums.treeReduce(_added) if blocks.getNumPartitions() > 1 else sums.collect()[0]
+            flat = np.concatenate([values for _, values in sorted(added_slices(sums).collect(), key=lambda p: p[0])])
             held.unpersist()
-            return loss / total, np.concatenate([g.ravel() for g in found]) / total
+            return float(flat[0]) / total, flat[1:] / total
 
         at, losses = descended(measured, np.concatenate([w.ravel() for w in weights]), self.steps)
         return shaped(at), losses

@@ -173,6 +173,31 @@ def test_gradients_add_up_over_tasks(points, monkeypatch):
     assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(one.weights, many.weights))
 
 
+def test_rows_of_one_file_are_dealt_to_all_cores(points, monkeypatch):
+    monkeypatch.setattr(blocks, "TASK_ROWS", 10)
+    found, total = blocks.training_blocks(points.coalesce(1), ["a", "b"], "y", 5)
+    rows = found.map(lambda b: len(b[1])).glom().map(sum).collect()
+    assert total == sum(rows) == 180 and len(rows) == found.context.defaultParallelism and max(rows) < 60
+    shared, _ = blocks.training_blocks(points.coalesce(1), ["a", "b"], "y", 5, side_by_side=4)
+    assert shared.getNumPartitions() == found.context.defaultParallelism // 4
+
+
+def test_driver_gets_one_sum_of_any_number_of_tasks(spark):
+    weights = [np.arange(7.0).reshape(7, 1), np.ones(3)]
+    tasks = spark.sparkContext.parallelize(range(9), 9).map(lambda i: (float(i), [i * w for w in weights]))
+    parts = sorted(nets.added_slices(tasks).collect(), key=lambda p: p[0])
+    assert [i for i, _ in parts] == list(range(9)) and sum(len(v) for _, v in parts) == 11
+    assert np.concatenate([v for _, v in parts]).tolist() == [36.0, *(36 * np.arange(7.0)), 36.0, 36.0, 36.0]
+
+
+@pytest.mark.parametrize("kind", ["relu", "leaky", "elu"])
+def test_products_stay_in_single_precision(kind):
+    weights = [w.astype(np.float32) for w in nets.start([4, 6, 5, 3], 1)]
+    x = np.random.default_rng(3).normal(size=(9, 4)).astype(np.float32)
+    _, found = nets.loss_and_gradients(weights, kind, x, np.arange(9) % 3)
+    assert {g.dtype for g in found} == {np.dtype(np.float32)}
+
+
 def test_draws_stay_in_range_and_repeat():
     draws = [draw_params(random.Random(i)) for i in range(50)]
     for p in draws:
