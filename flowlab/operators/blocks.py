@@ -25,6 +25,8 @@ from flowlab.storage import scratch_path
 BLOCK_ROWS = 1 << 14
 #: Rows of a partition at least, as far as there are as many.
 TASK_ROWS = 1 << 13
+#: The same where several fits keep the cores busy between them.
+SHARED_TASK_ROWS = 1 << 17
 
 
 #: ``x``: rows x features, missing values as NaN; ``y``: classes; a checksum to seed random choices.
@@ -57,7 +59,7 @@ def training_blocks(
     row = table.agg(F.sum("n"), F.count("*")).first()
     total = row[0] or 0
     cores = max(1, spark.sparkContext.defaultParallelism // side_by_side)
-    tasks = max(1, min(cores, row[1], -(-total // (TASK_ROWS * side_by_side))))
+    tasks = max(1, min(cores, row[1], -(-total // (TASK_ROWS if side_by_side == 1 else SHARED_TASK_ROWS))))
 
     def block(row) -> Block:
         x, y = np.frombuffer(row.x, np.float64), np.frombuffer(row.y, np.int32)

@@ -145,7 +145,7 @@ def tune_boosted(
             train, test = change(train), change(test)
         path = scratch_path(spark, "fold")
         test.select(*[quoted(c) for c in [*features, label]]).write.parquet(path)
-        return BoostedData.of(train, features, label), spark.read.parquet(path)
+        return BoostedData.of(train, features, label, side_by_side=parallelism), spark.read.parquet(path)
 
     with ThreadPool(parallelism) as pool:
         folds = pool.map(sides, range(k))

@@ -106,6 +106,39 @@ def test_histogram_trees_equal_plain_ones(spark, monkeypatch):
     assert np.allclose(models[0].margins(x), margins, atol=1e-9)
 
 
+@pytest.mark.parametrize("tasks", [1, 4])
+def test_trees_grown_in_one_task_equal_those_of_levels(points, monkeypatch, tasks):
+    params = BoostedParams(trees=4, depth=4, min_child=0.4, subsample=0.8, colsample=0.5)
+    data = boosting.BoostedData.of(points.repartition(4), ["a", "b"], "y", 12)
+    jobs, whole, grown = [], [], boosting.grown
+
+    def counted(states, *args):
+        tracker = states.context.statusTracker()
+        states.context.setJobGroup("grown", "grown")
+        before = len(tracker.getJobIdsForGroup("grown"))
+        trees = grown(states, *args)
+        jobs.append(len(tracker.getJobIdsForGroup("grown")) - before)
+        return trees
+
+    monkeypatch.setattr(boosting, "grown", counted)
+    for rows in (0, 30, 1 << 17):
+        monkeypatch.setattr(boosting, "LOCAL_ROWS", rows)
+        whole.append(fit_rounds(data.blocks.repartition(tasks), data.edges, 3, params, 4))
+    for other in whole[1:]:
+        for name in ("feature", "cut", "value"):
+            assert all(np.array_equal(getattr(a, name), getattr(b, name)) for a, b in zip(whole[0], other))
+    assert (np.array([t.feature for t in whole[0]]) >= 0).sum() > 20
+    # Levels, levels and subtrees, subtrees alone: one job a round.
+    assert min(jobs[:4]) > 2 and jobs[8:] == [1] * 4
+
+
+def test_nodes_are_dealt_evenly():
+    sizes = [5, 1, 4, 2, 2, 1]
+    assert sorted(np.bincount(boosting.dealt(sizes, 3), sizes)) == [5, 5, 5]
+    place = boosting.dealt([100] + [1] * 50, 4)
+    assert place.count(place[0]) == 1
+
+
 def test_missing_values_and_columns_of_one_value(spark):
     rows = [(None if i % 3 == 0 else float(i % 3), 5.0, None, i % 3) for i in range(90)] + [(1.0, 5.0, None, None)]
     df = spark.createDataFrame(rows, "a double, b double, c double, y int")
@@ -178,6 +211,7 @@ def test_rows_of_one_file_are_dealt_to_all_cores(points, monkeypatch):
     found, total = blocks.training_blocks(points.coalesce(1), ["a", "b"], "y", 5)
     rows = found.map(lambda b: len(b[1])).glom().map(sum).collect()
     assert total == sum(rows) == 180 and len(rows) == found.context.defaultParallelism and max(rows) < 60
+    monkeypatch.setattr(blocks, "SHARED_TASK_ROWS", 10)
     shared, _ = blocks.training_blocks(points.coalesce(1), ["a", "b"], "y", 5, side_by_side=4)
     assert shared.getNumPartitions() == found.context.defaultParallelism // 4
 
