@@ -11,21 +11,23 @@ third of all rows is many small tasks. Every row is in the index; only the step
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from flowlab.operators.batches import matrix
 from flowlab.operators.neighbours import TILE_ROWS, _distances, _matrix, _Sides, exact_neighbours, tiled_candidates
 
 #: Rows from which the width of a step is fitted, picked by the hash of their ids.
 SAMPLE_ROWS = 2000
 #: Steps are this many times as wide as the distance to the k-th neighbour.
 STEP_SHARE = 3.5
-CHUNK_ROWS = 1024
+#: Pairs of a row and a bucket that leave a task at a time; each holds a copy of the vector.
+CHUNK_PAIRS = 1 << 13
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -89,6 +91,18 @@ def fitted_step(known: DataFrame, k: int) -> float:
     return STEP_SHARE * typical if typical > 0 else 1.0
 
 
+def keyed_rows(part: pa.RecordBatch, keys_of: Callable[[np.ndarray], np.ndarray], bins: int) -> pa.RecordBatch:
+    """Each row once for each of its different buckets, with the bucket's ``key`` and ``bin``. All vectors have one width."""
+    points = matrix(part.column("x"), len(part.column("x")[0]))
+    keys = np.sort(keys_of(points).reshape(len(points), -1), axis=1)
+    new = np.ones(keys.shape, bool)
+    new[:, 1:] = keys[:, 1:] != keys[:, :-1]
+    row, key = np.nonzero(new)[0], keys[new]
+    out = part.take(pa.array(row))
+    columns = [*out.columns, pa.array(key), pa.array((key % bins).astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "key", "bin"])
+
+
 def approximate_neighbours(
     sides: _Sides, k: int, tables: int, hashes: int, probes: int, seed: int, tile_rows: int
 ) -> DataFrame:
@@ -97,23 +111,21 @@ def approximate_neighbours(
     bins = -(-sides.rows * tables // tile_rows)
     names = sides.names
 
-    def spread(columns: Sequence[str], keys_of) -> object:
-        def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def spread(each: int, keys_of) -> object:
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, len(batch), CHUNK_ROWS):
-                    part = batch.iloc[at:at + CHUNK_ROWS]
-                    keys = keys_of(_matrix(part["x"])).reshape(len(part), -1)
-                    row = np.repeat(np.arange(len(part)), keys.shape[1])
-                    yield part.iloc[row][list(columns)].assign(key=keys.ravel(), bin=(keys.ravel() % bins).astype("int32"))
+                step = max(1, CHUNK_PAIRS // each)
+                for at in range(0, batch.num_rows, step):
+                    yield keyed_rows(batch.slice(at, step), keys_of, bins)
 
         return send
 
-    placed = sides.known.mapInPandas(
-        spread(("id", "label", "x"), held.keys), f"id {names.id_type}, label {names.label_type}, x array<double>, key long, bin int"
+    placed = sides.known.mapInArrow(
+        spread(tables, held.keys), f"id {names.id_type}, label {names.label_type}, x array<double>, key long, bin int"
     )
-    sent = sides.asked.mapInPandas(
-        spread(("q", "x"), lambda points: held.probes(points, probes)), f"q {names.query_type}, x array<double>, key long, bin int"
-    ).dropDuplicates(["q", "key"]).withColumn("bound", F.lit(float("inf")))
+    sent = sides.asked.mapInArrow(
+        spread(tables * (probes + 1), lambda points: held.probes(points, probes)), f"q {names.query_type}, x array<double>, key long, bin int"
+    ).withColumn("bound", F.lit(float("inf")))
     # At most as many rows as there are bins, one for each ``tile_rows`` rows of the index.
     sizes = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("rows")).toPandas()
     found = tiled_candidates(sent, placed, sizes, k, names, tile_rows, keyed=True)

@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowlab.functions.names import quoted
 from flowlab.storage import checkpointed
 
-BROADCAST_BYTES = 64 << 20
+# Every Python worker of an executor holds a broadcast table of its own.
+BROADCAST_BYTES = 16 << 20
 # Distances held at a time, rows per tile side, rows of a cell on average.
-SLICE_CELLS = 1 << 21
+SLICE_CELLS = 1 << 19
 TILE_ROWS = 1 << 15
 CELL_ROWS = 1 << 10
 # The pivots travel to every task: beyond these bytes cells grow instead of their number.
@@ -81,10 +82,12 @@ class _Columns:
         return f"q {self.query_type}, distance double, id {self.id_type}, label {self.label_type}"
 
 
-def _candidates(queries: pd.DataFrame, train: pd.DataFrame, k: int) -> Iterator[tuple[np.ndarray, pd.DataFrame]]:
+def _candidates(
+    queries: pd.DataFrame, train: pd.DataFrame, k: int, points: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, pd.DataFrame]]:
     """The k nearest training rows of each query, given as columns q/x and id/label/x sorted by id, and the place of the
-    query of each."""
-    for row, col, distance in nearest(_matrix(queries["x"]), _matrix(train["x"]), k):
+    query of each. ``points`` are the training vectors, if they do not come as the column x."""
+    for row, col, distance in nearest(_matrix(queries["x"]), _matrix(train["x"]) if points is None else points, k):
         yield row, pd.DataFrame({
             "q": queries["q"].to_numpy()[row], "distance": distance,
             "id": train["id"].to_numpy()[col], "label": train["label"].to_numpy()[col],
@@ -98,11 +101,12 @@ def _usable(vector: Column) -> Column:
 
 def _by_broadcast(train: DataFrame, queries: DataFrame, k: int, names: _Columns) -> DataFrame:
     rows = train.toArrow().to_pandas().sort_values("id", kind="stable", ignore_index=True)
-    table = train.sparkSession.sparkContext.broadcast(rows)
+    # The vectors as one matrix: no batch of queries copies them again.
+    table = train.sparkSession.sparkContext.broadcast((rows.drop(columns="x"), _matrix(rows["x"])))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield from (found for _, found in _candidates(batch, table.value, k))
+            yield from (found for _, found in _candidates(batch, table.value[0], k, table.value[1]))
 
     return queries.mapInPandas(score, names.candidates)
 

@@ -1,7 +1,9 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
+from flowlab.operators import approximate
 from flowlab.operators.approximate import Tables, approximate_neighbours, knn_approximate
 from flowlab.operators.neighbours import _Sides, knn_classify, nearest
 from flowlab.operators.split import train_test
@@ -71,3 +73,31 @@ def test_probes_are_buckets_next_door():
     hit = [[(tables.keys(m) == own[None, :, 0]).mean(), np.mean([np.isin(key, own[t]).mean() for t, key in enumerate(tables.keys(m).T)])] for m, own in zip(moved, probes)]
     alone, probed = np.mean(hit, axis=0)
     assert probed > alone
+
+
+def test_rows_leave_a_task_a_few_at_a_time_and_once_a_bucket(spark):
+    """A query looks into hundreds of buckets; what it sends is cut by pairs, and a bucket that comes twice counts once."""
+    x = np.random.default_rng(2).normal(size=(50, 8))
+    part = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(list(x))], names=["q", "x"])
+    found = approximate.keyed_rows(part, lambda p: np.array([[7, -3, 7, 5]] * len(p)), 4).to_pydict()
+    assert found["q"][:4] == [0, 0, 0, 1] and found["key"][:3] == [-3, 5, 7] and found["bin"][:3] == [1, 1, 3]
+    assert np.allclose(found["x"][3], x[1]) and len(found["q"]) == 150
+    rows = spark.createDataFrame([(i, i % 3, v.tolist()) for i, v in enumerate(x)], "id long, y int, x array<double>")
+    sides = _Sides.of(rows, rows, "x", "y", "id", None)
+    sizes, keyed = [], approximate.keyed_rows
+    for chunk in (1, 100, 1 << 13):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(approximate, "CHUNK_PAIRS", chunk)
+            sizes.append(sorted(approximate_neighbours(sides, 3, 4, 4, 10, 2, 1000).select("q", "id").collect()))
+    assert sizes[0] == sizes[1] == sizes[2] and len(sizes[0]) >= 50
+
+
+def test_broadcast_vectors_are_not_copied_for_each_batch(spark, monkeypatch):
+    x = np.random.default_rng(3).normal(size=(40, 4))
+    rows = spark.createDataFrame([(i, i % 3, v.tolist()) for i, v in enumerate(x)], "id long, y int, x array<double>")
+    held = []
+    context = type(spark.sparkContext)
+    monkeypatch.setattr(context, "broadcast", lambda self, value, f=context.broadcast: held.append(value) or f(self, value))
+    assert knn_classify(rows, rows, "x", "y", "id", k=1).filter("prediction = id % 3").count() == 40
+    tables = [v for v in held if isinstance(v, tuple) and isinstance(v[-1], np.ndarray)]
+    assert len(tables) == 1 and tables[0][1].shape == (40, 4) and "x" not in tables[0][0].columns
