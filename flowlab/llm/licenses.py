@@ -1,7 +1,8 @@
 """License scans by diagonal voting, in DataFrame functions alone.
 
 Every k consecutive words of every document meet the places of the same words in license templates, by an equi-join on
-their hash (the words themselves are compared too, so a hash that two grams share adds nothing). A meeting of document
+their hash (the words themselves are compared too, so a hash that two grams share adds nothing). Where the templates have
+few words, words that stand nowhere in them make no grams. A meeting of document
 place x and template place y votes for the diagonal x - y: a template that stands in a text unbroken puts all its votes on
 one diagonal, words added or left out move the rest to a diagonal close by. Votes are summed by diagonal, neighbouring
 diagonals of one template are merged into a span, and a span is verified by the share of the template's words in it.
@@ -26,6 +27,8 @@ NEIGHBOURS = 8
 NEEDED = 0.6
 #: Rows of templates up to which they are broadcast.
 BROADCAST_ROWS = 100_000
+#: Words of templates up to which a text's grams are sifted by them before they are made.
+SET_WORDS = 5_000
 
 # Phrases and their labels.
 PHRASES = {
@@ -79,16 +82,50 @@ def templates(
     return table.withColumn("gram_hash", F.xxhash64("gram"))
 
 
-def gram_rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def word_sets(marks: DataFrame) -> dict[bool, list[list[str]]] | None:
+    """For phrases (True) and notices (False) the words that stand first, second, ... in any gram of a template. None if
+    they are too many to be written into a condition."""
+    if marks.count() > BROADCAST_ROWS:
+        return None
+    parts = F.split("gram", " ")
+    sets = marks.groupBy("exact").agg(*[F.collect_set(F.get(parts, F.lit(i))).alias(f"w{i}") for i in range(NOTICE_GRAM)])
+    if sets.agg(F.coalesce(F.sum(sum(F.size(f"w{i}") for i in range(NOTICE_GRAM))), F.lit(0))).first()[0] > SET_WORDS:
+        return None
+    found = {r.exact: [r[f"w{i}"] for i in range(PHRASE_GRAM if r.exact else NOTICE_GRAM)] for r in sets.collect()}
+    return {exact: found.get(exact, [[]]) for exact in (True, False)}
+
+
+def gram_rows(docs: DataFrame, id_column: str, text_column: str, known: Mapping[bool, Sequence[Sequence[str]]] | None = None) -> DataFrame:
     """``id, digest, n_words, at, gram``: the grams of each document. A document has an empty gram, too, at -1, so that
-    one without any is not lost. Documents of one id are told apart by the digest of their text."""
+    one without any is not lost. Documents of one id are told apart by the digest of their text. With ``known`` (see
+    ``word_sets``) only grams that may be a template's: each of their words is known at its place."""
     words = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("digest"), words_of(text_column).alias("words"))
-    phrases, notices = grams("words", PHRASE_GRAM), grams("words", NOTICE_GRAM)
-    whole = F.concat(F.array(F.lit("")), phrases, notices)
-    rows = words.select("id", "digest", F.size("words").cast("long").alias("n_words"), F.posexplode(whole).alias("p", "gram"))
-    # Phrase grams come first; a notice gram is as far behind as there are phrase grams.
-    two = F.greatest(F.col("n_words") - PHRASE_GRAM + 1, F.lit(0))
-    return rows.select("id", "digest", "n_words", F.when(F.col("p") <= two, F.col("p") - 1).otherwise(F.col("p") - 1 - two).alias("at"), "gram")
+
+    def places(k: int, sets: Sequence[Sequence[str]] | None) -> Column:
+        if sets is None:
+            last = F.size("words") - k
+            return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+
+        def may_be(i: Column) -> Column:
+            # Most places end at the first of these.
+            found = F.get("words", i).isin(list(sets[0]))
+            for j, names in enumerate(sets[1:], 1):
+                found = found & F.get("words", i + j).isin(list(names))
+            return found
+
+        return F.filter(F.sequence(F.lit(0), F.size("words") - 1), may_be)
+
+    def marked(k: int, exact: bool) -> Column:
+        return F.transform(places(k, known and known[exact]), lambda i: F.struct(i.alias("at"), F.lit(k).alias("k")))
+
+    own = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("k")))
+    rows = words.select(
+        "id", "digest", "words", F.size("words").cast("long").alias("n_words"),
+        F.explode(F.concat(own, marked(PHRASE_GRAM, True), marked(NOTICE_GRAM, False))).alias("p"),
+    )
+    gram = lambda k: F.concat_ws(" ", *[F.get("words", F.col("p.at") + j) for j in range(k)])
+    text = F.when(F.col("p.k") == 0, F.lit("")).when(F.col("p.k") == PHRASE_GRAM, gram(PHRASE_GRAM)).otherwise(gram(NOTICE_GRAM))
+    return rows.select("id", "digest", "n_words", F.col("p.at").cast("long").alias("at"), text.alias("gram"))
 
 
 def votes(docs: DataFrame, marks: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -100,7 +137,7 @@ def votes(docs: DataFrame, marks: DataFrame, id_column: str = "doc_id", text_col
     goals = marks.unionByName(own)
     if marks.count() <= BROADCAST_ROWS:
         goals = F.broadcast(goals)
-    rows = gram_rows(docs, id_column, text_column).withColumn("gram_hash", F.xxhash64("gram"))
+    rows = gram_rows(docs, id_column, text_column, word_sets(marks)).withColumn("gram_hash", F.xxhash64("gram"))
     met = rows.join(goals, ["gram_hash", "gram"])
     keys = ["id", "digest", "n_words", "template", "label", "exact", "length"]
     # Equal documents are summed in their tasks first.

@@ -88,3 +88,19 @@ def test_main_path_is_native(spark):
     df = spark.createDataFrame([(1, "mit license")], "doc_id long, text string")
     plan = licenses.scanned(df, licenses.templates(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_words_of_no_template_make_no_grams(spark, monkeypatch):
+    marks = licenses.templates(spark)
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(3)
+    sifted = licenses.gram_rows(df, "doc_id", "text", licenses.word_sets(marks))
+    every = licenses.gram_rows(df, "doc_id", "text")
+    goals = marks.select("gram").distinct()
+    key = ["id", "n_words", "at", "gram"]
+    assert sifted.filter("gram = ''").count() == len(TEXTS) and sifted.filter("gram like 'word %' or gram like 'x %'").count() == 0
+    assert every.filter("gram = 'word word word word'").count() == 4997
+    wanted, got = (sorted(d.join(goals, "gram").select(*key).collect()) for d in (every, sifted))
+    assert got == wanted and len(got) > 4_000
+    whole = licenses.scanned(df, marks).collect()
+    monkeypatch.setattr(licenses, "SET_WORDS", 0)
+    assert licenses.word_sets(marks) is None and sorted(licenses.scanned(df, marks).collect(), key=str) == sorted(whole, key=str)
