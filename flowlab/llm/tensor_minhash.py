@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from flowlab.llm.components import components
 from flowlab.llm.tables import batch_of, written
@@ -125,8 +125,9 @@ def table_links(reps: DataFrame) -> DataFrame:
     keyed = reps.select("node", "right", F.posexplode("left").alias("i", "a")).select(
         "node", "i", "a", F.posexplode("right").alias("j", "b")
     ).select("node", F.xxhash64("i", "a", "j", "b").alias("key"))
-    leaders = keyed.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1")
-    return keyed.join(leaders.select("key", "leader"), "key").filter("node <> leader").select("leader", "node").distinct()
+    # Nearly all keys have one row: the rows are dealt out by key once, and nothing is summed up before that.
+    leader = F.min("node").over(Window.partitionBy("key"))
+    return keyed.select("node", leader.alias("leader")).filter("node <> leader").select("leader", "node").distinct()
 
 
 # ---------------------------------------------------------------- confirmation

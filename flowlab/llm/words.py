@@ -42,7 +42,8 @@ class RecentCache(dict):
 
 
 def word_hashes() -> RecentCache:
-    return RecentCache(xxhash.xxh64_intdigest)
+    # A hash costs little more than a lookup: what seldom comes again is not worth its memory.
+    return RecentCache(xxhash.xxh64_intdigest, 50_000)
 
 
 def hashed(words: list[bytes], cache: RecentCache) -> np.ndarray:

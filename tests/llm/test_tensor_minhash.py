@@ -4,6 +4,7 @@ import re
 import numpy as np
 from hypothesis import given, settings, strategies as st
 
+from flowlab.llm import tensor_minhash
 from flowlab.llm.components import components, with_least
 from flowlab.llm.queries import QUERIES
 from flowlab.llm.tensor_minhash import deduplicated, forest, linked, near_duplicates, shingles
@@ -170,3 +171,12 @@ def test_components_around_hubs(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     joined = {50_000, 60_000, 70_000, *range(2, 2500), *range(3000, 5000)}
     assert got == {n: 2 for n in joined} | {n: n - n % 2 for n in range(100_000, 104_000)}
+
+
+def test_rows_of_a_key_are_linked_to_the_smallest_by_one_shuffle(spark):
+    rows = [(5, [1, 2], [7, 8]), (3, [1, 9], [7, 6]), (9, [4, 2], [5, 8]), (4, [0, 0], [0, 0]), (7, [1, 2], [7, 8])]
+    reps = spark.createDataFrame(rows, "node long, left array<long>, right array<long>")
+    found = tensor_minhash.table_links(reps)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 2
+    assert sorted(map(tuple, found.collect())) == [(3, 5), (3, 7), (5, 7), (5, 9)]
