@@ -272,7 +272,8 @@ class _Index:
 
     def matched(self, sent: DataFrame, k: int) -> DataFrame:
         """At most k candidates for each query, bin and tile, none beyond the ``bound`` of the query."""
-        homes = sent.sparkSession.createDataFrame(self.cells[["cell", "bin"]].astype("int32"))
+        # Bins of both sides need one type: rows are dealt out by the hash of their keys, which tells int from long.
+        homes = sent.sparkSession.createDataFrame(self.cells[["cell", "bin"]], "cell int, bin int")
         sizes = self.cells.groupby("bin", as_index=False)["rows"].sum()
         return tiled_candidates(sent, self.placed.join(F.broadcast(homes), "cell"), sizes, k, self.names, self.tile_rows)
 
@@ -292,7 +293,7 @@ def tiled_candidates(
     if sizes.empty:
         return spark.createDataFrame([], names.candidates)
     sizes["t"], sizes["u"] = -(-sizes["rows"] // tile_rows), -(-sizes["queries"] // tile_rows)
-    grid = F.broadcast(spark.createDataFrame(sizes[["bin", "t", "u"]].astype({"bin": "int32"})))
+    grid = F.broadcast(spark.createDataFrame(sizes[["bin", "t", "u"]], "bin int, t long, u long"))
     key = ["key"] if keyed else []
     train_tiles = placed.join(grid, "bin").select(
         "id", "label", "x", *key, "bin", F.pmod(F.xxhash64("id"), "t").cast("int").alias("tile"),

@@ -119,3 +119,19 @@ def test_open_cells_miss_no_row_within_the_bound():
     opened = set(zip(row.tolist(), found.tolist()))
     near = np.argwhere(_distances(queries, points) <= bound[:, None])
     assert all((q, cell[p]) in opened for q, p in near.tolist()) and len(opened) < 50 * len(pivots.fine)
+
+
+def test_both_sides_of_a_bin_meet_when_many_tasks_share_the_keys(spark):
+    """Partitions are not merged here, as with large tables; rows of one bin must be dealt to one task all the same."""
+    x = np.random.default_rng(5).normal(size=(600, 3))
+    rows = spark.createDataFrame([(i, i % 4, v.tolist()) for i, v in enumerate(x)], "id long, y int, x array<double>")
+    train, queries = rows.filter("id >= 60"), rows.filter("id < 60")
+    wanted = sorted(knn_classify(train, queries, "x", "y", "id", k=5).collect())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        got = sorted(knn_classify(train, queries, "x", "y", "id", k=5, broadcast_bytes=0, tile_rows=50, cell_rows=10).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == wanted and len(got) == 60
