@@ -19,6 +19,7 @@ id are ordered by their text; an empty table gives no files. Only the named colu
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
@@ -56,28 +57,45 @@ MANIFEST = "part int, seq int, path string, docs long, ids long, bytes long"
 def pack_block(ids: np.ndarray) -> bytes:
     low = int(ids.min())
     rest = ids.astype(np.uint32) - np.uint32(low)
-    bits = np.ceil(np.log2(rest.astype(float) + 1)).astype(np.int64)
+    bits = np.frexp(rest.astype(float))[1]
     kept = np.cumsum(np.bincount(bits, minlength=33))
     width = int(np.searchsorted(kept, PERCENTILE * len(ids)))
     # An exception costs 48 bits, a wider block one bit for each id.
     while width < 32 and (kept[-1] - kept[width]) * 48 > (kept[-1] - kept[width + 1]) * 48 + len(ids):
         width += 1
     places = np.flatnonzero(bits > width)
-    spread = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
-    packed = np.packbits(spread.reshape(-1), bitorder="little")
     return b"".join((
-        struct.pack("<IBH", low, width, len(places)), packed.tobytes(),
+        struct.pack("<IBH", low, width, len(places)), packed_bits(rest, width),
         places.astype("<u2").tobytes(), rest[places].astype("<u4").tobytes(),
     ))
 
 
+def packed_bits(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bits of each value, one after the other."""
+    if not width:
+        return b""
+    at = np.arange(len(values), dtype=np.uint64) * np.uint64(width)
+    shift = at & np.uint64(63)
+    low = values & np.uint64((1 << width) - 1)
+    words = -(-len(values) * width // 64)
+    # Values are narrower than words, so each word but the last has one that begins there; the last of them may end in the next.
+    first = -(-64 * np.arange(words) // width)
+    out = np.zeros(words, np.uint64)
+    begun = first[first < len(values)]
+    out[:len(begun)] = np.bitwise_or.reduceat(low << shift, begun)
+    last = first[1:] - 1
+    out[1:] |= low[last] >> np.uint64(1) >> (np.uint64(63) - shift[last])
+    return out.astype("<u8").tobytes()[:(len(values) * width + 7) // 8]
+
+
 def unpack_block(data: bytes, count: int) -> np.ndarray:
     low, width, exceptions = struct.unpack_from("<IBH", data)
     size = (count * width + 7) // 8
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, 7), count=count * width, bitorder="little")
-    wide = np.zeros((count, 32), np.uint8)
-    wide[:, :width] = bits.reshape(count, width)
-    rest = np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(-1).copy()
+    at = np.arange(count, dtype=np.uint64) * np.uint64(width)
+    # The eight bytes from each place on; no value reaches beyond them.
+    near = np.ndarray(size + 1, "<u8", data[7:7 + size] + bytes(8), strides=(1,))
+    rest = (near[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7))) & np.uint64((1 << width) - 1)
+    rest = rest.astype(np.uint32)
     if exceptions:
         places = np.frombuffer(data, "<u2", exceptions, 7 + size)
         rest[places] = np.frombuffer(data, "<u4", exceptions, 7 + size + 2 * exceptions)
@@ -180,6 +198,35 @@ class PforReader:
 # ---------------------------------------------------------------- tokenizer
 
 
+class Chunks:
+    """Numbered chunks and their ids, one after the other."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.ids, self.sizes = np.empty(0, "<u4"), np.empty(0, np.int64)
+
+    def numbers(self, chunks: list[str]) -> np.ndarray:
+        """The number of each chunk, -1 for unknown ones."""
+        return np.fromiter(map(self.number.get, chunks, itertools.repeat(-1)), np.int64, len(chunks))
+
+    def add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The numbers of new, distinct chunks."""
+        at = len(self.sizes)
+        self.number.update(zip(chunks, range(at, at + len(chunks))))
+        self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
+        return np.arange(at, at + len(chunks))
+
+
+def joined(ids: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of what the ``numbers`` stand for, one after the other, and where each ends; ``sizes`` are those in ``ids``."""
+    starts = np.cumsum(sizes) - sizes
+    counts = sizes[numbers]
+    until = np.cumsum(counts)
+    at = np.repeat(starts[numbers] - (until - counts), counts)
+    at += np.arange(len(at))
+    return ids[at], until
+
+
 class ChunkEncoder:
     """Encodes whole texts with a tokenizer, asking it once for what a text repeats.
 
@@ -197,8 +244,7 @@ class ChunkEncoder:
         self.chunked = splits_at_blanks(tokenizer_json)
         # Chunks that open with one blank are kept without it; those that open a text or with other white space are
         # in ``others`` as they are.
-        self.after_blank: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.after_blank, self.older = Chunks(), Chunks()
         self.others = RecentCache(lambda chunk: self.whole(chunk).tobytes(), size // 8)
         vocabulary = tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
@@ -209,54 +255,54 @@ class ChunkEncoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def learnt(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each of the distinct ``chunks``; those not seen before are encoded together."""
-        known = self.after_blank
-        found = list(map(known.get, chunks))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if len(known) + len(missing) > self.size:
-            self.older, self.after_blank = known, {c: ids for c, ids in zip(chunks, found) if ids is not None}
-            known = self.after_blank
-        new = []
-        for i in missing:
-            ids = self.older.get(chunks[i])
-            if ids is None:
-                new.append(i)
-            else:
-                known[chunks[i]] = found[i] = ids
-        if not new:
+    def learnt(self, chunks: list[str]) -> np.ndarray:
+        """The numbers of the distinct ``chunks``; those not seen before are encoded together."""
+        found = self.after_blank.numbers(chunks)
+        missing = np.flatnonzero(found < 0)
+        if len(self.after_blank.number) + len(missing) > self.size:
+            self.older, self.after_blank = self.after_blank, Chunks()
+            self._take_over(chunks, found, np.flatnonzero(found >= 0), found)
+        if not len(missing):
             return found
-        texts = [c if c[:1] == "\n" else " " + c for c in map(chunks.__getitem__, new)]
-        ids = self.whole("".join(texts))
-        starts = np.flatnonzero(self.opens[ids]) * 4
-        if len(starts) == len(texts):
-            data, starts = ids.tobytes(), [*starts.tolist(), 4 * len(ids)]
-            parts = [data[s:e] for s, e in zip(starts, starts[1:])]
+        before = np.full(len(chunks), -1)
+        before[missing] = self.older.numbers([chunks[i] for i in missing.tolist()])
+        self._take_over(chunks, found, np.flatnonzero(before >= 0), before)
+        new = missing[before[missing] < 0]
+        if not len(new):
+            return found
+        names = [chunks[i] for i in new.tolist()]
+        ids = self.whole((" " + " ".join(names)).replace(" \n", "\n"))
+        starts = np.flatnonzero(self.opens[ids])
+        if len(starts) == len(names):
+            sizes = np.diff(starts, append=len(ids))
         else:
-            parts = [self.whole(t).tobytes() for t in texts]
-        for i, part in zip(new, parts):
-            known[chunks[i]] = found[i] = part
+            parts = [self.whole(c if c[:1] == "\n" else " " + c) for c in names]
+            ids, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
+        found[new] = self.after_blank.add(names, ids, sizes)
         return found
 
+    def _take_over(self, chunks: list[str], found: np.ndarray, places: np.ndarray, older: np.ndarray) -> None:
+        """Moves the chunks at some places, which have the numbers ``older`` among the older ones, to those in use."""
+        names, numbers = [chunks[i] for i in places.tolist()], older[places]
+        ids, _ = joined(self.older.ids, self.older.sizes, numbers)
+        found[places] = self.after_blank.add(names, ids, self.older.sizes[numbers])
+
     def plain(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of texts that can be cut at blanks and line feeds. Equal chunks are looked up once, then all ids are
         gathered at once."""
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         coded = lists.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        chunks = coded.dictionary.to_pylist()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        numbers = self.learnt(chunks)[codes]
         # What opens a text has no blank before it.
         first = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-        table = self.learnt(chunks) + [self.others[chunks[c]] for c in codes[first].tolist()]
-        codes[first] = len(chunks) + np.arange(len(first))
-        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        starts = np.cumsum(sizes) - sizes
-        counts = sizes[codes]
-        until = np.cumsum(counts)
-        at = np.repeat(starts[codes] - (until - counts), counts)
-        at += np.arange(len(at))
-        ids = np.frombuffer(b"".join(table), "<u4")[at]
+        opening = [np.frombuffer(self.others[chunks[c]], "<u4") for c in codes[first].tolist()]
+        known = self.after_blank
+        numbers[first] = len(known.sizes) + np.arange(len(first))
+        sizes = np.concatenate((known.sizes, [len(ids) for ids in opening]))
+        ids, until = joined(np.concatenate((known.ids, *opening)), sizes, numbers)
         stops = until[ends - 1]
         for start, stop in zip([0, *stops[:-1].tolist()], stops.tolist()):
             yield ids[start:stop].tobytes()

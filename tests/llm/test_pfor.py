@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from flowlab.llm.pfor import ChunkEncoder, PforReader, PforWriter, pack_block, token_round_trip, unpack_block
+from flowlab.llm.pfor import ChunkEncoder, Chunks, PforReader, PforWriter, joined, pack_block, packed_bits, token_round_trip, unpack_block
 from flowlab.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -110,3 +110,20 @@ def test_edges(spark):
     assert [len(r.ids) // 4 for r in got][1:3] == [1, 1]
     assert got[-1].start + len(got[-1].ids) // 4 == sum(len(r.ids) // 4 for r in got)
     assert token_round_trip(docs.limit(0), PATH, 2).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(numbers, st.integers(1, 32))
+def test_packed_bits_are_those_of_the_values(values, width):
+    low = [v & ((1 << width) - 1) for v in values]
+    want = sum(v << (i * width) for i, v in enumerate(low)).to_bytes((len(low) * width + 7) // 8, "little")
+    assert packed_bits(np.array(values, np.uint32), width) == want
+
+
+def test_chunks_keep_their_numbers_and_ids():
+    chunks = Chunks()
+    assert chunks.numbers(["a"]).tolist() == [-1]
+    assert chunks.add(["a", "b"], np.array([5, 6, 7], "<u4"), np.array([1, 2])).tolist() == [0, 1]
+    assert chunks.add(["c"], np.array([8], "<u4"), np.array([1])).tolist() == [2]
+    ids, ends = joined(chunks.ids, chunks.sizes, chunks.numbers(["c", "b", "a", "b"]))
+    assert (ids.tolist(), ends.tolist()) == ([8, 6, 7, 5, 6, 7], [1, 3, 4, 6])
