@@ -39,6 +39,8 @@ BLOCK_TOKENS = 1 << 21
 BUCKET_TOKENS = 1 << 21
 BYTES_PER_TOKEN = 6
 PAIR_BYTES = 5
+#: Tokens of a block whose probabilities are worked out at a time.
+CHUNK_TOKENS = 1 << 18
 STEPS = 8  # of an octave
 EM_ROUNDS = 60
 #: Where a bucket has no held-out token, and before the first round.
@@ -78,13 +80,17 @@ class Block:
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the distinct pairs, sorted, and for each token the place of its pair among them."""
         size = len(self.vocabulary) + 1
-        keys, back = np.unique(self.contexts().astype(np.int64) * size + self.ids, return_inverse=True)
+        keys = self.contexts().astype(np.int64)
+        keys *= size
+        keys += self.ids
+        keys, back = np.unique(keys, return_inverse=True)
+        back = back.astype(np.int32)
         with np.errstate(over="ignore"):
             names = np.append(mixed(self.vocabulary + np.uint64(1)), np.uint64(0))
             hashes = mixed(names[keys // size] ^ self.vocabulary[keys % size])
         order = np.argsort(hashes, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         return hashes[order], place[back]
 
 
@@ -245,12 +251,16 @@ class Looked:
         self.word = words[b.ids]
         self.context = np.append(words, texts)[b.contexts()]
 
-    def bucket(self) -> np.ndarray:
-        return np.frexp(self.context.astype(float))[1]
+    def chunks(self) -> Iterator[slice]:
+        return (slice(at, at + CHUNK_TOKENS) for at in range(0, len(self.word), CHUNK_TOKENS))
 
-    def parts(self, totals: Totals) -> tuple[np.ndarray, np.ndarray, float]:
-        """What pairs, words and nothing say of each token."""
-        return self.pair / np.maximum(self.context, 1), self.word / max(1, totals.tokens), 1 / (totals.words + 1)
+    def bucket(self, some: slice) -> np.ndarray:
+        return np.frexp(self.context[some].astype(float))[1]
+
+    def parts(self, some: slice, totals: Totals) -> tuple[np.ndarray, np.ndarray, float]:
+        """What pairs, words and nothing say of each of some tokens."""
+        pair = self.pair[some] / np.maximum(self.context[some], 1)
+        return pair, self.word[some] / max(1, totals.tokens), 1 / (totals.words + 1)
 
 
 # ---------------------------------------------------------------- weights
@@ -308,9 +318,16 @@ def scored(
 
     def histogram(left: pa.Table, right: pa.Table) -> pa.Table:
         found = Looked(block_in(left), right, counted.texts, tune=False)
-        pair, word, _ = found.parts(counted)
-        cells, n = np.unique(np.stack((found.bucket(), step(pair), step(word)), axis=1), axis=0, return_counts=True)
-        return pa.table({k: pa.array(v, pa.int64()) for k, v in zip("bpwn", (*cells.T, n))})
+        cells, counts = [], []
+        for some in found.chunks():
+            pair, word, _ = found.parts(some, counted)
+            # A step is less than 2**14, so the three numbers of a cell fit one.
+            cell, n = np.unique(found.bucket(some).astype(np.int64) << 28 | step(pair) + 1 << 14 | step(word) + 1, return_counts=True)
+            cells.append(cell)
+            counts.append(n)
+        cell, n = np.concatenate(cells), np.concatenate(counts)
+        columns = (cell >> 28, (cell >> 14 & 16383) - 1, (cell & 16383) - 1, n)
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in zip("bpwn", columns)})
 
     tuned = blocks_.filter(F.col("role") == TUNE).groupBy("block").cogroup(
         replies.join(table.filter(F.col("role") == TUNE).select("block"), "block", "left_semi").groupBy("block")
@@ -321,10 +338,12 @@ def scored(
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         b = block_in(left)
         found = Looked(b, right, totals.texts, tune=True)
-        pair, word, uniform = found.parts(totals)
-        w = weights[found.bucket()]
-        p = np.log10(w[:, 0] * pair + w[:, 1] * word + w[:, 2] * uniform)
-        base = np.log10((found.word + 0.1) / (totals.tokens + 0.1 * (totals.words + 1)))
+        p, base = np.empty(len(b.ids)), np.empty(len(b.ids))
+        for some in found.chunks():
+            pair, word, uniform = found.parts(some, totals)
+            w = weights[found.bucket(some)]
+            p[some] = np.log10(w[:, 0] * pair + w[:, 1] * word + w[:, 2] * uniform)
+            base[some] = np.log10((found.word[some] + 0.1) / (totals.tokens + 0.1 * (totals.words + 1)))
         starts = np.cumsum(b.lengths) - b.lengths
         names = unpacked(left.column("names")[0].as_py(), "<i8")
         nulls = unpacked(left.column("nulls")[0].as_py(), np.uint8).astype(bool)

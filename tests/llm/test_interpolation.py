@@ -4,10 +4,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from flowlab.llm.interpolation import em_weights, pair_bytes, pair_numbers, scored, slices
+from flowlab.llm import interpolation
+from flowlab.llm.interpolation import (
+    PAIRS, WORDS, Block, Looked, Totals, em_weights, packed, pair_bytes, pair_numbers, scored, slices,
+)
 from flowlab.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -124,3 +128,21 @@ def test_em_finds_the_mixture():
     w = em_weights(cells, 1e-9)
     assert w[5] == pytest.approx([0.7, 0.3, 0], abs=1e-3)
     assert np.allclose(w.sum(axis=1), 1) and (w[:, 2] > 0).all() and w[0, 0] == 0
+
+
+def test_probabilities_are_worked_out_in_chunks(monkeypatch):
+    monkeypatch.setattr(interpolation, "CHUNK_TOKENS", 3)
+    ids = np.array([0, 1, 2, 0, 1, 2, 2], np.int32)
+    b = Block(ids, np.array([4, 3]), np.array([5, 9, 12], np.uint64))
+    answers = pa.table({
+        "kind": pa.array([WORDS, PAIRS], pa.int32()), "bucket": pa.array([0, 0], pa.int32()),
+        "fit": [packed(np.array([2, 2, 3], "<u4")), packed(np.ones(len(b.pairs()[0]), "<u4"))],
+    })
+    found = Looked(b, answers, 2, tune=False)
+    totals = Totals(7, 3, 2)
+    chunks = list(found.chunks())
+    assert [len(found.word[c]) for c in chunks] == [3, 3, 1]
+    whole = found.parts(slice(0, 7), totals)
+    for i in (0, 1):
+        assert np.concatenate([found.parts(c, totals)[i] for c in chunks]).tolist() == whole[i].tolist()
+    assert np.concatenate([found.bucket(c) for c in chunks]).tolist() == found.bucket(slice(0, 7)).tolist()
