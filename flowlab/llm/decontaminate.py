@@ -24,7 +24,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowlab.llm.tables import written
+from flowlab.llm.tables import pieces, text_place, written
 from flowlab.llm.words import ALNUM, plain_words
 
 WINDOW = 10
@@ -96,20 +96,33 @@ def matched(
     """The columns ``keep`` of every row with ``n_words``, ``hits`` (first and last word from 0, the byte span in the
     original text, the number of the window) and ``items``, the sorted ids of all that is hit; null without a hit."""
     keep = docs.columns if keep is None else keep
+    rows = _scanned(docs, benchmark, keep, text, item_id, item_text, window, block_words)
+    return rows.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_words", "hits", "items")
+
+
+def _scanned(
+    docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item_id: str = "item_id",
+    item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """``matched`` with the columns ``keep`` as ``k0, k1, ...``, fixed names that no other column has."""
     spark = docs.sparkSession
-    # A fixed name that no kept column has; the text travels on only while blocks remain.
-    own = [f"k{i}" for i in range(len(keep))]
-    rows = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(keep, own)], F.col(f"`{text}`").cast("string").alias("body"))
+    kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
+    own = text in keep and text_place(docs, text) is not None
+    body = f"k{keep.index(text)}" if own else "body"
+    rows = docs.select(*kept, *([] if own else [F.col(f"`{text}`").cast("string").alias("body")]))
     rows = rows.withColumns({"n_words": F.lit(0).cast("long"), "hits": F.lit(None).cast(HITS), "items": F.lit(None).cast("array<string>")})
     blocks = blocks_of(benchmark, item_id, item_text, window, block_words)
     base = 0
     for number, block in enumerate(blocks):
         shared = spark.sparkContext.broadcast(block)
-        rows = rows.mapInArrow(_scan(shared, window, base), rows.schema)
-        if number < len(blocks) - 1:
+        more = number < len(blocks) - 1
+        # A text that is not kept travels on only while blocks remain.
+        names = [c for c in rows.columns if more or c != "body"]
+        rows = rows.mapInArrow(_scan(shared, window, base, body, names), rows.select(*names).schema)
+        if more:
             rows = written(rows, "matches")
             base += len(item_windows(block, window))
-    return rows.select(*[F.col(o).alias(c) for c, o in zip(keep, own)], "n_words", "hits", "items")
+    return rows
 
 
 def window_items(
@@ -123,13 +136,13 @@ def window_items(
     return benchmark.sparkSession.createDataFrame(rows, "window long, words array<string>, items array<string>")
 
 
-def _scan(shared, window: int, base: int):
+def _scan(shared, window: int, base: int, text: str, names: list[str]):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(shared.value, window)
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(pieces, batches)):
             at = batch.schema.get_field_index
             counts, hits, items = [], batch.column(at("hits")).to_pylist(), batch.column(at("items")).to_pylist()
-            for i, body in enumerate(batch.column(at("body"))):
+            for i, body in enumerate(batch.column(at(text))):
                 body = body.as_py()
                 words = plain_words(body)
                 counts.append(len(words))
@@ -145,7 +158,7 @@ def _scan(shared, window: int, base: int):
             columns[at("n_words")] = pa.array(counts, pa.int64())
             columns[at("hits")] = pa.array(hits, batch.schema.field("hits").type)
             columns[at("items")] = pa.array(items, batch.schema.field("items").type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).select(names)
 
     return scan
 
@@ -175,6 +188,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no window of the benchmark, with their columns as they are."""
-    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
-    clean = matched(rows, benchmark, keep=["row"], **options).filter("hits is null")
-    return clean.select("row.*")
+    clean = _scanned(docs, benchmark, docs.columns, text, **options).filter("hits is null")
+    return clean.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])

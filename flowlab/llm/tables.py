@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +28,18 @@ def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
     )
+
+
+#: Rows that a task handles at a time where they carry whole texts.
+PIECE_ROWS = 1024
+
+
+def pieces(batch: pa.RecordBatch, rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces, so that what is made of it and sent back stays small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def text_place(docs: DataFrame, text: str) -> int | None:
+    """The place of the column ``text`` if it holds strings and so need not be sent to the tasks a second time as one."""
+    return docs.columns.index(text) if (text, "string") in docs.dtypes else None

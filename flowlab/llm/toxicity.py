@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowlab.llm.tables import batch_of, written
+from flowlab.llm.tables import batch_of, pieces, text_place, written
 from flowlab.llm.words import ALNUM, RecentCache
 
 BITS = 18
@@ -257,12 +257,16 @@ def scored(docs: DataFrame, model: ToxicityModel, *, doc_id: str = "doc_id", tex
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, *, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows that score below the threshold, with their columns as they are."""
-    rows = docs.select(F.col(f"`{text}`").cast("string").alias("body"), F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
+    at = text_place(docs, text)
+    body = [F.col(f"`{text}`").cast("string").alias("body")] if at is None else []
+    rows = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), *body)
     weights, bits = docs.sparkSession.sparkContext.broadcast(model.weights), model.bits
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         featurizer, model = Featurizer(bits), ToxicityModel(weights.value, bits)
         for batch in batches:
-            yield batch.filter(pa.array(model.scores(batch.column(0).to_pylist(), featurizer) < threshold))
+            for part in pieces(batch):
+                texts = part.column(1) if at is None else part.column(0).field(at)
+                yield part.filter(pa.array(model.scores(texts.to_pylist(), featurizer) < threshold))
 
     return rows.mapInArrow(keep, rows.schema).select("row.*")

@@ -5,6 +5,7 @@ from hypothesis import given, settings, strategies as st
 
 from flowlab.llm.decontaminate import Matcher, contamination, matched, window_items, without_contaminated
 from flowlab.llm.queries import QUERIES
+from tests.plans import assert_absent
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SF_DIR = "/root/testdata/sf0.001"
@@ -90,3 +91,13 @@ def test_filter_keeps_columns_and_clean_rows(spark):
     assert sorted(r.doc_id for r in clean.collect()) == [2, 3, 3, 5]
     assert without_contaminated(docs, items.limit(0)).count() == len(ROWS)
     assert without_contaminated(docs.limit(0), items).count() == 0
+
+
+def test_texts_travel_once_and_numbers_are_read_as_texts(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "x")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "a b c"), (8, "5")], "item_id int, text string")
+    clean = without_contaminated(docs, items, window=3)
+    assert_absent(clean, "body")
+    assert [tuple(r) for r in clean.collect()] == [(2, "x")]
+    numbers = spark.createDataFrame([(1, 5), (2, 6)], "doc_id long, text int")
+    assert [tuple(r) for r in without_contaminated(numbers, items).collect()] == [(2, 6)]

@@ -2,9 +2,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from flowlab.llm.queries import QUERIES
+from flowlab.llm.tables import pieces
 from flowlab.llm.toxicity import Featurizer, ToxicityModel, fitted, minimised, scored, without_toxic
+from tests.plans import assert_absent
 
 WORDS = [f"w{i}" for i in range(300)]
 BAD = ["idiot", "scum", "moron"]
@@ -88,3 +91,20 @@ def test_edges(spark):
         assert without_toxic(docs, model, threshold=0.0).count() == 0
     assert fitted(docs, none).scores(["x"], Featurizer())[0] < 0.3
     assert scored(docs.limit(0), fitted(docs.limit(0), odd)).count() == 0
+
+
+def test_texts_travel_once_and_numbers_are_read_as_texts(spark):
+    model = ToxicityModel(np.zeros((1 << 18) + 1))
+    docs = spark.createDataFrame([(i, f"w{i}") for i in range(3000)], "doc_id long, text string")
+    kept = without_toxic(docs, model, threshold=0.6)
+    assert_absent(kept, "body")
+    assert sorted(map(tuple, kept.collect())) == sorted((i, f"w{i}") for i in range(3000))
+    numbers = spark.createDataFrame([(1, 5)], "doc_id long, text int")
+    assert [tuple(r) for r in without_toxic(numbers, model, threshold=0.6).collect()] == [(1, 5)]
+
+
+def test_pieces_hold_all_rows_in_order():
+    batch = pa.RecordBatch.from_pydict({"a": list(range(2500))})
+    parts = list(pieces(batch, 1000))
+    assert [p.num_rows for p in parts] == [1000, 1000, 500]
+    assert [v for p in parts for v in p.column(0).to_pylist()] == list(range(2500))
