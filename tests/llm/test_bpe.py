@@ -2,11 +2,12 @@ import hashlib
 import json
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from flowlab.llm.bpe import BpeEncoder, BpeModel, byte_alphabet, decoded, encoded
+from flowlab.llm.bpe import BpeEncoder, BpeModel, byte_alphabet, decoded, encoded, round_trip_digests
 from flowlab.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -75,3 +76,27 @@ def test_edges(spark):
     assert encoded(docs.limit(0), PATH).count() == 0
     with pytest.raises(ValueError):
         encoded(docs.withColumnRenamed("n_tokens", "IDS"), PATH)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aehinorst 'é1."), min_size=1, max_size=32).map(lambda t: t.encode()[:32]))
+def test_short_and_long_pieces_merge_alike(piece):
+    model = ENCODER.model
+    assert model.merged(piece) == model._merged_long([model.first[b] for b in piece])
+
+
+def test_short_pieces_need_no_heap(monkeypatch):
+    encoder = BpeEncoder(ENCODER.model)
+    monkeypatch.setattr("heapq.heapify", None)
+    assert encoder.encode("some words, 12 of them\nare short.") == expected("some words, 12 of them\nare short.")
+
+
+def test_ids_go_back_in_pieces(spark, monkeypatch):
+    caught = []
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: caught.append(f))
+    round_trip_digests(docs, PATH, with_ids=True)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(3000)), "body": [f"text {i}" for i in range(3000)]})
+    found = list(caught[0](iter([batch])))
+    assert max(b.num_rows for b in found) <= 1024
+    assert [i for b in found for i in b.column("ids").to_pylist()] == [expected(f"text {i}") for i in range(3000)]
