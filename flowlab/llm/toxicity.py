@@ -53,7 +53,8 @@ SENTENCE = re.compile(r"[.!?\n]+")
 class Featurizer:
     def __init__(self, bits: int = BITS, groups: Sequence[Sequence[str]] = IDENTITY_GROUPS):
         self.size = 1 << bits
-        self.places = RecentCache(self._places)
+        # Words that seldom come again are not worth their memory.
+        self.places = RecentCache(self._places, 100_000)
         self.others = {
             t.encode(): [o.encode() for o in group if o != t] for group in groups for t in group
         }

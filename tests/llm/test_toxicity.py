@@ -108,3 +108,10 @@ def test_pieces_hold_all_rows_in_order():
     parts = list(pieces(batch, 1000))
     assert [p.num_rows for p in parts] == [1000, 1000, 500]
     assert [v for p in parts for v in p.column(0).to_pylist()] == list(range(2500))
+
+
+def test_words_held_by_a_task_are_bounded():
+    featurizer = Featurizer(bits=8)
+    for i in range(250_000):
+        featurizer.places[b"%d" % i]
+    assert len(featurizer.places) + len(featurizer.places.old) <= 200_000
