@@ -146,8 +146,14 @@ def featured(rows: DataFrame, bits: int, groups: Sequence[Sequence[str]]) -> Dat
     return written(rows.mapInArrow(features, "y int, places binary, values binary"), "toxicity-features")
 
 
+SUMS = pa.schema([
+    ("loss", pa.float64()), ("change", pa.float64()), ("places", pa.binary()), ("g", pa.binary()), ("swapped", pa.binary()), ("s", pa.binary()),
+])
+
+
 def gradient(table: DataFrame, weights: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
-    """Sums over all rows: log loss, squared changes, and their gradients. One vector comes back from each task."""
+    """Sums over all rows: log loss, squared changes, and their gradients. One row comes back from each task, all in one
+    job, with those places of the gradients that are not zero."""
     shared = table.sparkSession.sparkContext.broadcast(weights)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,16 +174,19 @@ def gradient(table: DataFrame, weights: np.ndarray) -> tuple[float, float, np.nd
             total += np.bincount(place, error[row] * value, size)
             total[-1] += error.sum()
             swapped += np.bincount(place, np.where(labelled, 0, 2 * z)[row] * value, size)
-        schema = pa.schema([("loss", pa.float64()), ("change", pa.float64()), ("g", pa.binary()), ("s", pa.binary())])
-        yield batch_of(schema, [loss], [change], [total.tobytes()], [swapped.tobytes()])
+        found = [(at, v[at]) for v in (total, swapped) for at in (np.flatnonzero(v),)]
+        yield batch_of(SUMS, [loss], [change], *([x] for at, v in found for x in (at.astype("<u4").tobytes(), v.tobytes())))
 
     loss, change = 0.0, 0.0
     g, s = np.zeros(len(weights)), np.zeros(len(weights))
-    for r in table.mapInArrow(sums, "loss double, change double, g binary, s binary").toLocalIterator():
-        loss, change = loss + r.loss, change + r.change
-        g += np.frombuffer(r.g)
-        s += np.frombuffer(r.s)
-    shared.unpersist()
+    kinds = "loss double, change double, places binary, g binary, swapped binary, s binary"
+    for batch in table.mapInArrow(sums, kinds).toArrow().to_batches():
+        for more, changed, *parts in zip(*batch.columns):
+            loss, change = loss + more.as_py(), change + changed.as_py()
+            places, values, swapped, changes = (p.as_buffer() for p in parts)
+            g[np.frombuffer(places, "<u4")] += np.frombuffer(values)
+            s[np.frombuffer(swapped, "<u4")] += np.frombuffer(changes)
+    shared.destroy()
     return loss, change, g, s
 
 

@@ -6,7 +6,7 @@ import pyarrow as pa
 
 from flowlab.llm.queries import QUERIES
 from flowlab.llm.tables import pieces
-from flowlab.llm.toxicity import Featurizer, ToxicityModel, fitted, minimised, scored, without_toxic
+from flowlab.llm.toxicity import Featurizer, ToxicityModel, featured, fitted, gradient, minimised, scored, without_toxic
 from tests.plans import assert_absent
 
 WORDS = [f"w{i}" for i in range(300)]
@@ -59,6 +59,37 @@ def test_minimum_of_a_bowl():
     assert np.allclose(x, 2, atol=1e-3)
 
 
+def test_a_gradient_is_one_job_and_the_sum_over_all_rows(spark):
+    texts = ["the muslim family met w1 w2", "scum idiot scum", "w3 w4 w5 w5", "", "one man, one woman", "moron w1"]
+    table = featured(spark.createDataFrame([(i % 2, t) for i, t in enumerate(texts)], "y int, body string"), 10, [("man", "woman"), ("muslim", "hindu")])
+    table = table.repartition(3).localCheckpoint()
+    weights = np.random.default_rng(1).normal(0, 0.1, (1 << 10) + 1)
+    bus, tracker = spark.sparkContext._jsc.sc().listenerBus(), spark.sparkContext.statusTracker()
+
+    def last_job() -> int:
+        bus.waitUntilEmpty(10_000)
+        return max(tracker.getJobIdsForGroup(None), default=-1)
+
+    before = last_job()
+    loss, change, g, s = gradient(table, weights)
+    assert last_job() == before + 1
+    want_loss, want_change, want_g, want_s = 0.0, 0.0, np.zeros(len(weights)), np.zeros(len(weights))
+    for r in table.collect():
+        places, values = np.frombuffer(r.places, "<u4"), np.frombuffer(r["values"], "<f4").astype(float)
+        z = weights[places] @ values
+        if r.y is None:
+            want_change += z * z
+            want_s[places] += 2 * z * values
+        else:
+            p = 1 / (1 + np.exp(-(z + weights[-1])))
+            want_loss -= np.log(p if r.y else 1 - p)
+            want_g[places] += (p - r.y) * values
+            want_g[-1] += p - r.y
+    assert want_s.any() and np.isclose(loss, want_loss) and np.isclose(change, want_change)
+    assert np.allclose(g, want_g, atol=1e-12) and np.allclose(s, want_s, atol=1e-12)
+    assert [v if np.isscalar(v) else v.tolist() for v in gradient(table.limit(0), weights)] == [0.0, 0.0, [0.0] * len(weights), [0.0] * len(weights)]
+
+
 def test_held_out_rows_and_accuracy(spark):
     sf_dir = "/root/testdata/sf0.1"
     rows = QUERIES["op5_fair_toxicity"](spark, sf_dir).collect()
