@@ -9,6 +9,9 @@ A signature alone says nothing about the order of letters and would join all ana
 word: one edit leaves either the first half or the rest of the shorter word as it is. A word takes part once as the
 shorter (or equal) one and once as the longer one of a pair. Both conditions are exact: no pair of near words is lost,
 no group of words is ever compared in full, and there is no cap. What meets is verified letter by letter.
+
+All joins are by shuffle. Spark sizes a written table by its file and takes no account of the rows that a task makes of
+one: a vocabulary of a few MB on disk would be broadcast as all its keys, by way of the driver.
 """
 
 from __future__ import annotations
@@ -130,7 +133,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     b = b.select("key", F.col("word").alias("b"), F.col("n").alias("n_b"), "longer")
     # Keys are hashes: lengths make sure that a pair meets in one role only.
     more = F.char_length("b") - F.char_length("a")
-    met = a.join(b, "key").filter((F.col("longer") & (more == 1)) | (~F.col("longer") & (more == 0) & (F.col("a") < F.col("b"))))
+    met = a.join(b.hint("merge"), "key").filter((F.col("longer") & (more == 1)) | (~F.col("longer") & (more == 0) & (F.col("a") < F.col("b"))))
     return met.filter(F.levenshtein("a", "b", 1) == 1).select("a", "n_a", "b", "n_b").distinct()
 
 
@@ -140,7 +143,7 @@ def roots(forms: DataFrame) -> DataFrame:
     at = written(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         onward = at.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        step = at.join(onward, "root", "left")
+        step = at.join(onward.hint("merge"), "root", "left")
         step = written(step.select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
         at = step.select("word", "root")
         if step.filter("moved").isEmpty():
@@ -163,13 +166,13 @@ def variant_groups(words: DataFrame) -> DataFrame:
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("least"), F.col("other"))).alias("best")
     )
     frequent = -F.col("best.least") >= 2 * F.col("n")
-    found = words.join(best, "word", "left").select(
+    found = words.join(best.hint("merge"), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(frequent, F.col("best.other")).alias("form"), F.when(frequent, -F.col("best.least")).alias("form_n"),
     )
     found = written(found, "forms")
     ends = roots(found.filter("form is not null"))
-    return found.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return found.join(ends.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def spelling_variants(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", modulus: int | None = None) -> DataFrame:

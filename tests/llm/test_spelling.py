@@ -6,6 +6,8 @@ from collections import Counter
 import pytest
 
 from flowlab.llm import spelling
+from flowlab.llm.tables import written
+from tests.plans import assert_absent
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -98,3 +100,23 @@ def test_nothing_gives_nothing(spark):
     assert spelling.spelling_variants(df, modulus=97).count() == 0
     alone = spark.createDataFrame([(1, "alone alone alone")], "doc_id long, text string")
     assert rows_of(spelling.spelling_variants(alone)) == [("alone", None, "alone", 3, 0, None)]
+
+
+def test_no_words_are_broadcast(spark, monkeypatch):
+    """Files of words are small, but each word becomes 12 rows of keys: by its files Spark would send them all to the driver."""
+    tables = []
+
+    def watched(df, name):
+        assert_absent(df, "Broadcast")
+        tables.append(name)
+        return written(df, name)
+
+    monkeypatch.setattr(spelling, "written", watched)
+    words = [("b" * 5 + "a" * i, 3 * 2**i) for i in range(9)] + [("".join("cdefg"[i // 5**j % 5] for j in range(5)), 3) for i in range(50)]
+    df = written(spark.createDataFrame(words, "word string, n long"), "vocabulary")
+    assert_absent(spelling.near_pairs(df), "Broadcast")
+    got = spelling.variant_groups(df)
+    assert_absent(got, "Broadcast")
+    assert {"words", "near-words", "forms", "roots"} <= set(tables)
+    rows = rows_of(got)
+    assert len(rows) == len(words) and set(rows) == groups_by_hand(dict(words))
